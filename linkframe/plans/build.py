@@ -329,8 +329,9 @@ class StageBuilder:
         df = self.sort(df, sort_binding)
         if stage.limit is not None:
             df = df.limit(stage.limit)
-        names = ir.aggregation_names(stage.aggregations)
-        return Frame(df, unique_names(shown), {n: f"ag_{i}" for i, n in enumerate(names)})
+        shown = unique_names(shown)
+        made = [o.name for o in shown[len(groups):]]
+        return Frame(df, shown, dict(zip(ir.aggregation_names(stage.aggregations), made)))
 
     def plan_aggregates(self):
         plans = []
