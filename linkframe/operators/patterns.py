@@ -17,6 +17,9 @@ from linkframe import vocab as V
 from linkframe.errors import InvalidQuery, UnsupportedClause
 from linkframe.functions import terms
 
+# Column metadata: the variable stands in subject or predicate position.
+RESOURCE = "linkframe.resource"
+
 
 @dataclass(frozen=True)
 class Literal:
@@ -113,7 +116,10 @@ def _pattern(source, pattern):
             columns[name] = term
     if not columns:
         raise UnsupportedClause("a pattern needs a variable")
-    return triples.select(*[t.alias(n) for n, t in columns.items()])
+    resources = {_variable(s), _variable(p)}
+    return triples.select(*[
+        t.alias(n, metadata={RESOURCE: True}) if n in resources else t.alias(n) for n, t in columns.items()
+    ])
 
 
 def _join(left, right, how):
@@ -122,11 +128,11 @@ def _join(left, right, how):
     if not shared:
         raise UnsupportedClause("no shared variable links the patterns")
     renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in shared else F.col(c) for c in right.columns])
-    # Comparing kind and value first keeps the join keys plain strings; datatype
-    # and language then settle whether two literals are the same term.
     on = None
     for c in shared:
-        for part in ("value", "kind", "datatype", "lang"):
+        # A resource has neither datatype nor language to tell apart.
+        resource = any(side.schema[c].metadata.get(RESOURCE) for side in (left, right))
+        for part in ("value", "kind") if resource else ("value", "kind", "datatype", "lang"):
             test = F.col(c)[part] == F.col(f"_right_{c}")[part]
             on = test if on is None else on & test
     joined = left.join(renamed, on, how)
