@@ -13,15 +13,14 @@ from linkframe.sources.triples import union_all
 BROADCAST_SUBJECTS = 1_000_000
 
 
-def classes(triples, limit=1000):
+def classes(source, limit=1000):
     """Classes with their instance counts, the largest first."""
-    typed = triples.where(F.col("p") == V.RDF_TYPE)
-    counts = typed.groupBy(F.col("o.value").alias("class")).agg(F.count(F.lit(1)).alias("count"))
+    counts = source.slice(V.RDF_TYPE).groupBy(F.col("o.value").alias("class")).agg(F.count(F.lit(1)).alias("count"))
     ordered = counts.orderBy(F.desc("count"), F.asc("class"))
     return ordered if limit is None else ordered.limit(limit)
 
 
-def properties(triples, class_iris, limit=20, sample=1000):
+def properties(source, class_iris, limit=20, sample=1000):
     """The properties used most by (a sample of) the instances of each class.
 
     All classes are answered by one pass over the triples. ``is_iri`` is 1 when
@@ -29,8 +28,8 @@ def properties(triples, class_iris, limit=20, sample=1000):
     """
     if isinstance(class_iris, str):
         class_iris = [class_iris]
-    instances = _instances(triples, class_iris, sample)
-    seen = triples.join(instances, "s")
+    instances = _instances(source, class_iris, sample)
+    seen = source.triples().join(instances, "s")
     counts = seen.groupBy("class", F.col("p").alias("property")).agg(
         F.count(F.lit(1)).alias("count"),
         F.min(F.when(F.col("o.kind") == V.IRI, 1).otherwise(0)).alias("is_iri"),
@@ -41,27 +40,23 @@ def properties(triples, class_iris, limit=20, sample=1000):
     return counts.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= limit).drop("rank")
 
 
-def _instances(triples, class_iris, sample):
-    typed = triples.where((F.col("p") == V.RDF_TYPE) & (F.col("o.kind") == V.IRI))
+def _instances(source, class_iris, sample):
+    members = [source.members(iri).select("s", F.lit(iri).alias("class")) for iri in class_iris]
     if sample is None:
-        wanted = typed.where(F.col("o.value").isin(class_iris))
-        return wanted.select("s", F.col("o.value").alias("class"))
-    samples = union_all([
-        typed.where(F.col("o.value") == iri).limit(sample).select("s", F.lit(iri).alias("class"))
-        for iri in class_iris
-    ])
+        return union_all(members)
+    samples = union_all([m.limit(sample) for m in members])
     return F.broadcast(samples) if len(class_iris) * sample <= BROADCAST_SUBJECTS else samples
 
 
-def discover(triples, naming, class_limit=100, property_limit=20, sample_limit=10_000, hide_foreign=False):
+def discover(source, naming, class_limit=100, property_limit=20, sample_limit=10_000, hide_foreign=False):
     """A catalog of what the data holds; every column is text or IRI."""
     catalog = Catalog(naming)
-    found = [(r["class"], r["count"]) for r in classes(triples, class_limit).collect()]
+    found = [(r["class"], r["count"]) for r in classes(source, class_limit).collect()]
     found = [(iri, n) for iri, n in found if not (hide_foreign and naming.is_foreign(iri))]
     if not found:
         return catalog
     per_class = {iri: [] for iri, _ in found}
-    rows = properties(triples, list(per_class), property_limit, sample_limit).collect()
+    rows = properties(source, list(per_class), property_limit, sample_limit).collect()
     for row in sorted(rows, key=lambda r: (-r["count"], r["property"])):
         per_class[row["class"]].append(row)
     for iri, n in found:

@@ -14,6 +14,7 @@ from linkframe.plans import ir
 from linkframe.plans.build import QueryBuilder
 from linkframe.results import QueryResult
 from linkframe.sources.mapped import MappedSource
+from linkframe.vocab import RDF_TYPE
 from linkframe.templates import bind_parameters
 
 log = logging.getLogger(__name__)
@@ -77,7 +78,7 @@ class Engine:
                 self._catalog = self.source.catalog()
             else:
                 self._catalog = discovery.discover(
-                    self.source.triples(), naming, config.class_limit, config.property_limit,
+                    self.source, naming, config.class_limit, config.property_limit,
                     config.sample_limit, config.hide_foreign_uris,
                 )
         return self._catalog
@@ -160,7 +161,7 @@ class Engine:
     def ping(self):
         """True if the source answers; otherwise the failure, in plain words."""
         try:
-            self.source.triples().limit(1).count()
+            self.source.slice(RDF_TYPE).limit(1).count()
             return True
         except LinkframeError:
             raise

@@ -17,6 +17,7 @@ from linkframe import vocab as V
 from linkframe.functions import terms
 from linkframe.plans.bindings import KeyBinding, ValueBinding
 from linkframe.plans.frame import SUBJECT, rename_into
+from linkframe.sources.triples import union_all
 
 
 @dataclass(frozen=True)
@@ -186,43 +187,55 @@ class MappedSource:
             catalog.add(table, fields, keys)
         return catalog
 
-    def triples(self):
-        """The same data as a triple table (one branch per property).
-
-        The predicate of every branch is a constant, so a query that asks for
-        one predicate keeps one branch: the optimiser drops all others.
-        """
-        branches = []
-        for class_iri, mapping in self.classes.items():
-            branches += self._triple_branches(class_iri, mapping)
-        triples = branches[0]
-        for branch in branches[1:]:
-            triples = triples.union(branch)
-        return triples
+    # ---- the same data as triples ---------------------------------------------------
 
-    def _triple_branches(self, class_iri, mapping):
+    def triples(self):
+        """All properties of all classes as ``s, p, o`` rows."""
+        branches = [self._property_rows(c, p) for c in self.classes for p in self._properties[c]]
+        return union_all([self._type_rows(c) for c in self.classes] + branches)
+
+    def slice(self, prop):
+        """``s, o`` rows of one predicate: only the tables that have it are read."""
+        if prop == V.RDF_TYPE:
+            found = [self._type_rows(c) for c in self.classes]
+        else:
+            found = [self._property_rows(c, prop) for c in self.classes if prop in self._properties[c]]
+        if found:
+            return union_all(found).select("s", "o")
+        some = next(iter(self.classes))
+        return self._type_rows(some).where(F.lit(False)).select("s", "o")
+
+    def members(self, class_iri):
+        """``s`` rows of one class."""
+        if class_iri in self.classes:
+            return self._type_rows(class_iri).select("s")
+        return self.slice(V.RDF_TYPE).where(F.lit(False)).select("s")
+
+    def _type_rows(self, class_iri):
         subject = self._key_binding(class_iri).shown()
-        yield mapping.df.select(
+        return self.classes[class_iri].df.select(
             subject.alias("s"), F.lit(V.RDF_TYPE).alias("p"), _always(terms.iri_term(class_iri)).alias("o")
         )
-        for prop, mapped in self._properties[class_iri].items():
-            dtype, value = mapping.column_type(mapped.column), F.col("value")
-            rows = mapping.df.select(
-                subject.alias("s"), F.col(mapped.column).alias("value"),
-                (F.col(mapped.lang) if mapped.lang else F.lit("")).alias("lang"),
-            )
-            if isinstance(dtype, T.ArrayType):
-                rows = rows.select("s", F.explode(F.array_distinct("value")).alias("value"), "lang")
-                dtype = dtype.elementType
-            if mapped.references:
-                target = self.naming.absolute(mapped.references)
-                term = terms.iri_term(F.concat(F.lit(target + "/"), value.cast("string")))
-            elif mapped.lang:
-                term = terms.lang_term(value, F.col("lang"))
-            else:
-                term = terms.literal_term(_lexical(value, dtype), _xsd_type(dtype))
-            yield rows.where(value.isNotNull()).select(
-                "s", F.lit(prop).alias("p"), _always(term).alias("o"))
+
+    def _property_rows(self, class_iri, prop):
+        mapping, mapped = self.classes[class_iri], self._properties[class_iri][prop]
+        rows, subject = mapping.df, self._key_binding(class_iri).shown()
+        dtype, value = mapping.column_type(mapped.column), F.col(mapped.column)
+        lang = F.col(mapped.lang) if mapped.lang else None
+        if isinstance(dtype, T.ArrayType):
+            dtype = dtype.elementType
+            rows = rows.select(subject.alias("s"), F.explode(F.array_distinct(mapped.column)).alias("value"))
+            subject, value = F.col("s"), F.col("value")
+        if mapped.references:
+            target = self.naming.absolute(mapped.references)
+            term = terms.iri_term(F.concat(F.lit(target + "/"), value.cast("string")))
+        elif lang is not None:
+            term = terms.lang_term(value, lang)
+        else:
+            term = terms.literal_term(_lexical(value, dtype), _xsd_type(dtype))
+        return rows.where(value.isNotNull()).select(
+            subject.alias("s"), F.lit(prop).alias("p"), _always(term).alias("o")
+        )
 
 
 def _always(term):

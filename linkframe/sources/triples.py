@@ -52,10 +52,7 @@ class TripleSource:
 
     def scan(self, class_iri, props, names):
         subject = names.new(SUBJECT)
-        members = self._triples.where(
-            (F.col("p") == V.RDF_TYPE) & (F.col("o.kind") == V.IRI) & (F.col("o.value") == class_iri)
-        ).select(F.col("s").alias(subject))
-        df = members if self._deduplicated else members.distinct()
+        df = self.members(class_iri).select(F.col("s").alias(subject))
         binding = TermBinding(subject, node=True)
         df, bound = self.attach(df, binding, props, names, "")
         return df, binding, bound
@@ -81,7 +78,15 @@ class TripleSource:
     def target_of(self, class_iri, prop):
         return None
 
+    def members(self, class_iri):
+        """``s`` rows of one class, each subject once."""
+        rows = self._triples.where(
+            (F.col("p") == V.RDF_TYPE) & (F.col("o.kind") == V.IRI) & (F.col("o.value") == class_iri)
+        ).select("s")
+        return rows if self._deduplicated else rows.distinct()
+
     def slice(self, prop):
+        """``s, o`` rows of one predicate."""
         rows = self._triples.where(F.col("p") == prop).select("s", "o")
         return rows if self._deduplicated else rows.distinct()
 
@@ -110,6 +115,26 @@ class TripleSource:
         return kept.drop(right_key, left_salt, right_salt, is_hot)
 
 
+class VirtualTriples(TripleSource):
+    """The triples of a mapped source, made from its tables as they are read."""
+
+    def __init__(self, mapped):
+        self._mapped = mapped
+        self._hot = {}
+        self._slices = {}
+
+    def triples(self):
+        return self._mapped.triples()
+
+    def members(self, class_iri):
+        return self._mapped.members(class_iri)
+
+    def slice(self, prop):
+        if prop not in self._slices:
+            self._slices[prop] = self._mapped.slice(prop)
+        return self._slices[prop]
+
+
 def hot_subjects(triples, min_rows=HOT_MIN_ROWS):
     """(p, s) pairs with so many values that joining them needs salting.
 
@@ -150,4 +175,8 @@ def _node_text(term):
 
 
 def union_all(frames):
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """Union as a balanced tree: each step analyses its own half only."""
+    while len(frames) > 1:
+        pairs = [frames[i:i + 2] for i in range(0, len(frames), 2)]
+        frames = [reduce(lambda a, b: a.union(b), pair) for pair in pairs]
+    return frames[0]

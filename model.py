@@ -47,12 +47,23 @@ CLASSES = {
 }
 
 
+_opened = {}
+
+
+def table(spark, directory, name):
+    """Open each table once per application: opening reads file footers."""
+    key = (spark.sparkContext.applicationId, directory, name)
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(f"{directory}/{name}.parquet")
+    return _opened[key]
+
+
 def source(spark, directory, names=None):
     """The mapped source over the parquet files of one directory."""
     classes = {}
     for name in names or CLASSES:
-        table, key, properties = CLASSES[name]
-        classes[name] = ClassMapping(spark.read.parquet(f"{directory}/{table}.parquet"), key, properties)
+        file, key, properties = CLASSES[name]
+        classes[name] = ClassMapping(table(spark, directory, file), key, properties)
     return MappedSource(BASE, classes)
 
 

@@ -200,9 +200,9 @@ def test_auto_discovery(spark):
 
 def test_discovery_limits_and_mixed_properties(spark):
     graph = engine(spark, ":a a :C ; :p :b , 1 ; :q 2 . :b a :C ; :p 3 . :x a :D .")
-    triples = graph.source.triples()
-    assert [r["class"] for r in discovery.classes(triples, 1).collect()] == [NS + "C"]
-    found = {r["property"]: (r["count"], r["is_iri"]) for r in discovery.properties(triples, NS + "C", 2).collect()}
+    source = graph.source
+    assert [r["class"] for r in discovery.classes(source, 1).collect()] == [NS + "C"]
+    found = {r["property"]: (r["count"], r["is_iri"]) for r in discovery.properties(source, NS + "C", 2).collect()}
     assert found == {NS + "p": (3, 0), V.RDF_TYPE: (2, 1)}
-    sampled = discovery.properties(triples, [NS + "C", NS + "D"], sample=1).collect()
+    sampled = discovery.properties(source, [NS + "C", NS + "D"], sample=1).collect()
     assert {r["class"] for r in sampled} == {NS + "C", NS + "D"}

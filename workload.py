@@ -4,13 +4,14 @@ tables, with the SQL that must give the same rows."""
 from pyspark.sql import functions as F
 
 import model
-from linkframe import Engine, EngineConfig, TripleSource, ask
+from linkframe import Engine, EngineConfig, ask
 from linkframe.catalog import discovery
 from linkframe.functions import terms
 from linkframe.operators.patterns import (
     Literal, exists, match, not_exists, optional, values,
 )
 from linkframe import vocab as V
+from linkframe.sources.triples import VirtualTriples
 
 B = model.BASE
 QUERIES = {}
@@ -55,14 +56,12 @@ def structured(name, classes, query, sql, expected=None, rounded=(), digits=2, t
 
 
 def triple_source(spark, directory, classes):
-    # The keys of the mapping identify rows, so no triple occurs twice.
-    return TripleSource(model.source(spark, directory, classes).triples(), deduplicated=True)
+    return VirtualTriples(model.source(spark, directory, classes))
 
 
 def triple_engine(spark, directory, classes, **settings):
     mapped = model.source(spark, directory, classes)
-    source = TripleSource(mapped.triples(), deduplicated=True)
-    return Engine(source, EngineConfig(default_graph=B, **settings), catalog=mapped.catalog())
+    return Engine(VirtualTriples(mapped), EngineConfig(default_graph=B, **settings), catalog=mapped.catalog())
 
 
 # ---- scans and projection -------------------------------------------------------------
@@ -695,7 +694,7 @@ def _class_counts():
 
 @register("discover_classes", _class_counts())
 def discover_classes(spark, directory):
-    return discovery.classes(model.source(spark, directory).triples(), limit=100)
+    return discovery.classes(model.source(spark, directory), limit=100)
 
 
 @register("discover_properties", f"""
@@ -707,8 +706,8 @@ def discover_classes(spark, directory):
       union all select '{B}c_mktsegment', count(c_mktsegment), 0 from customer
       union all select '{B}c_nationkey', count(c_nationkey), 1 from customer)""")
 def discover_properties(spark, directory):
-    triples = model.source(spark, directory, ["Customer", "Nation", "Region"]).triples()
-    return discovery.properties(triples, B + "Customer", limit=20, sample=None)
+    source = model.source(spark, directory, ["Customer", "Nation", "Region"])
+    return discovery.properties(source, B + "Customer", limit=20, sample=None)
 
 
 @register("typing_observed", """
