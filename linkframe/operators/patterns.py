@@ -10,12 +10,14 @@ or, as object, any Python literal wrapped in ``Literal``.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from linkframe import vocab as V
 from linkframe.errors import InvalidQuery, UnsupportedClause
 from linkframe.functions import terms
+from linkframe.plans.frame import Names
 
 # Column metadata: the variable stands in subject or predicate position.
 RESOURCE = "linkframe.resource"
@@ -54,25 +56,41 @@ def match(source, *patterns):
         pattern = linked[0]
         waiting.remove(pattern)
         rows = _pattern(source, pattern)
-        result = rows if result is None else _join(result, rows, "inner")
+        result = rows if result is None else _join(result, rows)
     return result
 
 
 def optional(df, source, *patterns):
     """Left join a pattern. Its shared variables must be bound in every row of
     ``df``: an unbound one would match anything, which a join cannot express."""
+    if len(patterns) == 1:
+        s, p, o = (_variable(x) for x in patterns[0])
+        if s in df.columns and p is None and o is not None and o not in df.columns:
+            return _optional_property(df, source, s, patterns[0][1], o)
     rows = match(source, *patterns)
-    return _join(df, rows, "left")
+    # A left join cannot split a hot key of its right side, an inner join can:
+    # join what matches, and add the rows that match nothing.
+    return _join(df, rows).unionByName(_without(df, rows, "left_anti"), allowMissingColumns=True)
+
+
+def _optional_property(df, source, subject, prop, name):
+    """One property of a variable: the (salted) left join of the triple table."""
+    names = Names()
+    for column in df.columns:
+        names.new(column)
+    key = names.new("node")
+    keyed = df.withColumn(key, terms.node_key(F.col(subject)))
+    return source.left_join(keyed, key, prop, names.new(name), names).drop(key)
 
 
 def exists(df, source, *patterns):
     """FILTER EXISTS."""
-    return _join(df, match(source, *patterns), "left_semi")
+    return _without(df, match(source, *patterns), "left_semi")
 
 
 def not_exists(df, source, *patterns):
     """FILTER NOT EXISTS."""
-    return _join(df, match(source, *patterns), "left_anti")
+    return _without(df, match(source, *patterns), "left_anti")
 
 
 def values(spark, **columns):
@@ -122,18 +140,33 @@ def _pattern(source, pattern):
     ])
 
 
-def _join(left, right, how):
-    """Join on equal terms. NULL never equals NULL, as unbound matches nothing here."""
+def _shared(left, right):
+    """Shared variables with the term parts that decide whether they are equal."""
     shared = [c for c in left.columns if c in right.columns]
     if not shared:
         raise UnsupportedClause("no shared variable links the patterns")
-    renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in shared else F.col(c) for c in right.columns])
-    on = None
+    parts = {}
     for c in shared:
         # A resource has neither datatype nor language to tell apart.
         resource = any(side.schema[c].metadata.get(RESOURCE) for side in (left, right))
-        for part in ("value", "kind") if resource else ("value", "kind", "datatype", "lang"):
-            test = F.col(c)[part] == F.col(f"_right_{c}")[part]
-            on = test if on is None else on & test
-    joined = left.join(renamed, on, how)
-    return joined.drop(*[f"_right_{c}" for c in shared])
+        parts[c] = ("value", "kind") if resource else ("value", "kind", "datatype", "lang")
+    return parts
+
+
+def _join(left, right):
+    """Inner join on equal terms; NULL never equals NULL, unbound matches nothing here."""
+    parts = _shared(left, right)
+    renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in parts else F.col(c) for c in right.columns])
+    tests = [F.col(c)[p] == F.col(f"_right_{c}")[p] for c in parts for p in parts[c]]
+    joined = left.join(renamed, reduce(lambda a, b: a & b, tests))
+    return joined.drop(*[f"_right_{c}" for c in parts])
+
+
+def _without(left, right, how):
+    """Semi or anti join. The right side is reduced to its distinct keys first,
+    map-side, so a key that occurs there very often is no burden."""
+    parts = _shared(left, right)
+    names = {(c, p): f"_right_{c}_{p}" for c in parts for p in parts[c]}
+    keys = right.select(*[F.col(c)[p].alias(n) for (c, p), n in names.items()]).distinct()
+    tests = [F.col(c)[p] == F.col(n) for (c, p), n in names.items()]
+    return left.join(keys, reduce(lambda a, b: a & b, tests), how)

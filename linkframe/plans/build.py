@@ -73,9 +73,15 @@ class StageBuilder:
 
     # ---- hooks ----------------------------------------------------------------------
 
+    def is_own(self, ref):
+        raise NotImplementedError
+
     def own_field(self, ref):
         raise NotImplementedError
 
+    def own_class(self):
+        raise NotImplementedError
+
     def load_own(self):
         raise NotImplementedError
 
@@ -202,9 +208,16 @@ class StageBuilder:
                 return join.alias
         return None
 
+    def may_repeat_rows(self, step):
+        """Does following this foreign key matter even if nothing else is read?"""
+        owner = self.joins[step.source.alias].class_iri if step.source.alias else self.own_class()
+        return self.source.multi_valued(owner, step.source.key)
+
     def load_joins(self, df):
         for alias, step in self.joins.items():
-            wanted = {k: r for k, r in self.needed.get(alias, {}).items() if k != SUBJECT}
+            if alias not in self.needed:
+                continue
+            wanted = {k: r for k, r in self.needed[alias].items() if k != SUBJECT}
             df, bound = self.source.attach(
                 df, self.binding(step.source), {k: r.name for k, r in wanted.items()}, self.names, alias
             )
@@ -234,8 +247,9 @@ class StageBuilder:
         for order in stage.order_by:
             if isinstance(order.by, ir.FieldRef):
                 self.need(self.resolve(order.by))
-        for step in self.joins.values():
-            self.need(step.source)
+        for step in reversed(list(self.joins.values())):
+            if step.alias in self.needed or self.may_repeat_rows(step):
+                self.need(step.source)
 
         df = self.load_own()
         early, late = [], []
@@ -283,7 +297,7 @@ class StageBuilder:
         if stage.breakouts and not stage.fields:
             keys = [c for o in shown for c in o.binding.columns]
             df = df.select(*dict.fromkeys(keys)).distinct()
-        df = self.sort(df, lambda by: self.binding(self.resolve(by)))
+        df = self.sort(df, lambda by: self.binding(self.resolve(by)), self.tie_columns(shown))
         if stage.limit is not None:
             df = df.limit(stage.limit)
         return Frame(keep_columns(df, [o.binding for o in shown]), unique_names(shown))
@@ -326,7 +340,7 @@ class StageBuilder:
                 raise InvalidQuery(f"{by.ref!r} is neither grouped nor aggregated")
             return self.binding(self.resolve(by))
 
-        df = self.sort(df, sort_binding)
+        df = self.sort(df, sort_binding, columns)
         if stage.limit is not None:
             df = df.limit(stage.limit)
         shown = unique_names(shown)
@@ -343,16 +357,27 @@ class StageBuilder:
                 plans.append(A.aggregate(agg.op, self.binding(self.resolve(agg.field)), name, self.names))
         return plans
 
-    def sort(self, df, binding_of):
-        """Unbound sorts first ascending and last descending."""
+    def sort(self, df, binding_of, tie_columns):
+        """Unbound sorts first ascending and last descending.
+
+        A full sort splits the rows by ranges of its keys, and rows with equal
+        keys stay together. Equal keys are therefore told apart by a hash, so
+        that a value shared by a great part of the rows is still many ranges.
+        """
         if not self.stage.order_by:
             return df
         keys = []
         for order in self.stage.order_by:
             key = binding_of(order.by).sort_key()
             keys.append(key.desc_nulls_last() if order.descending else key.asc_nulls_first())
+        if self.stage.limit is None and tie_columns:
+            keys.append(F.xxhash64(*dict.fromkeys(tie_columns)))
         return df.orderBy(*keys)
 
+    def tie_columns(self, shown):
+        """Columns that tell apart rows with equal sort keys: what is shown."""
+        return [c for o in shown for c in o.binding.columns]
+
     # ---- aggregation below the join -------------------------------------------------
 
     def should_pre_aggregate(self, groups, late, plans):
@@ -382,7 +407,7 @@ class StageBuilder:
     def group_early(self, df, groups, late, plans):
         kept = [g for g in groups if g.alias is None]
         kept += [r for part in late for r in map(self.resolve, ir.filter_fields(part)) if r.alias is None]
-        kept += [s.source for s in self.joins.values() if s.source.alias is None]
+        kept += [s.source for s in self.joins.values() if s.source.alias is None and s.alias in self.needed]
         columns = [c for r in kept for c in self.binding(r).columns]
         return df.groupBy(*dict.fromkeys(columns)).agg(*[c for p in plans for c in p.computed()])
 
@@ -420,6 +445,9 @@ class BaseStage(StageBuilder):
             raise InvalidQuery(f"field {field.ref!r} belongs to no table of this stage")
         return self.joined_field(homes[0], field.ref)
 
+    def own_class(self):
+        return self.class_iri
+
     def load_own(self):
         wanted = {k: r for k, r in self.needed.get(None, {}).items() if k != SUBJECT}
         df, subject, bound = self.source.scan(
@@ -446,6 +474,13 @@ class BaseStage(StageBuilder):
                 return False
         return True
 
+    def tie_columns(self, shown):
+        subject = self.bound[(None, SUBJECT)]
+        distinct = self.stage.breakouts and not self.stage.fields
+        if distinct or (isinstance(subject, KeyBinding) and subject.hashed):
+            return super().tie_columns(shown)
+        return subject.columns + super().tie_columns(shown)
+
     def projection(self, expected):
         if expected:
             return [self.expected_output(c, i) for i, c in number_placeholders(expected, self.expected_field)]
@@ -502,6 +537,9 @@ class DerivedStage(StageBuilder):
     def inner_column(self, output):
         return Resolved(None, output.name, output.name, output.meta)
 
+    def own_class(self):
+        return None
+
     def load_own(self):
         for output in self.inner.outputs:
             self.bound[(None, output.name)] = output.binding

@@ -16,9 +16,10 @@ from linkframe.plans.bindings import TermBinding
 from linkframe.plans.frame import SUBJECT
 
 # At most HOT_LIMIT (predicate, subject) pairs can each hold more than
-# 1/HOT_LIMIT of all triples, which bounds the list that reaches the driver.
+# 1/HOT_LIMIT of all (sampled) triples: that bounds the list on the driver.
 HOT_LIMIT = 2000
 HOT_MIN_ROWS = 1_000_000
+HOT_SAMPLE = 0.01
 SALTS = 64
 
 
@@ -27,7 +28,8 @@ class TripleSource:
 
     ``deduplicated`` states that no triple occurs twice (true for tables from
     ``write_triples``); otherwise each slice is made distinct, as a graph is a
-    set. ``hot`` maps a predicate to the subjects with very many values of it.
+    set. ``hot`` maps a predicate to the subjects with very many values of it;
+    left out, it is found by sampling before the first join.
     """
 
     fans_out = True
@@ -37,15 +39,24 @@ class TripleSource:
             triples = triples.where(F.col("g") == default_graph)
         self._triples = triples.select("s", "p", "o")
         self._deduplicated = deduplicated
-        self._hot = dict(hot or {})
+        self._hot = hot
 
     @classmethod
     def open(cls, spark, path):
         """Open a table written by ``write_triples`` together with its hot list."""
-        hot = {}
-        for row in spark.read.parquet(f"{path}/hot").collect():
-            hot.setdefault(row["p"], []).append(row["s"])
-        return cls(spark.read.parquet(f"{path}/triples"), deduplicated=True, hot=hot)
+        return cls(spark.read.parquet(f"{path}/triples"), deduplicated=True,
+                   hot=_by_predicate(spark.read.parquet(f"{path}/hot")))
+
+    @classmethod
+    def open_table(cls, spark, name):
+        """Open a table saved by ``save_triples``."""
+        return cls(spark.table(name), deduplicated=True, hot=_by_predicate(spark.table(f"{name}_hot")))
+
+    @property
+    def hot(self):
+        if self._hot is None:
+            self._hot = _by_predicate(hot_subjects(self._triples))
+        return self._hot
 
     def triples(self):
         return self._triples
@@ -68,7 +79,7 @@ class TripleSource:
             df = df.withColumn(key, anchor.node_key())
         for prop, prop_hint in props.items():
             name = names.new(prop_hint)
-            df = self._left_join(df, key, prop, name, names)
+            df = self.left_join(df, key, prop, name, names)
             bound[prop] = TermBinding(name)
         return (df if anchor.node else df.drop(key)), bound
 
@@ -90,10 +101,11 @@ class TripleSource:
         rows = self._triples.where(F.col("p") == prop).select("s", "o")
         return rows if self._deduplicated else rows.distinct()
 
-    def _left_join(self, df, key, prop, name, names):
+    def left_join(self, df, key, prop, name, names):
+        """Add column ``name``: the values of ``prop`` for the resource in ``key``."""
         right_key = names.new("s")
         right = self.slice(prop).select(F.col("s").alias(right_key), F.col("o").alias(name))
-        hot = self._hot.get(prop)
+        hot = self.hot.get(prop)
         if not hot:
             return df.join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
         # A subject with a great share of the slice would be one giant partition
@@ -135,35 +147,69 @@ class VirtualTriples(TripleSource):
         return self._slices[prop]
 
 
-def hot_subjects(triples, min_rows=HOT_MIN_ROWS):
+def hot_subjects(triples, min_rows=HOT_MIN_ROWS, fraction=HOT_SAMPLE):
     """(p, s) pairs with so many values that joining them needs salting.
 
-    Counts are combined before the shuffle, and the threshold keeps the answer
-    below HOT_LIMIT rows whatever the size of the table.
+    The list only steers the layout of joins, never their result, so a sample is
+    enough; any pair in it has a value. Counts are combined before the shuffle,
+    and the threshold keeps the list short whatever the size of the table.
     """
-    threshold = max(min_rows, triples.count() // HOT_LIMIT)
-    counts = triples.groupBy("p", "s").count()
-    return counts.where(F.col("count") > threshold).select("p", "s")
+    total = triples.count()
+    threshold = max(min_rows, total // HOT_LIMIT)
+    if total <= threshold:
+        return triples.select("p", "s").limit(0)
+    if total * fraction < HOT_MIN_ROWS:
+        fraction = min(1.0, HOT_MIN_ROWS / total)
+    seen = triples if fraction >= 1.0 else triples.sample(fraction, seed=7)
+    counts = seen.groupBy("p", "s").count()
+    return counts.where(F.col("count") > threshold * fraction).select("p", "s")
+
+
+def _by_predicate(pairs):
+    hot = {}
+    for row in pairs.collect():
+        hot.setdefault(row["p"], []).append(row["s"])
+    return hot
 
 
 def write_triples(triples, path, min_hot_rows=HOT_MIN_ROWS):
     """Write a triple table for querying: distinct, by predicate, clustered.
 
-    Range partitioning splits a dominant predicate over many tasks; the cluster
-    column is the class for rdf:type and the subject for all other predicates.
+    Range partitioning splits a dominant predicate, class or subject over many
+    tasks. The cluster column is the class for rdf:type and the subject for all
+    other predicates; the hash at the end separates the values of one subject.
     """
     spark = triples.sparkSession
     distinct = triples.select("s", "p", "o").distinct()
     cluster = F.when(F.col("p") == V.RDF_TYPE, F.col("o.value")).otherwise(F.lit(""))
-    laid_out = distinct.withColumn("cluster", cluster).repartitionByRange("p", "cluster", "s")
+    laid_out = distinct.withColumn("cluster", cluster).repartitionByRange(
+        "p", "cluster", "s", F.xxhash64("o"))
     laid_out.sortWithinPartitions("p", "cluster", "s").drop("cluster").write.partitionBy("p").parquet(
         f"{path}/triples"
     )
-    stored = spark.read.parquet(f"{path}/triples")
-    hot_subjects(stored, min_hot_rows).write.parquet(f"{path}/hot")
+    hot_subjects(spark.read.parquet(f"{path}/triples"), min_hot_rows).write.parquet(f"{path}/hot")
     return TripleSource.open(spark, path)
 
 
+def save_triples(triples, name, path, buckets, min_hot_rows=HOT_MIN_ROWS):
+    """Save as a catalog table, by predicate and bucketed by subject.
+
+    All slices then share one partitioning, so queries that read many properties
+    of a subject join them without moving a row. Hot subjects are salted, which
+    leaves the buckets aside for their predicates.
+    """
+    spark = triples.sparkSession
+    distinct = triples.select("s", "p", "o").distinct()
+    # The bucket number Spark will use, so that each task writes few files.
+    bucket = F.pmod(F.hash("s"), F.lit(buckets))
+    laid_out = distinct.repartitionByRange("p", bucket, "s", F.xxhash64("o"))
+    writer = laid_out.write.partitionBy("p").bucketBy(buckets, "s").sortBy("s")
+    writer.option("path", f"{path}/triples").saveAsTable(name)
+    hot = hot_subjects(spark.table(name), min_hot_rows)
+    hot.write.option("path", f"{path}/hot").saveAsTable(f"{name}_hot")
+    return TripleSource.open_table(spark, name)
+
+
 def triples_from_terms(spark, triples):
     """A triple table from parsed terms of a small document (see turtle.parse)."""
     rows = [(_node_text(s), p.value, tuple(o)) for s, p, o in triples]

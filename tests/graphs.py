@@ -22,7 +22,7 @@ def triples(spark, body):
 
 
 def engine(spark, body, catalog=None, deduplicated=True, **settings):
-    source = TripleSource(triples(spark, body), deduplicated=deduplicated)
+    source = TripleSource(triples(spark, body), deduplicated=deduplicated, hot={})
     if catalog is None:
         settings.setdefault("metadata_sync_strategy", "none")
     return Engine(source, EngineConfig(default_graph=NS, **settings), catalog=catalog)

@@ -40,6 +40,8 @@ def test_salting_hot_subjects_changes_nothing(spark, query):
 def test_hot_subjects_are_found_and_bounded(spark):
     found = T.hot_subjects(triples(spark, BODY), min_rows=5).collect()
     assert [tuple(r) for r in found] == [(NS + "p", NS + "a")]
+    assert T.hot_subjects(triples(spark, BODY)).collect() == []
+    assert TripleSource(triples(spark, BODY)).hot == {}
 
 
 def test_written_table_answers_like_the_plain_one(spark, tmp_path):
@@ -53,6 +55,21 @@ def test_written_table_answers_like_the_plain_one(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(p" in plan
 
 
+def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
+    doubled = triples(spark, BODY).union(triples(spark, BODY))
+    saved = T.save_triples(doubled, "kg_test", str(tmp_path / "kg"), buckets=4, min_hot_rows=1000)
+    try:
+        for query in QUERIES:
+            assert rows(bound(saved).query(query)) == rows(bound(TripleSource(triples(spark, BODY))).query(query))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        star = bound(saved).query(QUERIES[1]).to_df("text")
+        assert "Exchange" not in star._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE kg_test")
+        spark.sql("DROP TABLE kg_test_hot")
+
+
 def test_default_graph(spark):
     quads = triples(spark, BODY).withColumn("g", F.lit("http://g1")).unionByName(
         triples(spark, ":z a :C .").withColumn("g", F.lit("http://g2")))
@@ -94,6 +111,10 @@ def test_match_constants_and_repeats(graph):
 def test_optional_and_exists(graph):
     people = match(graph, ("?x", NS + "name", "?n")).select("x")
     assert texts(optional(people, graph, ("?x", NS + "age", "?a"))) == [("ann", "41"), ("bea", None), ("cid", None)]
+    known = optional(people, graph, ("?y", NS + "knows", "?x"))
+    assert texts(known) == [("ann", "bea"), ("bea", "ann"), ("cid", "ann")]
+    two = optional(people, graph, ("?x", NS + "knows", "?y"), ("?y", NS + "age", "?a"))
+    assert texts(two) == [("ann", None, None), ("bea", "ann", "41"), ("cid", None, None)]
     assert texts(exists(people, graph, ("?x", NS + "knows", "?y"))) == [("ann",), ("bea",)]
     assert texts(not_exists(people, graph, ("?x", NS + "knows", "?y"))) == [("cid",)]
 
