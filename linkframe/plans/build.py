@@ -6,6 +6,7 @@ limit, projection. Everything is DataFrame API; which join or aggregate runs how
 is left to Catalyst and adaptive execution.
 """
 
+import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql import functions as F
@@ -614,9 +615,18 @@ def unique_names(outputs):
     return result
 
 
+_BYTES = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
 def fits_broadcast(df):
-    """Is the whole table, by its own statistics, below the broadcast limit?"""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    parsed = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(str(limit))
-    return int(str(size)) <= parsed
+    """Is the whole table, by its own statistics, below the broadcast limit?
+
+    Where no statistics can be had the answer is no, which is always safe.
+    """
+    setting = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
+    match = re.fullmatch(r"(-?\d+)([bkmgt]?)b?", setting)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return False
+    return match is not None and size <= int(match[1]) * _BYTES[match[2]]
