@@ -23,25 +23,24 @@ class SourceError(LinkframeError):
         self.kind = kind
 
 
-# Ordered (pattern, wording); the first pattern found in any message wins.
+# Ordered (pattern, wording); the first pattern found wins.
 _FRIENDLY = [
-    (r"\b401\b|unauthori[sz]ed", "The endpoint asked for credentials. Check the user name, password or token."),
-    (r"\b403\b|forbidden", "The endpoint refused access. The account lacks the needed permission."),
-    (r"\b404\b|not found", "No endpoint answers at this address. Check the URL."),
-    (r"\b500\b", "The endpoint reported an internal error. Try again or ask its operator."),
-    (r"\b502\b", "A gateway in front of the endpoint returned a bad answer."),
-    (r"\b503\b", "The endpoint is temporarily unavailable."),
-    (r"connection refused", "The connection was refused. Is the endpoint running and the port right?"),
-    (r"unknown ?host|name or service not known|nodename nor servname", "The host name cannot be resolved. Check the URL."),
+    (r"status: 401", "The user name, password or token is not accepted (401)."),
+    (r"status: 403", "The endpoint refuses access: the account lacks the permission (403)."),
+    (r"status: 404", "No endpoint answers at this address. Check the URL (404)."),
+    (r"status: 500", "The endpoint reports an internal error (500)."),
+    (r"status: 502", "A gateway got a bad answer from the endpoint (502)."),
+    (r"status: 503", "The endpoint is unavailable at the moment (503)."),
+    (r"Connection refused", "The connection is refused. Check host and port."),
+    (r"UnknownHost|nodename nor servname|Name or service not known", "The host name cannot be resolved."),
 ]
 
 
 def humanize(messages):
-    """Turn one message or a list of them into the wording shown to a user."""
-    if isinstance(messages, str):
-        messages = [messages]
-    text = " ".join(str(m) for m in messages if m)
+    """One message or the messages of an error chain -> the wording for a user."""
+    messages = [messages] if isinstance(messages, str) else list(messages)
+    text = " -> ".join(str(m) for m in messages)
     for pattern, wording in _FRIENDLY:
-        if re.search(pattern, text, re.IGNORECASE):
+        if re.search(pattern, text):
             return wording
-    return text
+    return messages[0] if messages else ""

@@ -1,0 +1,110 @@
+"""The endpoint source against a stand-in for the HTTP layer, and saved results."""
+
+import io
+import json
+from urllib.error import HTTPError, URLError
+from urllib.parse import parse_qs, urlparse
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkframe import SourceError
+from linkframe import vocab as V
+from linkframe.functions import terms
+from linkframe.sources import endpoint
+from linkframe.sources.endpoint import SparqlDataSource, SparqlReader, auth_headers
+from linkframe.sources.results_json import read_results
+
+ANSWER = {"head": {"vars": ["s", "v"]}, "results": {"bindings": [
+    {"s": {"type": "uri", "value": "http://x"},
+     "v": {"type": "typed-literal", "value": "5", "datatype": V.XSD + "integer"}},
+    {"s": {"type": "bnode", "value": "b0"}, "v": {"type": "literal", "value": "hoi", "xml:lang": "NL"}},
+    {"s": {"type": "uri", "value": "http://y"}}]}}
+CELLS = [
+    (("iri", "http://x", "", ""), ("lit", "5", V.XSD + "integer", "")),
+    (("bnode", "_:b0", "", ""), ("lit", "hoi", V.RDF_LANG_STRING, "nl")),
+    (("iri", "http://y", "", ""), None),
+]
+
+
+class Answer(io.BytesIO):
+    status = 200
+
+
+def opener(body, seen=None, status=200):
+    def open_url(request, context=None):
+        if seen is not None:
+            seen.append((request, context))
+        if status != 200:
+            raise HTTPError(request.full_url, status, "no", {}, io.BytesIO(body.encode()))
+        return Answer(body.encode())
+
+    return open_url
+
+
+@pytest.mark.parametrize("given, header", [
+    (dict(kind=" Basic ", username="u", password="p"), "Basic dTpw"),
+    (dict(kind="BEARER", token="t"), "Bearer t"),
+    (dict(kind="basic", username="u", password=" "), None),
+    (dict(kind="bearer"), None),
+    (dict(kind="none", username="u", password="p"), None),
+    (dict(), None),
+])
+def test_authentication(given, header):
+    assert auth_headers(**given).get("Authorization") == header
+
+
+def test_reader_reads_terms():
+    seen = []
+    reader = SparqlReader({
+        "endpoint": "http://e/sparql", "variables": "s, v", "defaultgraph": "http://g", "insecure": "true",
+        "authtype": "bearer", "token": "t", "queries": json.dumps(["SELECT 1", "SELECT 2"])},
+        opener(json.dumps(ANSWER), seen))
+    parts = reader.partitions()
+    assert [p.query for p in parts] == ["SELECT 1", "SELECT 2"]
+    assert list(reader.read(parts[1])) == CELLS
+    request, context = seen[0]
+    assert request.get_method() == "POST" and parse_qs(request.data.decode()) == {"query": ["SELECT 2"]}
+    assert parse_qs(urlparse(request.full_url).query) == {"default-graph-uri": ["http://g"]}
+    assert request.get_header("Authorization") == "Bearer t" and "json" in request.get_header("Accept")
+    assert context is not None
+
+
+def test_schema(spark):
+    source = SparqlDataSource({"variables": "s,v"})
+    assert source.schema().count("struct<kind") == 2
+    with pytest.raises(SourceError):
+        SparqlDataSource({}).schema()
+
+
+@pytest.mark.parametrize("status, kind", [(400, "query"), (404, "query"), (401, "db"), (403, "db"), (407, "db"), (500, "db"), (503, "db")])
+def test_whose_fault_an_error_is(status, kind):
+    with pytest.raises(SourceError, match=f"status: {status}") as caught:
+        endpoint.post("http://e", "x", opener=opener("y" * 5000, status=status))
+    assert caught.value.kind == kind and len(str(caught.value)) < 1100
+
+
+def test_other_failures():
+    with pytest.raises(SourceError) as caught:
+        endpoint.post("http://e", "x", opener=opener("<html>"))
+    assert caught.value.kind == "db"
+
+    def broken(request, context=None):
+        raise URLError("Connection refused")
+
+    with pytest.raises(SourceError) as caught:
+        endpoint.post("http://e", "x", opener=broken)
+    assert caught.value.kind == "transport"
+
+
+def test_connection_test():
+    assert endpoint.ask("http://e", opener=opener('{"boolean": true}'))
+
+
+def test_saved_results(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(ANSWER, indent=1))
+    df = read_results(spark, str(tmp_path / "a.json"))
+    assert [tuple(tuple(v) if v is not None else None for v in r) for r in df.collect()] == CELLS
+    assert df.agg(F.sum(terms.number(F.col("v")))).first()[0] == 5.0
+    (tmp_path / "b.json").write_text('{"head": {}, "boolean": true}')
+    assert [tuple(r) for r in read_results(spark, str(tmp_path / "b.json")).collect()] == [(True,)]

@@ -57,11 +57,12 @@ def test_parameter_values():
 
 
 def test_connection_errors_in_plain_words():
-    assert "credentials" in humanize(["HTTP 401"])
-    assert "permission" in humanize("403 Forbidden")
+    assert "password" in humanize(["endpoint returned status: 401"])
+    assert "permission" in humanize("status: 403")
+    assert "503" in humanize(["outer", "status: 503 Service"])
     assert "refused" in humanize(["x", "Connection refused: host"])
     assert "host name" in humanize("UnknownHostException")
-    assert humanize("odd failure") == "odd failure"
+    assert humanize(["odd failure 404", "cause"]) == "odd failure 404"
 
 
 def test_settings_from_a_dialog():
