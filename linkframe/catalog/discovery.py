@@ -8,9 +8,10 @@ from linkframe.catalog.model import Catalog, FieldMeta, TableMeta
 from linkframe.naming import local_name
 from linkframe.sources.triples import union_all
 
-# Up to this many sampled subjects are sent to every executor (some 100 MB);
-# beyond it the join is left to the optimiser.
-BROADCAST_SUBJECTS = 1_000_000
+# Sampled subjects are sent to every executor: at most this many per pass, none
+# longer than this, so 500 MB at the very worst and some 20 MB as a rule.
+BROADCAST_SUBJECTS = 250_000
+LONGEST_SAMPLED_IRI = 2_000
 
 
 def classes(source, limit=1000):
@@ -23,7 +24,7 @@ def classes(source, limit=1000):
 def properties(source, class_iris, limit=20, sample=1000):
     """The properties used most by (a sample of) the instances of each class.
 
-    All classes are answered by one pass over the triples. ``is_iri`` is 1 when
+    All the given classes are answered by one pass over the triples. ``is_iri`` is 1 when
     every value seen is an IRI. ``sample=None`` looks at every instance.
     """
     if isinstance(class_iris, str):
@@ -44,7 +45,8 @@ def _instances(source, class_iris, sample):
     members = [source.members(iri).select("s", F.lit(iri).alias("class")) for iri in class_iris]
     if sample is None:
         return union_all(members)
-    samples = union_all([m.limit(sample) for m in members])
+    short = F.length("s") <= LONGEST_SAMPLED_IRI
+    samples = union_all([m.where(short).limit(sample) for m in members])
     return F.broadcast(samples) if len(class_iris) * sample <= BROADCAST_SUBJECTS else samples
 
 
@@ -56,7 +58,10 @@ def discover(source, naming, class_limit=100, property_limit=20, sample_limit=10
     if not found:
         return catalog
     per_class = {iri: [] for iri, _ in found}
-    rows = properties(source, list(per_class), property_limit, sample_limit).collect()
+    wanted, rows = list(per_class), []
+    batch = max(1, BROADCAST_SUBJECTS // max(1, sample_limit))
+    for i in range(0, len(wanted), batch):
+        rows += properties(source, wanted[i:i + batch], property_limit, sample_limit).collect()
     for row in sorted(rows, key=lambda r: (-r["count"], r["property"])):
         per_class[row["class"]].append(row)
     for iri, n in found:

@@ -6,6 +6,9 @@ term exactly when the structs are equal; an unbound variable is a NULL struct.
 All functions here are plain column expressions and stay inside codegen.
 """
 
+import re
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -136,17 +139,26 @@ def compare(term, op, value):
 def _comparable(term, value):
     if isinstance(value, bool):
         return boolean(term)
-    if isinstance(value, (int, float)):
+    if isinstance(value, (int, float, Decimal)):
         return number(term)
     return plain_string(term)
 
 
 def _literal(value):
-    if isinstance(value, bool) or isinstance(value, (int, float)):
+    if isinstance(value, bool):
         return F.lit(value)
+    if isinstance(value, (int, float, Decimal)):
+        return number_literal(value)
     return F.lit(str(value))
 
 
+def number_literal(value):
+    """A number as a literal; a whole number beyond 64 bits compares as a double."""
+    if isinstance(value, int) and not -(1 << 63) <= value < (1 << 63):
+        return F.lit(float(value))
+    return F.lit(value)
+
+
 _OPS = {
     ">": lambda a, b: a > b,
     ">=": lambda a, b: a >= b,
@@ -161,6 +173,4 @@ def apply_operator(op, left, right):
 
 def looks_temporal(value):
     """Is the text an ISO date or date-time (so it may meet a temporal column)?"""
-    import re
-
     return re.fullmatch(r"\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d+)?)?(Z|[+-]\d\d:\d\d)?)?", value) is not None

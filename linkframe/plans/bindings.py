@@ -11,6 +11,7 @@ operation reads them. Three encodings exist:
 
 import re
 from dataclasses import dataclass, replace
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,8 +76,8 @@ class ValueBinding:
         """The literal in the column's own family; None if they never compare."""
         if isinstance(value, bool):
             return F.lit(value) if isinstance(self.dtype, T.BooleanType) else None
-        if isinstance(value, (int, float)):
-            return F.lit(value) if isinstance(self.dtype, T.NumericType) else None
+        if isinstance(value, (int, float, Decimal)):
+            return terms.number_literal(value) if isinstance(self.dtype, T.NumericType) else None
         if isinstance(self.dtype, T.StringType):
             return F.lit(str(value))
         if isinstance(self.dtype, _TEMPORAL) and terms.looks_temporal(str(value)):
@@ -139,7 +140,9 @@ class KeyBinding:
 
     def shown(self):
         if self.hashed:
-            row = F.to_json(F.struct(*self.key_columns), {"ignoreNullFields": "false"})
+            # By position, so that the hash does not depend on column names.
+            cells = [F.col(c).alias(str(i)) for i, c in enumerate(self.key_columns)]
+            row = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
             return F.concat(F.lit(self.prefix), F.sha2(row, 256))
         parts = [F.lit(self.prefix)]
         for i, name in enumerate(self.key_columns):
@@ -152,9 +155,13 @@ class KeyBinding:
     def equals(self, value, as_iri=True):
         if not as_iri:
             return self._fixed(False)
-        if self.hashed or any(isinstance(t, T.StringType) for t in self.key_types):
-            return self.shown() == value
-        return self._key_equals(value)
+        if not self.hashed and all(type(t) in _INTEGRAL_RANGE for t in self.key_types):
+            return self._key_equals(value)
+        if not self.hashed and [type(t) for t in self.key_types] == [T.StringType]:
+            if not value.startswith(self.prefix):
+                return self._fixed(False)
+            return F.col(self.key_columns[0]) == value[len(self.prefix):]
+        return self.shown() == value
 
     def _fixed(self, outcome):
         return F.when(self.is_bound(), F.lit(outcome))
@@ -168,9 +175,9 @@ class KeyBinding:
             return self._fixed(False)
         test = None
         for name, dtype, part in zip(self.key_columns, self.key_types, parts):
-            bits = _INTEGRAL_RANGE.get(type(dtype))
+            bits = _INTEGRAL_RANGE[type(dtype)]
             canonical = re.fullmatch(r"0|-?[1-9][0-9]*", part)
-            if bits is None or not canonical or not -(1 << bits) <= int(part) < (1 << bits):
+            if not canonical or not -(1 << bits) <= int(part) < (1 << bits):
                 return self._fixed(False)
             one = F.col(name) == F.lit(int(part)).cast(dtype)
             test = one if test is None else test & one
