@@ -1,0 +1 @@
+"""Tables, fields and keys: declared, read from shapes, or discovered."""

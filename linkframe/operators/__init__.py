@@ -1,0 +1 @@
+"""Filters, aggregates and graph patterns as DataFrame operations."""

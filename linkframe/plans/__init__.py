@@ -1,0 +1 @@
+"""The structured query and how it becomes a DataFrame."""

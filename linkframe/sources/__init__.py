@@ -1,0 +1 @@
+"""Where the data comes from: mapped tables, triples, files, endpoints."""

@@ -17,13 +17,16 @@ from urllib.error import HTTPError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from linkframe import vocab as V
 from linkframe.errors import SourceError
+from linkframe.functions.literals import iri_ref
+from linkframe.functions.terms import TERM_TYPE
+from linkframe.sources.triples import TripleSource
 
 ERROR_CHARS = 1000
-_TERM = "struct<kind:string,value:string,datatype:string,lang:string>"
 
 
 def auth_headers(kind=None, username=None, password=None, token=None):
@@ -132,7 +135,47 @@ class SparqlDataSource(DataSource):
         variables = self.options.get("variables", "")
         if not variables.strip():
             raise SourceError("the sparql source needs the option variables", "query")
-        return ", ".join(f"`{v.strip()}` {_TERM}" for v in variables.split(","))
+        return ", ".join(f"`{v.strip()}` {TERM_TYPE}" for v in variables.split(","))
 
     def reader(self, schema):
         return SparqlReader({k.lower(): v for k, v in self.options.items()})
+
+
+class EndpointTriples(TripleSource):
+    """The triples behind an endpoint, read one predicate at a time.
+
+    Each read is split into 16 disjoint parts by the first digit of the
+    subject's MD5, plus one for blank nodes, so no single answer carries a whole
+    predicate and a hot predicate is spread over many tasks.
+    """
+
+    def __init__(self, spark, endpoint, **options):
+        self._spark = spark
+        self._options = {"endpoint": endpoint, **options}
+        self._hot = {}
+        self._deduplicated = True          # an endpoint answers from a set of triples
+        spark.dataSource.register(SparqlDataSource)
+
+    def triples(self):
+        return self._read("spo", "?s ?p ?o").select(
+            F.col("s.value").alias("s"), F.col("p.value").alias("p"), "o")
+
+    def slice(self, prop):
+        return self._read("so", f"?s {iri_ref(prop)} ?o").select(F.col("s.value").alias("s"), "o")
+
+    def members(self, class_iri):
+        return self._read("s", f"?s {iri_ref(V.RDF_TYPE)} {iri_ref(class_iri)}").select(
+            F.col("s.value").alias("s"))
+
+    def _read(self, variables, pattern):
+        return self._spark.read.format("sparql").options(
+            variables=",".join(variables), queries=json.dumps(split_queries(variables, pattern)),
+            **self._options).load()
+
+
+def split_queries(variables, pattern):
+    """SELECT texts whose answers together are the answer of the pattern, once each."""
+    parts = [f'STRSTARTS(MD5(STR(?s)), "{digit}")' for digit in "0123456789abcdef"] + ["isBlank(?s)"]
+    shown = " ".join(f"?{v}" for v in variables)
+    # STR of a blank node is an error, which keeps blank nodes out of the digits.
+    return [f"SELECT {shown} WHERE {{ {pattern} . FILTER({part}) }}" for part in parts]

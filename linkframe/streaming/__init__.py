@@ -1,0 +1 @@
+"""Intentionally empty: the query language has bounded results only, no streams."""

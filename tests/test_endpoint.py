@@ -108,3 +108,13 @@ def test_saved_results(spark, tmp_path):
     assert df.agg(F.sum(terms.number(F.col("v")))).first()[0] == 5.0
     (tmp_path / "b.json").write_text('{"head": {}, "boolean": true}')
     assert [tuple(r) for r in read_results(spark, str(tmp_path / "b.json")).collect()] == [(True,)]
+
+
+def test_reads_are_split_into_disjoint_parts(spark):
+    queries = endpoint.split_queries("so", "?s <http://p> ?o")
+    assert len(queries) == 17 and len(set(queries)) == 17
+    assert queries[0] == 'SELECT ?s ?o WHERE { ?s <http://p> ?o . FILTER(STRSTARTS(MD5(STR(?s)), "0")) }'
+    assert queries[-1].endswith("FILTER(isBlank(?s)) }")
+    graph = endpoint.EndpointTriples(spark, "http://e.invalid/sparql")
+    assert graph.slice("http://p/> }").columns == ["s", "o"]
+    assert graph.triples().columns == ["s", "p", "o"]
