@@ -50,25 +50,28 @@ def _instances(source, class_iris, sample):
     return F.broadcast(samples) if len(class_iris) * sample <= BROADCAST_SUBJECTS else samples
 
 
+def class_fields(source, class_iris, naming, limit, sample, hide_foreign=False):
+    """Fields of each class by use, as many classes per pass as may be broadcast."""
+    rows, batch = [], max(1, BROADCAST_SUBJECTS // max(1, sample))
+    for i in range(0, len(class_iris), batch):
+        rows += properties(source, class_iris[i:i + batch], limit, sample).collect()
+    fields = {iri: [] for iri in class_iris}
+    for row in sorted(rows, key=lambda r: (-r["count"], r["property"])):
+        iri = row["property"]
+        if not (hide_foreign and naming.is_foreign(iri)):
+            fields[row["class"]].append(FieldMeta(naming.shorten(iri), iri, "uri" if row["is_iri"] else "string"))
+    return fields
+
+
 def discover(source, naming, class_limit=100, property_limit=20, sample_limit=10_000, hide_foreign=False):
     """A catalog of what the data holds; every column is text or IRI."""
     catalog = Catalog(naming)
-    found = [(r["class"], r["count"]) for r in classes(source, class_limit).collect()]
-    found = [(iri, n) for iri, n in found if not (hide_foreign and naming.is_foreign(iri))]
-    if not found:
+    found = {r["class"]: r["count"] for r in classes(source, class_limit).collect()}
+    shown = [iri for iri in found if not (hide_foreign and naming.is_foreign(iri))]
+    if not shown:
         return catalog
-    per_class = {iri: [] for iri, _ in found}
-    wanted, rows = list(per_class), []
-    batch = max(1, BROADCAST_SUBJECTS // max(1, sample_limit))
-    for i in range(0, len(wanted), batch):
-        rows += properties(source, wanted[i:i + batch], property_limit, sample_limit).collect()
-    for row in sorted(rows, key=lambda r: (-r["count"], r["property"])):
-        per_class[row["class"]].append(row)
-    for iri, n in found:
-        fields = [
-            FieldMeta(naming.shorten(r["property"]), r["property"], "uri" if r["is_iri"] else "string")
-            for r in per_class[iri] if not (hide_foreign and naming.is_foreign(r["property"]))
-        ]
-        table = TableMeta(naming.shorten(iri), iri, local_name(iri), f"RDF Class: {iri} (Instances: {n})")
-        catalog.add(table, fields)
+    fields = class_fields(source, shown, naming, property_limit, sample_limit, hide_foreign)
+    for iri in shown:
+        description = f"RDF Class: {iri} (Instances: {found[iri]})"
+        catalog.add(TableMeta(naming.shorten(iri), iri, local_name(iri), description), fields[iri])
     return catalog

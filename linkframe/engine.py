@@ -6,7 +6,7 @@ from dataclasses import replace
 from pyspark.errors import AnalysisException, ParseException
 
 from linkframe.catalog import declared, discovery, shacl
-from linkframe.catalog.model import Catalog
+from linkframe.catalog.model import Catalog, subject_field
 from linkframe.config import EngineConfig
 from linkframe.errors import InvalidQuery, LinkframeError, SourceError
 from linkframe.naming import variable_name
@@ -99,6 +99,22 @@ class Engine:
             return Catalog(naming)
         return shacl.shacl_catalog(found, naming, config.hide_foreign_uris)
 
+    def describe_table(self, name):
+        """Fields of one table. A class no schema lists is described from its data,
+        unless the strategy rules that out: then there is only the subject, or nothing."""
+        if self.catalog.table(name) is not None:
+            return self.catalog.fields(name)
+        strategy = self.config.metadata_sync_strategy
+        if strategy == "none":
+            return []
+        if strategy == "shacl":
+            return [subject_field()]
+        iri = self.naming.absolute(name)
+        found = discovery.class_fields(
+            self.source, [iri], self.naming, self.config.property_limit, self.config.sample_limit,
+            self.config.hide_foreign_uris)
+        return [subject_field()] + [replace(f, position=i + 1) for i, f in enumerate(found[iri])]
+
     def invalidate_shapes(self):
         self._shapes.invalidate(self.config.shacl_url)
 
@@ -133,7 +149,7 @@ class Engine:
                 continue
             alias = f"{target.table}__via__{fk.name}"
             if alias not in {j.alias for j in joins}:
-                joins.append(ir.Join(alias, target.table, fk.id))
+                joins.append(ir.Join(alias, target.table, ir.FieldRef(fk.id)))
             fields.append(ir.FieldRef(target.id, alias))
         return replace(stage, fields=tuple(fields), joins=tuple(joins))
 

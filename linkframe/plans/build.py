@@ -168,15 +168,12 @@ class StageBuilder:
 
     def fk_alias(self, join, tables):
         """Alias of the join that holds the foreign key, or None for the own table."""
-        if join.fk_ref is not None and join.fk_ref.join_alias is not None:
-            if join.fk_ref.join_alias not in tables:
-                return None
-            return join.fk_ref.join_alias
-        ref = join.fk_field if join.fk_field is not None else join.fk_ref.ref
-        if self.is_own(ref):
+        if join.key.join_alias is not None:
+            return join.key.join_alias if join.key.join_alias in tables else None
+        if self.is_own(join.key.ref):
             return None
         for alias, (table, _) in tables.items():
-            if alias != join.alias and table is not None and self.belongs_to(table, ref):
+            if alias != join.alias and table is not None and self.belongs_to(table, join.key.ref):
                 return alias
         return None
 
@@ -187,25 +184,21 @@ class StageBuilder:
 
     def join_step(self, join, tables):
         table, class_iri = tables[join.alias]
-        if join.target_ref is not None:
-            target = self.field_meta(table, join.target_ref.ref)
-            if self.property_of(target, join.target_ref.ref) != SUBJECT:
+        if join.target is not None:
+            target = self.field_meta(table, join.target.ref)
+            if self.property_of(target, join.target.ref) != SUBJECT:
                 raise UnsupportedClause(f"join {join.alias} must meet the subject of its table")
         alias = self.fk_alias(join, tables)
-        ref = join.fk_field if join.fk_field is not None else join.fk_ref.ref
-        source = self.joined_field(alias, ref) if alias else self.own_field(ir.FieldRef(ref, None if not join.fk_ref else join.fk_ref.join_alias))
-        if source.key == SUBJECT and alias is None and isinstance(self, BaseStage):
+        source = self.joined_field(alias, join.key.ref) if alias else self.own_field(join.key)
+        if alias is None and source.key == SUBJECT and self.own_class() is not None:
             raise UnsupportedClause(f"join {join.alias} does not start at a foreign key")
         return JoinStep(join.alias, class_iri, table, source)
 
     def fk_alias_of_field(self, fk_field):
         """Alias of the join that follows the given foreign key field."""
         for join in self.stage.joins:
-            ref = join.fk_field if join.fk_field is not None else join.fk_ref.ref
-            if ref == fk_field:
-                return join.alias
-            metas = [self.joins[join.alias].source.meta]
-            if any(m is not None and fk_field in (m.id, m.name) for m in metas):
+            meta = self.joins[join.alias].source.meta
+            if join.key.ref == fk_field or (meta is not None and fk_field in (meta.id, meta.name)):
                 return join.alias
         return None
 

@@ -55,10 +55,9 @@ class Test:
 @dataclass(frozen=True)
 class Join:
     alias: str
-    source_table: int | str | None = None
-    fk_field: int | str | None = None
-    fk_ref: FieldRef | None = None        # foreign key side of the condition
-    target_ref: FieldRef | None = None    # other side of the condition
+    source_table: int | str | None
+    key: FieldRef                         # the foreign key that is followed
+    target: FieldRef | None = None        # other side of an explicit condition
 
 
 @dataclass(frozen=True)
@@ -157,13 +156,16 @@ def parse_join(join):
         raise UnsupportedClause(f"join strategy {strategy!r} is not supported")
     if not join.get("alias"):
         raise InvalidQuery("a join needs an alias")
-    alias, condition = join["alias"], join.get("condition")
-    fk = target = None
+    alias, condition, key_id = join["alias"], join.get("condition"), join.get("fk-field-id")
     if condition is not None:
-        fk, target = _sides(condition, alias)
-    elif join.get("fk-field-id") is None:
+        key, target = _sides(condition, alias)
+    elif key_id is not None:
+        key, target = FieldRef(key_id), None
+    else:
         raise InvalidQuery(f"join {alias} has neither a condition nor a foreign key field")
-    return Join(alias, join.get("source-table"), join.get("fk-field-id"), fk, target)
+    if key_id is not None:
+        key = FieldRef(key_id, key.join_alias)
+    return Join(alias, join.get("source-table"), key, target)
 
 
 def _sides(condition, alias):

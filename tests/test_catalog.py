@@ -180,6 +180,13 @@ def test_explicit(spark):
     assert [f.name for f in hiding.catalog.fields("Person")] == ["subject", "age"]
 
 
+def test_describing_a_table_no_schema_lists(spark):
+    names = lambda **settings: [f.name for f in engine(spark, PEOPLE, **settings).describe_table("Company")]
+    assert names(metadata_sync_strategy="explicit", schema_config=EXPLICIT) == ["subject", V.RDF_TYPE, V.RDFS + "label"]
+    assert names(metadata_sync_strategy="shacl") == ["subject"]
+    assert names(metadata_sync_strategy="none") == []
+
+
 def test_none_and_fallback_to_auto(spark):
     assert engine(spark, PEOPLE).catalog.tables() == []
     for settings in ({"metadata_sync_strategy": "explicit", "schema_config": "{broken"},
