@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from linkframe.naming import has_scheme
+from linkframe.plans.bindings import TermBinding
 from linkframe.plans.ir import Logical
 
 
@@ -25,6 +26,21 @@ def predicate(node, resolve):
     return _TESTS[node.op](binding, holds_iris, node)
 
 
+def narrowing(node, resolve):
+    """A plain ``value = text`` every row passing the condition must meet, or None.
+
+    It adds nothing to the result, but unlike the full comparison of terms it
+    reaches the scan, where statistics and Bloom filters skip row groups.
+    """
+    if isinstance(node, Logical) or node.op != "=" or not all(isinstance(v, str) for v in node.values):
+        return None
+    binding, _ = resolve(node.field)
+    if not isinstance(binding, TermBinding) or binding.node:
+        return None
+    lexical = binding.value["value"]
+    return lexical == node.values[0] if len(node.values) == 1 else lexical.isin(list(node.values))
+
+
 def _equals_any(binding, holds_iris, node):
     tests = []
     for value in node.values:

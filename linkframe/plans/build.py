@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from linkframe.errors import InvalidQuery, UnsupportedClause
 from linkframe.naming import variable_name
 from linkframe.operators import aggregates as A
-from linkframe.operators.filters import predicate
+from linkframe.operators.filters import narrowing, predicate
 from linkframe.plans import ir
 from linkframe.plans.bindings import KeyBinding, TermBinding, ValueBinding
 from linkframe.plans.frame import SUBJECT, Frame, Names, Output, keep_columns
@@ -230,6 +230,12 @@ class StageBuilder:
     def build(self, expected=None):
         stage = self.stage
         self.order_joins()
+        early, late = self.split_filter()
+        for part in early:
+            # Properties a filter reads are joined first: rows it drops then
+            # never reach the joins of the properties that are only shown.
+            for field in ir.filter_fields(part):
+                self.need(self.resolve(field))
         outputs = None
         if stage.aggregations:
             for field in list(stage.breakouts) + [a.field for a in stage.aggregations if a.field]:
@@ -246,22 +252,34 @@ class StageBuilder:
                 self.need(step.source)
 
         df = self.load_own()
-        early, late = [], []
-        for part in ir.conjuncts(stage.filter):
-            own = all(self.resolve(f).alias is None for f in ir.filter_fields(part))
-            (early if own else late).append(part)
         df = self.keep_language(df, [None])
-        for part in early:
-            df = df.where(predicate(part, self.lookup))
-
+        df = self.where(df, early)
         if not stage.aggregations:
             df = self.load_joins(df)
             df = self.keep_language(df, self.joins)
-            for part in late:
-                df = df.where(predicate(part, self.lookup))
+            df = self.where(df, late)
             return self.finish_rows(df, outputs)
         return self.finish_groups(df, late)
 
+    def split_filter(self):
+        """Conditions on own fields only, and those that need a join."""
+        early, late = [], []
+        for part in ir.conjuncts(self.stage.filter):
+            own = True
+            try:
+                own = all(self.resolve(f).alias is None for f in ir.filter_fields(part))
+            except InvalidQuery:
+                # Perhaps a name that only an expected column introduces.
+                own = False
+            (early if own else late).append(part)
+        return early, late
+
+    def where(self, df, parts):
+        for part in parts:
+            test, scan_test = predicate(part, self.lookup), narrowing(part, self.lookup)
+            df = df.where(test if scan_test is None else scan_test & test)
+        return df
+
     def keep_language(self, df, aliases):
         """Drop rows whose bound text is in another language (never an untagged one).
 
@@ -314,8 +332,7 @@ class StageBuilder:
             merged = False
         df = self.load_joins(df)
         df = self.keep_language(df, self.joins)
-        for part in late:
-            df = df.where(predicate(part, self.lookup))
+        df = self.where(df, late)
         if not own_only:
             plans = self.plan_aggregates()
         columns = [c for g in groups for c in self.binding(g).columns]

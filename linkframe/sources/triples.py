@@ -21,6 +21,11 @@ HOT_LIMIT = 2000
 HOT_MIN_ROWS = 1_000_000
 HOT_SAMPLE = 0.01
 SALTS = 64
+# Rows are clustered by subject, so a search by value needs a Bloom filter.
+_BLOOM = {
+    "parquet.bloom.filter.enabled#o.value": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 
 
 class TripleSource:
@@ -184,9 +189,8 @@ def write_triples(triples, path, min_hot_rows=HOT_MIN_ROWS):
     cluster = F.when(F.col("p") == V.RDF_TYPE, F.col("o.value")).otherwise(F.lit(""))
     laid_out = distinct.withColumn("cluster", cluster).repartitionByRange(
         "p", "cluster", "s", F.xxhash64("o"))
-    laid_out.sortWithinPartitions("p", "cluster", "s").drop("cluster").write.partitionBy("p").parquet(
-        f"{path}/triples"
-    )
+    sorted_rows = laid_out.sortWithinPartitions("p", "cluster", "s").drop("cluster")
+    sorted_rows.write.partitionBy("p").options(**_BLOOM).parquet(f"{path}/triples")
     hot_subjects(spark.read.parquet(f"{path}/triples"), min_hot_rows).write.parquet(f"{path}/hot")
     return TripleSource.open(spark, path)
 
@@ -203,7 +207,7 @@ def save_triples(triples, name, path, buckets, min_hot_rows=HOT_MIN_ROWS):
     # The bucket number Spark will use, so that each task writes few files.
     bucket = F.pmod(F.hash("s"), F.lit(buckets))
     laid_out = distinct.repartitionByRange("p", bucket, "s", F.xxhash64("o"))
-    writer = laid_out.write.partitionBy("p").bucketBy(buckets, "s").sortBy("s")
+    writer = laid_out.write.partitionBy("p").bucketBy(buckets, "s").sortBy("s").options(**_BLOOM)
     writer.option("path", f"{path}/triples").saveAsTable(name)
     hot = hot_subjects(spark.table(name), min_hot_rows)
     hot.write.option("path", f"{path}/hot").saveAsTable(f"{name}_hot")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -15,6 +16,7 @@ def spark():
         SparkSession.builder.master("local[4]").appName("linkframe-tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="/tmp/run-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -55,6 +55,19 @@ def test_written_table_answers_like_the_plain_one(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(p" in plan
 
 
+def test_filters_reach_the_stored_table(spark, tmp_path):
+    graph = bound(write_triples(triples(spark, BODY + ':a :n "x" . :b :n "y" .'), str(tmp_path / "kg")))
+    scans = lambda df: [l for l in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in l]
+    by_subject = graph.query({"source-table": "C", "fields": [field("p")], "filter": ["=", field("subject"), NS + "a"]})
+    assert rows(by_subject)[0] == (NS + "a", 1) and len(rows(by_subject)) == 10
+    assert all(f"EqualTo(s,{NS}a)" in l or "IsNotNull(o.kind)" in l for l in scans(by_subject.to_df("text")))
+    # The filtered property is joined before the one that is only shown.
+    by_value = graph.query({"source-table": "C", "fields": [field("p")], "filter": ["=", field("n"), "y"]})
+    assert rows(by_value) == [(NS + "b", 1)]
+    found = scans(by_value.to_df("text"))
+    assert [("EqualTo(o.value,y)" in l) for l in found] == [False, True, False]
+
+
 def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
     doubled = triples(spark, BODY).union(triples(spark, BODY))
     saved = T.save_triples(doubled, "kg_test", str(tmp_path / "kg"), buckets=4, min_hot_rows=1000)
