@@ -18,33 +18,38 @@ TERM_TYPE = "struct<kind:string,value:string,datatype:string,lang:string>"
 XSD_STRING = V.XSD + "string"
 
 
-def _term(kind, value, datatype, lang):
+def _term(kind, value, datatype, lang, bound):
     built = F.struct(
         kind.alias("kind"), value.alias("value"), datatype.alias("datatype"), lang.alias("lang")
     )
-    return F.when(value.isNotNull(), built)
+    return built if bound else F.when(value.isNotNull(), built)
 
 
 def _col(x):
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def iri_term(value):
-    return _term(F.lit(V.IRI), _col(value), F.lit(""), F.lit(""))
+# Makers of terms. ``bound=True`` states that the value is never NULL, which
+# spares a test per row and lets the optimiser see through the struct.
 
 
-def literal_term(value, datatype=XSD_STRING, lang=""):
-    return _term(F.lit(V.LITERAL), _col(value).cast("string"), _col(datatype), _col(lang))
+def iri_term(value, bound=False):
+    return _term(F.lit(V.IRI), _col(value), F.lit(""), F.lit(""), bound)
 
 
-def lang_term(value, lang):
-    return _term(F.lit(V.LITERAL), value, F.lit(V.RDF_LANG_STRING), F.coalesce(lang, F.lit("")))
+def literal_term(value, datatype=XSD_STRING, lang="", bound=False):
+    return _term(F.lit(V.LITERAL), _col(value).cast("string"), _col(datatype), _col(lang), bound)
 
 
-def node_term(node):
+def lang_term(value, lang, bound=False):
+    tag = F.coalesce(lang, F.lit(""))
+    return _term(F.lit(V.LITERAL), value, F.lit(V.RDF_LANG_STRING), tag, bound)
+
+
+def node_term(node, bound=False):
     """Term of a resource stored as plain text (``_:x`` marks a blank node)."""
     kind = F.when(node.startswith("_:"), F.lit(V.BNODE)).otherwise(F.lit(V.IRI))
-    return _term(kind, node, F.lit(""), F.lit(""))
+    return _term(kind, node, F.lit(""), F.lit(""), bound)
 
 
 def node_key(term):

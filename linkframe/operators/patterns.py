@@ -123,8 +123,8 @@ def _pattern(source, pattern):
         for part in ("kind", "value", "datatype", "lang"):
             triples = triples.where(F.col("o")[part] == wanted[part])
     columns = {}
-    for name, term in ((_variable(s), terms.node_term(F.col("s"))),
-                       (_variable(p), terms.iri_term(F.col("p"))),
+    for name, term in ((_variable(s), terms.node_term(F.col("s"), bound=True)),
+                       (_variable(p), terms.iri_term(F.col("p"), bound=True)),
                        (_variable(o), F.col("o"))):
         if name is None:
             continue

@@ -214,7 +214,7 @@ class MappedSource:
     def _type_rows(self, class_iri):
         subject = self._key_binding(class_iri).shown()
         return self.classes[class_iri].df.select(
-            subject.alias("s"), F.lit(V.RDF_TYPE).alias("p"), _always(terms.iri_term(class_iri)).alias("o")
+            subject.alias("s"), F.lit(V.RDF_TYPE).alias("p"), terms.iri_term(class_iri, bound=True).alias("o")
         )
 
     def _property_rows(self, class_iri, prop):
@@ -228,21 +228,16 @@ class MappedSource:
             subject, value = F.col("s"), F.col("value")
         if mapped.references:
             target = self.naming.absolute(mapped.references)
-            term = terms.iri_term(F.concat(F.lit(target + "/"), value.cast("string")))
+            term = terms.iri_term(F.concat(F.lit(target + "/"), value.cast("string")), bound=True)
         elif lang is not None:
-            term = terms.lang_term(value, lang)
+            term = terms.lang_term(value, lang, bound=True)
         else:
-            term = terms.literal_term(_lexical(value, dtype), _xsd_type(dtype))
+            term = terms.literal_term(_lexical(value, dtype), _xsd_type(dtype), bound=True)
         return rows.where(value.isNotNull()).select(
-            subject.alias("s"), F.lit(prop).alias("p"), _always(term).alias("o")
+            subject.alias("s"), F.lit(prop).alias("p"), term.alias("o")
         )
 
 
-def _always(term):
-    """All branches of a union share one nullable term type."""
-    return term.cast(terms.TERM_TYPE)
-
-
 def _lexical(value, dtype):
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
