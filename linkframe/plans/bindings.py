@@ -88,7 +88,7 @@ class ValueBinding:
         if self.lang_column is None:
             return None
         tag = F.coalesce(F.col(self.lang_column), F.lit(""))
-        return self.value.isNull() | tag.isin(lang, "")
+        return self.value.isNull() | F.lower(tag).isin(lang.lower(), "")
 
     def sort_key(self):
         return self.value
@@ -231,7 +231,7 @@ class TermBinding:
     def language_is(self, lang):
         if self.node:
             return None
-        return self.value.isNull() | terms.lang(self.value).isin(lang, "")
+        return self.value.isNull() | F.lower(terms.lang(self.value)).isin(lang.lower(), "")
 
     def sort_key(self):
         return terms.sort_key(self.value)

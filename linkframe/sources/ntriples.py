@@ -24,23 +24,34 @@ _SEPARATOR = "\u0001"
 _REORDERED = _SEPARATOR.join(["$1", "$2", "$3", "$4", "$5", "$7", "$8", "$9", "$10", "$6"])
 
 
-def read_ntriples(spark, path):
-    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
+def read_ntriples(spark, path, blanks_per_file=False):
+    """``g, s, p, o`` rows of all files at ``path``.
+
+    Blank node labels hold for one document. The files at ``path`` count as parts
+    of one document, as a dump has them; ``blanks_per_file`` keeps files apart.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path")
+    lines = lines.where(~F.col("value").rlike(r"^\s*(#.*)?$"))
     checked = F.when(F.col("value").rlike(_STATEMENT), F.col("value")).otherwise(
         F.raise_error(F.concat(F.lit("not an N-Triples statement: "), F.col("value")))
     )
     parts = lines.select(
         F.split(F.regexp_replace(checked, _STATEMENT, _REORDERED), _SEPARATOR, 10).alias("f"),
         F.col("value").rlike(r"^\s*(?:<[^>]*>|_:\S+?)\s*<[^>]*>\s*\"").alias("is_literal"),
+        (F.concat(F.lit("."), F.hex(F.xxhash64("file_path"))) if blanks_per_file else F.lit("")).alias("scope"),
     )
     f = F.col("f")
-    subject = F.when(f[0] != "", _unescape(f[0])).otherwise(f[1])
-    resource = F.when(f[3] != "", terms.iri_term(_unescape(f[3]))).otherwise(terms.node_term(f[4]))
+
+    def blank(i):
+        return F.when(f[i] != "", F.concat(f[i], F.col("scope")))
+
+    subject = F.when(f[0] != "", _unescape(f[0])).otherwise(blank(1))
+    resource = F.when(f[3] != "", terms.iri_term(_unescape(f[3]))).otherwise(terms.node_term(blank(4)))
     datatype = (
         F.when(f[6] != "", V.RDF_LANG_STRING).when(f[5] != "", f[5]).otherwise(terms.XSD_STRING)
     )
     literal = terms.literal_term(_unescape(f[9]), datatype, F.lower(f[6]))
-    graph = F.when(f[7] != "", f[7]).when(f[8] != "", f[8])
+    graph = F.when(f[7] != "", f[7]).otherwise(blank(8))
     return parts.select(
         graph.alias("g"), subject.alias("s"), _unescape(f[2]).alias("p"),
         F.when(F.col("is_literal"), literal).otherwise(resource).alias("o"),

@@ -88,3 +88,13 @@ def test_a_broken_line_fails_the_job(spark, tmp_path):
     (tmp_path / "a.nt").write_text("<http://s> <http://p> oops .\n")
     with pytest.raises(Exception, match="not an N-Triples statement"):
         read_ntriples(spark, str(tmp_path)).collect()
+
+
+def test_blank_nodes_of_several_files(spark, tmp_path):
+    for name in ("a.nt", "b.nt"):
+        (tmp_path / name).write_text("_:x <http://p> _:x .\n")
+    together = read_ntriples(spark, str(tmp_path))
+    apart = read_ntriples(spark, str(tmp_path), blanks_per_file=True)
+    assert together.select("s").distinct().count() == 1
+    assert apart.select("s").distinct().count() == 2
+    assert apart.where("s = o.value").count() == 2

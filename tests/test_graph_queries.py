@@ -175,6 +175,8 @@ def test_other_languages_leave_unbound_stays(spark):
     graph = engine(spark, LANGUAGES, tagged, default_language="nl")
     result = graph.query({"source-table": "L", "fields": [field("text")]})
     assert rows(result) == [(NS + "both", "hoi"), (NS + "nl", "hallo"), (NS + "none", None), (NS + "plain", "42")]
+    shouted = engine(spark, LANGUAGES, tagged, default_language="NL")
+    assert rows(shouted.query({"source-table": "L", "fields": [field("text")]})) == rows(result)
     unread = graph.query({"source-table": "L"})
     assert len(rows(unread)) == 5
     expected = graph.query({"source-table": "L"}, [dict(name="text")])

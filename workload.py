@@ -660,6 +660,38 @@ def native_lang_datatype(spark, directory):
         F.count(F.lit(1)).alias("n"))
 
 
+@register("native_if_coalesce_in", f"""select {iri('Document', 'd.doc_id')} as doc,
+    coalesce(quality::varchar, if(lang in ('en', 'fr'), 'unrated', 'unread')) as rating from {DOC_LABELS}""")
+def native_if_coalesce_in(spark, directory):
+    graph = triple_source(spark, directory, ["Document", "Label"])
+    df = match(graph, ("?doc", prop("label"), "?label"), ("?doc", prop("lang"), "?lang"))
+    df = optional(df, graph, ("?label", prop("quality"), "?quality"))
+    fallback = F.when(terms.plain_string(F.col("lang")).isin("en", "fr"), "unrated").otherwise("unread")
+    return df.select(F.col("doc.value").alias("doc"),
+                     F.coalesce(terms.text(F.col("quality")), fallback).alias("rating"))
+
+
+@register("native_bind_strdt", f"""select {iri('Part', 'p_partkey')} as part, length(p_name)::bigint * p_size as area
+                                   from part where length(p_name) * p_size > 200""")
+def native_bind_strdt(spark, directory):
+    """BIND of a computed, retyped value, and a filter on it."""
+    graph = triple_source(spark, directory, ["Part"])
+    df = match(graph, ("?part", prop("p_name"), "?name"), ("?part", prop("p_size"), "?size"))
+    product = F.length(terms.text(F.col("name"))) * terms.number(F.col("size"))
+    df = df.withColumn("area", terms.literal_term(product.cast("bigint"), V.XSD + "integer"))
+    df = df.where(terms.compare(F.col("area"), ">", 200))
+    return df.select(F.col("part.value").alias("part"), terms.number(F.col("area")).cast("bigint").alias("area"))
+
+
+@register("native_predicate_variable", f"""select '{B}' || p as p, count(*) as n from (
+    select unnest(['c_custkey', 'c_name', 'c_acctbal', 'c_mktsegment', 'c_nationkey']) as p from customer)
+    group by 1 union all select '{V.RDF_TYPE}', count(*) from customer""")
+def native_predicate_variable(spark, directory):
+    graph = triple_source(spark, directory, ["Customer"])
+    df = match(graph, ("?s", "a", B + "Customer"), ("?s", "?p", "?o"))
+    return df.groupBy(F.col("p.value").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def sql_over_views(classes, text, parameters):
     def run(spark, directory):
         engine = model.engine(spark, directory, classes)
