@@ -316,29 +316,21 @@ class StageBuilder:
 
     def finish_groups(self, df, late):
         stage = self.stage
-        groups = []
-        for field in stage.breakouts:
-            resolved = self.resolve(field)
-            if resolved not in groups:
-                groups.append(resolved)
-        plans = []
+        groups = list(dict.fromkeys(self.resolve(f) for f in stage.breakouts))
         own_only = all(a.field is None or self.resolve(a.field).alias is None for a in stage.aggregations)
-        if own_only:
-            plans = self.plan_aggregates()
-        if own_only and self.should_pre_aggregate(groups, late, plans):
+        plans = self.plan_aggregates() if own_only else []
+        grouped_early = own_only and self.should_pre_aggregate(groups, late, plans)
+        if grouped_early:
             df = self.group_early(df, groups, late, plans)
-            merged = True
-        else:
-            merged = False
         df = self.load_joins(df)
         df = self.keep_language(df, self.joins)
         df = self.where(df, late)
         if not own_only:
             plans = self.plan_aggregates()
-        columns = [c for g in groups for c in self.binding(g).columns]
-        parts = [p for plan in plans for p in (plan.merged() if merged else plan.computed())]
-        df = df.groupBy(*dict.fromkeys(columns)).agg(*parts)
-        df = df.select(*dict.fromkeys(columns), *[p.result.alias(p.binding.column) for p in plans])
+        columns = list(dict.fromkeys(c for g in groups for c in self.binding(g).columns))
+        parts = [p for plan in plans for p in (plan.merged() if grouped_early else plan.computed())]
+        df = df.groupBy(*columns).agg(*parts)
+        df = df.select(*columns, *[p.result.alias(p.binding.column) for p in plans])
         shown = [Output(g.name, self.binding(g), g.meta, g.alias) for g in groups]
         shown += [Output(f"ag_{i}", plan.binding) for i, plan in enumerate(plans)]
 

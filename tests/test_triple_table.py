@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from graphs import NS, engine, field, rows, triples
+from graphs import NS, field, rows, triples
 from linkframe import Engine, EngineConfig, InvalidQuery, TripleSource, UnsupportedClause, write_triples
 from linkframe.functions import terms
 from linkframe.operators.patterns import Literal, exists, match, not_exists, optional, values
