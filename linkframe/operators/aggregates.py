@@ -5,7 +5,7 @@ expression. Spark combines partials before each shuffle; the merge rule also
 lets a query aggregate by foreign key *before* it joins (see plans.build).
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -119,6 +119,11 @@ def least_or_greatest(op, binding, name, names):
         keyed = F.when(binding.is_bound(), F.struct(binding.sort_key().alias("k"), binding.value.alias("t")))
         return Aggregate({m: Part(function(keyed), op)}, F.col(m)["t"],
                          TermBinding(name, declared=binding.declared))
+    if isinstance(binding, KeyBinding) and len(binding.key_columns) == 1:
+        # IRIs order as text; the key travels along, so the result can be joined on.
+        pair = F.struct(binding.shown().alias("iri"), F.col(binding.key_columns[0]).alias("key"))
+        return Aggregate({m: Part(function(F.when(binding.is_bound(), pair)), op)}, F.col(m)["key"],
+                         replace(binding, key_columns=(name,), unique=False))
     if isinstance(binding, KeyBinding):
         return Aggregate({m: Part(function(binding.shown()), op)}, F.col(m),
                          ValueBinding(name, T.StringType()))

@@ -330,7 +330,7 @@ class StageBuilder:
         columns = list(dict.fromkeys(c for g in groups for c in self.binding(g).columns))
         parts = [p for plan in plans for p in (plan.merged() if grouped_early else plan.computed())]
         df = df.groupBy(*columns).agg(*parts)
-        df = df.select(*columns, *[p.result.alias(p.binding.column) for p in plans])
+        df = df.select(*columns, *[p.result.alias(p.binding.columns[0]) for p in plans])
         shown = [Output(g.name, self.binding(g), g.meta, g.alias) for g in groups]
         shown += [Output(f"ag_{i}", plan.binding) for i, plan in enumerate(plans)]
 

@@ -138,3 +138,12 @@ def test_keys_of_all_kinds(engines, query):
 def test_classes_must_be_mapped(engines):
     with pytest.raises(InvalidQuery, match="no table is mapped"):
         engines[""][0].query({"source-table": "Nothing"})
+
+
+def test_following_an_aggregated_key(engines):
+    inner = {"source-table": "Person", "breakout": [field("ok")], "aggregation": [["min", field("boss")]]}
+    followed = same(engines, {"source-query": inner, "joins": [
+        {"alias": "B", "source-table": "Person", "condition": ["=", field("min"), field("subject", "B")]}],
+        "fields": [field("ok"), field("min"), field("name", "B")]})
+    assert followed == [
+        (False, BASE + "Person/1", "Ann"), (None, BASE + "Person/5", "Eve"), (True, BASE + "Person/2", "Bob")]
