@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, robust_rules, sharding, url_filter
+from . import chat, labels, nbsvm, robust_rules, sharding, toxicity, url_filter, warc
 
 SHARDS = 24
 HOST_RULES = [
@@ -19,6 +19,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, method = _table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity.Counterfactual()
+    model = method.fit(labels.training_sample(docs, _table(spark, sf_dir, "labels"), "toxic", method.most_labelled))
+    scored = docs.select("doc_id", labels.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    index = warc.write(warc.plan(pages, "page_id", "url", F.col("html").cast("binary")))
+    return warc.read(index).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, method = _table(spark, sf_dir, "documents").select("doc_id", "text"), nbsvm.NbSvm()
+    model = method.fit(labels.training_sample(docs, _table(spark, sf_dir, "labels"), "quality", method.most_labelled))
+    score = nbsvm.score(spark, model, F.col("text"))
+    scored = docs.select("doc_id", labels.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -48,10 +70,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *robust_rules.STATS, "base_failed", "kept", F.round("distance", 6).alias("distance"))
 
 
-QUERIES = {f.__name__: f for f in (op5_sharding, op7_chat_formatting, op8_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_warc, op4_quality_classifier, op5_sharding, op7_chat_formatting, op8_url_filters, op10_quality_rules)}
 
+#: SHA-1 in base32: five hex digits are twenty bits, four letters.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (((('0x' || substr(hex, cast(5 * (i // 4) + 1 AS BIGINT), 5))::BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '')"""
 _SPAM = ",\n        ".join(f"({r.rank}, '{r.text}', '{r.pattern.removeprefix('(?is)')}')" for r in url_filter.SPAM)
 ORACLES = {
+    "op3_warc": f"""
+        WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
+        firsts AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM payloads)
+        SELECT page_id, cast(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+            CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM firsts""",
     "op7_chat_formatting": rf"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
