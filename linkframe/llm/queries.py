@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, labels, nbsvm, robust_rules, sharding, toxicity, url_filter, warc
+from . import chat, decontamination, jaccard_join, labels, nbsvm, packing, robust_rules, sharding, toxicity, url_filter, warc
 
 SHARDS = 24
+TOKENIZER = "word_bpe_49k.json"
 HOST_RULES = [
     url_filter.host_rule("com", "/", "allow"), url_filter.host_rule("example.com", "/en/", "block"),
     url_filter.host_rule("www.example.com", "/en/", "allow"), url_filter.host_rule("net", "/es/", "block"),
@@ -26,6 +28,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return decontamination.Tiling().pairs(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     index = warc.write(warc.plan(pages, "page_id", "url", F.col("html").cast("binary")))
@@ -47,6 +54,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.ChosenPath().join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -62,6 +73,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~is_host, F.col("rule")).alias("pattern"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return packing.pack(cut).withColumnRenamed("row", "doc_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = robust_rules.RobustRules()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -70,7 +86,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *robust_rules.STATS, "base_failed", "kept", F.round("distance", 6).alias("distance"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_warc, op4_quality_classifier, op5_sharding, op7_chat_formatting, op8_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_decontamination, op3_warc, op4_quality_classifier, op5_sharding, op6_ngram_jaccard_join, op7_chat_formatting,
+    op8_url_filters, op9_packing, op10_quality_rules,
+)}
 
 #: SHA-1 in base32: five hex digits are twenty bits, four letters.
 _BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
