@@ -5,8 +5,9 @@ fields. ``sh:node`` is inheritance. A small annotation vocabulary (namespace is
 configurable) hides shapes, sets semantic types and picks display values.
 """
 
+import re
 import time
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from urllib.error import HTTPError
 from urllib.request import Request, urlopen
 
@@ -40,136 +41,123 @@ class PropertyShape:
 
 @dataclass(frozen=True)
 class ClassShape:
-    node: object
     class_iri: str
-    hidden: bool = False
     description: str | None = None
-    parents: tuple = ()
     properties: dict = field(default_factory=dict)      # property IRI -> PropertyShape
 
 
-class _Graph:
-    """Objects by subject and predicate, in document order."""
+# ---- reading one value from the objects of a statement -------------------------------
+# Each reader takes the list of objects (maybe empty) and the wanted language.
 
-    def __init__(self, triples):
-        self.index = {}
-        for s, p, o in triples:
-            self.index.setdefault(s, {}).setdefault(p.value, []).append(o)
 
-    def all(self, node, predicate):
-        return self.index.get(node, {}).get(predicate, [])
+def an_iri(objects, language):
+    return objects[0].value if objects and objects[0].kind == V.IRI else None
 
-    def iri(self, node, predicate):
-        first = next(iter(self.all(node, predicate)), None)
-        return first.value if first is not None and first.kind == V.IRI else None
 
-    def whole(self, node, predicate):
-        first = next(iter(self.all(node, predicate)), None)
-        if first is None or first.kind != V.LITERAL:
-            return None
-        try:
-            return int(first.value)
-        except ValueError:
-            return None
+def a_number(objects, language):
+    written = objects[0].value.strip() if objects and objects[0].kind == V.LITERAL else ""
+    return int(written) if re.fullmatch(r"[+-]?[0-9]+", written) else None
 
-    def flag(self, node, predicate):
-        first = next(iter(self.all(node, predicate)), None)
-        return first is not None and first.kind == V.LITERAL and first.value.lower() in ("true", "1")
 
-    def localized(self, node, predicate, language):
-        return pick_localized(self.all(node, predicate), language)
+def a_flag(objects, language):
+    return bool(objects) and objects[0].kind == V.LITERAL and objects[0].value.lower() in ("true", "1")
 
 
-def pick_localized(terms, language):
-    """The text in ``language``, else an untagged one, else the first."""
-    texts = [t for t in terms if t.kind == V.LITERAL]
-    exact = [t for t in texts if language and t.lang == language.lower()]
-    untagged = [t for t in texts if not t.lang]
-    best = (exact or untagged or texts or [None])[0]
-    return best.value if best is not None else None
+def a_text(objects, language):
+    """The text in ``language``, else an untagged one, else the first in the document."""
+    wanted = [language.lower()] if language else []
+    rank = {tag: i for i, tag in enumerate([*wanted, ""])}
+    texts = [t for t in objects if t.kind == V.LITERAL]
+    return min(texts, key=lambda t: rank.get(t.lang, len(rank))).value if texts else None
 
 
-def semantic_type(term):
+def a_type_name(objects, language):
     """``type/URL``, ``:type/URL`` or ``URL`` -> ``URL``; None for anything blank."""
-    if term is None or term.kind == V.BNODE or not term.value.strip():
+    if not objects or objects[0].kind == V.BNODE:
         return None
-    return term.value.strip().removeprefix(":").removeprefix("type/") or None
+    return re.sub(r"^:?(type/)?", "", objects[0].value.strip()) or None
 
 
-def shapes(triples, language="", annotations=DEFAULT_ANNOTATIONS):
-    """``[ClassShape]``, inheritance resolved, one per class, hidden ones left out."""
-    graph = _Graph(triples)
-    sh = V.SHACL
-    nodes = [
-        node for node, by_predicate in graph.index.items()
-        if sh + "targetClass" in by_predicate
-        or any(t.value == sh + "NodeShape" and t.kind == V.IRI for t in by_predicate.get(V.RDF_TYPE, []))
-    ]
-    found = [_class_shape(graph, n, language, annotations) for n in nodes]
-    # Hidden shapes go first, so nothing is inherited from them.
-    visible = {s.node: s for s in found if s is not None and not s.hidden}
-    merged = {}
-    for shape in visible.values():
-        inherited = replace(shape, properties=_with_inherited(shape.node, visible, frozenset()))
-        earlier = merged.get(shape.class_iri)
-        merged[shape.class_iri] = inherited if earlier is None else replace(
-            earlier,
-            description=earlier.description or inherited.description,
-            properties={**earlier.properties, **inherited.properties},
-        )
-    return [
-        replace(s, properties={i: p for i, p in s.properties.items() if not p.hidden})
-        for s in merged.values()
-    ]
+#: What is read of a property shape: name, namespace (SHACL or annotations), local name, reader.
+PROPERTY_COLUMNS = [
+    ("path", "sh", "path", an_iri), ("datatype", "sh", "datatype", an_iri), ("target", "sh", "class", an_iri),
+    ("node_kind", "sh", "nodeKind", an_iri), ("order", "sh", "order", a_number), ("least", "sh", "minCount", a_number),
+    ("name", "sh", "name", a_text), ("comment", "sh", "description", a_text),
+    ("hidden", "note", "hide", a_flag), ("annotated", "note", "semanticType", a_type_name),
+    ("display", "note", "displayValueProperty", an_iri),
+]
+#: And of a node shape.
+NODE_COLUMNS = [("target", "sh", "targetClass", an_iri), ("comment", "sh", "description", a_text), ("hidden", "note", "hide", a_flag)]
 
 
-def _class_shape(graph, node, language, annotations):
-    target = graph.iri(node, V.SHACL + "targetClass")
-    if target is None:
-        return None
-    own = (_property_shape(graph, p, language, annotations) for p in graph.all(node, V.SHACL + "property"))
-    return ClassShape(
-        node, target,
-        hidden=graph.flag(node, annotations + "hide"),
-        description=graph.localized(node, V.SHACL + "description", language),
-        parents=tuple(t for t in graph.all(node, V.SHACL + "node")),
-        properties={p.iri: p for p in own if p is not None},
-    )
+class Statements:
+    """The objects of every (subject, predicate), in document order."""
 
+    def __init__(self, triples):
+        self.objects, self.subjects = {}, {}
+        for s, p, o in triples:
+            self.objects.setdefault((s, p.value), []).append(o)
+            self.subjects[s] = True
 
-def _property_shape(graph, node, language, annotations):
-    sh = V.SHACL
-    path = graph.iri(node, sh + "path")
-    if path is None:
-        return None
-    datatype, target = graph.iri(node, sh + "datatype"), graph.iri(node, sh + "class")
-    annotated = semantic_type(next(iter(graph.all(node, annotations + "semanticType")), None))
-    derived = "FK" if target else "URL" if datatype == V.XSD + "anyURI" else None
-    texts = [graph.localized(node, sh + n, language) for n in ("name", "description")]
-    return PropertyShape(
-        path,
-        base_type=V.DECLARED_BASE_TYPE.get(datatype, V.TEXT),
-        semantic_type=annotated or derived,
-        description=" — ".join(t for t in texts if t and t.strip()) or None,
-        order=graph.whole(node, sh + "order"),
-        holds_iris=bool(target) or graph.iri(node, sh + "nodeKind") == sh + "IRI",
-        target_class=target,
-        display_property=graph.iri(node, annotations + "displayValueProperty"),
-        required=(graph.whole(node, sh + "minCount") or 0) > 0,
-        lang_string=datatype == V.RDF_LANG_STRING,
-        hidden=graph.flag(node, annotations + "hide"),
-    )
+    def of(self, node, predicate):
+        return self.objects.get((node, predicate), [])
+
+    def row(self, node, columns, namespaces, language):
+        return {name: read(self.of(node, namespaces[space] + local), language) for name, space, local, read in columns}
 
 
-def _with_inherited(node, visible, above):
-    """Properties of a shape and its ancestors; the nearest declaration wins."""
-    if node in above or node not in visible:
-        return {}
-    collected = {}
-    for parent in visible[node].parents:
-        collected.update(_with_inherited(parent, visible, above | {node}))
-    collected.update(visible[node].properties)
-    return collected
+def shapes(triples, language="", annotations=DEFAULT_ANNOTATIONS):
+    """``[ClassShape]``, inheritance resolved, one per class, hidden ones left out."""
+    found, spaces = Statements(triples), {"sh": V.SHACL, "note": annotations}
+    nodes = {}
+    for subject in found.subjects:
+        row = found.row(subject, NODE_COLUMNS, spaces, language)
+        # A hidden shape is gone before anything could be inherited from it.
+        if row["target"] is not None and not row["hidden"]:
+            nodes[subject] = row
+    declared = {n: _declared(found, n, spaces, language) for n in nodes}
+    edges = {n: [p for p in found.of(n, V.SHACL + "node") if p in nodes and p != n] for n in nodes}
+    by_class = {}
+    for node, row in nodes.items():
+        by_class.setdefault(row["target"], []).append(node)
+    return [_class_shape(iri, same, nodes, edges, declared) for iri, same in by_class.items()]
+
+
+def _class_shape(iri, same, nodes, edges, declared):
+    """One class from all shapes that target it: what a later shape says of a property holds."""
+    properties = {}
+    for node in same:
+        # From the farthest ancestors to the shape itself, so that the nearest declaration is the last.
+        for level in reversed(_levels(node, edges)):
+            for ancestor in level:
+                properties |= declared[ancestor]
+    comments = [nodes[n]["comment"] for n in same if nodes[n]["comment"]]
+    return ClassShape(iri, next(iter(comments), None), {i: p for i, p in properties.items() if not p.hidden})
+
+
+def _levels(node, edges):
+    """The closure of the inheritance edges by distance; each shape stands at its nearest."""
+    levels, seen = [[node]], {node}
+    while levels[-1]:
+        following = dict.fromkeys(p for n in levels[-1] for p in edges[n] if p not in seen)
+        seen |= following.keys()
+        levels.append(list(following))
+    return levels[:-1]
+
+
+def _declared(found, node, spaces, language):
+    rows = (found.row(p, PROPERTY_COLUMNS, spaces, language) for p in found.of(node, V.SHACL + "property"))
+    return {r["path"]: _property_shape(r) for r in rows if r["path"] is not None}
+
+
+def _property_shape(row):
+    default_type = "FK" if row["target"] else "URL" if row["datatype"] == V.XSD + "anyURI" else None
+    texts = [row[c] for c in ("name", "comment") if (row[c] or "").strip()]
+    return PropertyShape(
+        row["path"], V.DECLARED_BASE_TYPE.get(row["datatype"], V.TEXT), row["annotated"] or default_type, " — ".join(texts) or None,
+        row["order"], bool(row["target"]) or row["node_kind"] == V.SHACL + "IRI", row["target"], row["display"],
+        (row["least"] or 0) > 0, row["datatype"] == V.RDF_LANG_STRING, row["hidden"],
+    )
 
 
 def shacl_catalog(found, naming, hide_foreign=False):

@@ -1,6 +1,8 @@
-"""Error classes and the friendly wording of connection failures."""
+"""Error classes, and what to tell a user about a failed connection."""
 
-import re
+import socket
+import ssl
+from http import HTTPStatus
 
 
 class LinkframeError(Exception):
@@ -16,31 +18,35 @@ class UnsupportedClause(InvalidQuery):
 
 
 class SourceError(LinkframeError):
-    """The data source refused or failed (``kind`` is query, db or transport)."""
+    """The data source refused or failed (``kind`` is query, db or transport; ``status`` that of an HTTP answer)."""
 
-    def __init__(self, message, kind="db"):
+    def __init__(self, message, kind="db", status=None):
         super().__init__(message)
         self.kind = kind
-
-
-# Ordered (pattern, wording); the first pattern found wins.
-_FRIENDLY = [
-    (r"status: 401", "The user name, password or token is not accepted (401)."),
-    (r"status: 403", "The endpoint refuses access: the account lacks the permission (403)."),
-    (r"status: 404", "No endpoint answers at this address. Check the URL (404)."),
-    (r"status: 500", "The endpoint reports an internal error (500)."),
-    (r"status: 502", "A gateway got a bad answer from the endpoint (502)."),
-    (r"status: 503", "The endpoint is unavailable at the moment (503)."),
-    (r"Connection refused", "The connection is refused. Check host and port."),
-    (r"UnknownHost|nodename nor servname|Name or service not known", "The host name cannot be resolved."),
-]
-
-
-def humanize(messages):
-    """One message or the messages of an error chain -> the wording for a user."""
-    messages = [messages] if isinstance(messages, str) else list(messages)
-    text = " -> ".join(str(m) for m in messages)
-    for pattern, wording in _FRIENDLY:
-        if re.search(pattern, text):
-            return wording
-    return messages[0] if messages else ""
+        self.status = status
+
+
+#: What lies behind a failed connection, by the class of the exception.
+_CAUSES = {
+    ConnectionRefusedError: "nothing listens at this host and port",
+    socket.gaierror: "the host name cannot be resolved",
+    TimeoutError: "no answer came in time",
+    ssl.SSLError: "the certificate or the TLS connection is not accepted",
+}
+
+
+def humanize(problem):
+    """One sentence for a user, from the status or the innermost cause of an exception."""
+    chain = [problem]
+    while (inner := chain[-1].__cause__ or getattr(chain[-1], "reason", None)) and isinstance(inner, BaseException) and inner not in chain:
+        chain.append(inner)
+    for one in chain:
+        status = getattr(one, "status", None) or getattr(one, "code", None)
+        if status in HTTPStatus.__members__.values():
+            known = HTTPStatus(status)
+            return f"The endpoint answered {known.value} {known.phrase}. {known.description}".rstrip(". ") + "."
+    for one in reversed(chain):
+        for kind, words in _CAUSES.items():
+            if isinstance(one, kind):
+                return f"The endpoint cannot be reached: {words}."
+    return str(problem)

@@ -18,46 +18,85 @@ log = logging.getLogger(__name__)
 _TAG = re.compile(r"\{\{\s*([^{}\s](?:[^{}]*[^{}\s])?)\s*\}\}")
 
 
+class Value:
+    """A parameter value: the plain values in it, which render themselves in SPARQL."""
+
+    def plain(self):
+        raise NotImplementedError
+
+    def sparql(self):
+        return ", ".join(map(_sparql_text, self.plain())) or None
+
+
+@dataclass(frozen=True)
+class Scalar(Value):
+    value: object
+
+    def plain(self):
+        return [] if self.value is None else [self.value]
+
+
+@dataclass(frozen=True)
+class Date(Scalar):
+    """A date as it was entered."""
+
+    value: str
+
+
 @dataclass(frozen=True)
-class Date:
-    s: str
+class TemporalUnit(Scalar):
+    """The name of a unit of time."""
 
 
 @dataclass(frozen=True)
-class DateRange:
+class DateRange(Value):
     start: str
     end: str
 
+    def plain(self):
+        return [f"{self.start}/{self.end}"]
+
 
 @dataclass(frozen=True)
-class TemporalUnit:
-    value: object
+class Several(Value):
+    values: tuple
+
+    def plain(self):
+        return [p for v in self.values for p in as_value(v).plain()]
 
 
 @dataclass(frozen=True)
-class Unsupported:
+class Unsupported(Value):
     """A value no query text can hold: a field filter, card, snippet or table."""
 
     what: str = ""
 
+    def plain(self):
+        log.warning("parameter values of this kind are not supported: %s", self.what)
+        return []
+
 
-NO_VALUE = object()
+def as_value(given):
+    """Any given value in its class; a mapping with ``value`` stands for that."""
+    if isinstance(given, Value):
+        return given
+    if isinstance(given, dict) and "value" in given:
+        return as_value(given["value"])
+    return Several(tuple(given)) if isinstance(given, (list, tuple)) else Scalar(given)
 
 
-def plain_value(value):
-    """The scalar or list inside a parameter value; NO_VALUE if there is none."""
-    if isinstance(value, Unsupported):
-        log.warning("parameter values of this kind are not supported: %s", value.what)
-        return NO_VALUE
-    if isinstance(value, Date):
-        return value.s
-    if isinstance(value, DateRange):
-        return f"{value.start}/{value.end}"
-    if isinstance(value, TemporalUnit):
-        return value.value
-    if isinstance(value, dict) and "value" in value:
-        return value["value"]
-    return NO_VALUE if value is None else value
+#: By type, the first that fits; a bool is an int as well.
+_SPARQL_TEXT = (
+    (bool, lambda v: str(v).lower()),
+    ((int, float, Decimal), str),
+)
+
+
+def _sparql_text(value):
+    for kinds, text in _SPARQL_TEXT:
+        if isinstance(value, kinds):
+            return text(value)
+    return iri_ref(value) if iri_shaped(value) else string_literal(value)
 
 
 def parameter_values(template_tags, parameters):
@@ -89,21 +128,7 @@ def _replace_tags(text, render):
 
 def render_terms(text, values):
     """Write values into SPARQL text; a tag without a value keeps its placeholder."""
-    return _replace_tags(text, lambda tag: sparql_term(values.get(tag)))
-
-
-def sparql_term(value):
-    value = plain_value(value)
-    if value is NO_VALUE:
-        return None
-    if isinstance(value, (list, tuple)):
-        terms = [t for t in map(sparql_term, value) if t is not None]
-        return ", ".join(terms) or None
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, (int, float, Decimal)):
-        return str(value)
-    return iri_ref(value) if iri_shaped(value) else string_literal(value)
+    return _replace_tags(text, lambda tag: as_value(values.get(tag)).sparql())
 
 
 def bind_parameters(text, values):
@@ -111,11 +136,7 @@ def bind_parameters(text, values):
     args = {}
 
     def render(tag):
-        value = plain_value(values.get(tag))
-        if value is NO_VALUE:
-            return None
-        items = [plain_value(v) for v in value] if isinstance(value, (list, tuple)) else [value]
-        items = [v for v in items if v is not NO_VALUE]
+        items = as_value(values.get(tag)).plain()
         if not items:
             return None
         name = re.sub(r"\W", lambda m: f"_{ord(m[0]):x}_", tag)

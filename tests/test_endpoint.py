@@ -32,7 +32,8 @@ class Answer(io.BytesIO):
 
 
 def opener(body, seen=None, status=200):
-    def open_url(request, context=None):
+    def open_url(request, timeout=None, context=None):
+        assert timeout
         if seen is not None:
             seen.append((request, context))
         if status != 200:
@@ -80,7 +81,7 @@ def test_schema(spark):
 @pytest.mark.parametrize("status, kind", [(400, "query"), (404, "query"), (401, "db"), (403, "db"), (407, "db"), (500, "db"), (503, "db")])
 def test_whose_fault_an_error_is(status, kind):
     with pytest.raises(SourceError, match=f"status: {status}") as caught:
-        endpoint.post("http://e", "x", opener=opener("y" * 5000, status=status))
+        endpoint.post("http://e", "x", opener=opener("y" * 5000, status=status), retries=0)
     assert caught.value.kind == kind and len(str(caught.value)) < 1100
 
 
@@ -89,16 +90,53 @@ def test_other_failures():
         endpoint.post("http://e", "x", opener=opener("<html>"))
     assert caught.value.kind == "db"
 
-    def broken(request, context=None):
+    def broken(request, timeout=None, context=None):
         raise URLError("Connection refused")
 
     with pytest.raises(SourceError) as caught:
-        endpoint.post("http://e", "x", opener=broken)
+        endpoint.post("http://e", "x", opener=broken, retries=0)
     assert caught.value.kind == "transport"
 
 
 def test_connection_test():
     assert endpoint.ask("http://e", opener=opener('{"boolean": true}'))
+    with pytest.raises(SourceError):
+        endpoint.ask("http://e", opener=opener('{"error": "no"}'))
+
+
+def test_an_answer_without_results_or_at_the_cap_is_a_failure():
+    options = {"endpoint": "http://e", "variables": "s", "query": "Q"}
+    for answer in ({"error": "row limit"}, {"head": {"vars": ["s"]}}, {"results": {}}):
+        with pytest.raises(SourceError, match="no results"):
+            list(SparqlReader(options, opener(json.dumps(answer))).read(endpoint.QueryPartition("Q")))
+    capped = SparqlReader(options | {"rowcap": "3"}, opener(json.dumps(ANSWER)))
+    with pytest.raises(SourceError, match="cap of 3"):
+        list(capped.read(endpoint.QueryPartition("Q")))
+    assert len(endpoint.split_queries("s", "?s ?p ?o", 2)) == 257
+
+
+def test_a_busy_endpoint_is_asked_again(monkeypatch):
+    monkeypatch.setattr(endpoint.time, "sleep", lambda s: None)
+    calls = []
+
+    def busy(request, timeout=None, context=None):
+        calls.append(timeout)
+        if len(calls) < 3:
+            raise HTTPError(request.full_url, 503, "busy", {}, io.BytesIO(b""))
+        return Answer(b'{"boolean": true}')
+
+    assert endpoint.ask("http://e", opener=busy, timeout=7) and calls == [7, 7, 7]
+    calls.clear()
+    with pytest.raises(SourceError):
+        endpoint.ask("http://e", opener=busy, retries=1)
+
+
+def test_one_call_for_a_native_query(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(endpoint, "urlopen", None)
+    monkeypatch.setattr(endpoint, "_post", lambda e, q, *rest: seen.append(q) or ANSWER)
+    df = endpoint.read_query(spark, "http://e", "SELECT ?s ?v WHERE { ?s ?p {{name}} }", {"name": "Ann"})
+    assert df.columns == ["s", "v"] and seen == ['SELECT * WHERE { { SELECT ?s ?v WHERE { ?s ?p "Ann" } } } LIMIT 0']
 
 
 def test_saved_results(spark, tmp_path):
@@ -110,6 +148,18 @@ def test_saved_results(spark, tmp_path):
     assert [tuple(r) for r in read_results(spark, str(tmp_path / "b.json")).collect()] == [(True,)]
 
 
+def test_saved_results_have_the_columns_of_all_heads(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.json").write_text(json.dumps({"head": {"vars": [name]}, "results": {"bindings": [
+            {name: {"type": "literal", "value": name}}]}}))
+    df = read_results(spark, str(tmp_path))
+    assert df.columns == ["a", "b"]
+    assert sorted(str((r["a"] and r["a"]["value"], r["b"] and r["b"]["value"])) for r in df.collect()) == ["('a', None)", "(None, 'b')"]
+    (tmp_path / "c.json").write_text('{"head": {}, "boolean": true}')
+    with pytest.raises(SourceError, match="mix"):
+        read_results(spark, str(tmp_path))
+
+
 def test_reads_are_split_into_disjoint_parts(spark):
     queries = endpoint.split_queries("so", "?s <http://p> ?o")
     assert len(queries) == 17 and len(set(queries)) == 17

@@ -1,10 +1,13 @@
 """Pure text functions: literals, templates, errors, configuration."""
 
+import socket
+from urllib.error import URLError
+
 from linkframe.config import EngineConfig
-from linkframe.errors import humanize
+from linkframe.errors import SourceError, humanize
 from linkframe.functions.literals import escape_string, has_scheme, iri_ref, iri_shaped, string_literal
 from linkframe.templates import (
-    Date, DateRange, TemporalUnit, Unsupported, bind_parameters, parameter_values, render_terms, sparql_term,
+    Date, DateRange, TemporalUnit, Unsupported, as_value, bind_parameters, parameter_values, render_terms,
 )
 
 
@@ -26,6 +29,7 @@ def test_two_questions_about_schemes():
 
 
 def test_terms():
+    sparql_term = lambda v: as_value(v).sparql()
     assert sparql_term("it's") == '"it\'s"'
     assert sparql_term("http://x/y") == "<http://x/y>"
     assert sparql_term(True) == "true" and sparql_term(2.5) == "2.5"
@@ -57,16 +61,20 @@ def test_parameter_values():
 
 
 def test_connection_errors_in_plain_words():
-    assert "password" in humanize(["endpoint returned status: 401"])
-    assert "permission" in humanize("status: 403")
-    assert "503" in humanize(["outer", "status: 503 Service"])
-    assert "refused" in humanize(["x", "Connection refused: host"])
-    assert "host name" in humanize("UnknownHostException")
-    assert humanize(["odd failure 404", "cause"]) == "odd failure 404"
+    assert "401 Unauthorized" in humanize(SourceError("x", "db", 401))
+    assert "503 Service Unavailable" in humanize(SourceError("x", status=503))
+    outer = SourceError("outer", "transport")
+    outer.__cause__ = URLError(ConnectionRefusedError("no"))
+    assert "host and port" in humanize(outer)
+    outer.__cause__ = URLError(socket.gaierror("no"))
+    assert "host name" in humanize(outer)
+    outer.__cause__ = TimeoutError()
+    assert "in time" in humanize(outer)
+    assert humanize(SourceError("odd failure 404")) == "odd failure 404"
 
 
 def test_settings_from_a_dialog():
     config = EngineConfig.from_details({"default-graph": "http://g/", "class-limit": " 50 ", "sample-limit": "",
                                         "hide-foreign-uris": True, "property-limit": "many"})
-    assert (config.class_limit, config.sample_limit, config.property_limit) == (50, 10_000, 20)
+    assert (config.class_limit, config.sample_limit, config.property_limit) == (50, None, None)
     assert config.hide_foreign_uris and config.naming.default_graph == "http://g/"
