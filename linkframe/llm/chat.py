@@ -58,8 +58,8 @@ def expand(conversations: DataFrame) -> DataFrame:
     )
 
 
-def loss_text(examples: DataFrame) -> Column:
-    """What the mask covers, as it was before escaping."""
+def loss_text() -> Column:
+    """What the mask of an example covers, as it was before escaping."""
     return _unescape(F.substring(F.col("formatted"), F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start")))
 
 
@@ -78,7 +78,7 @@ def read_back(examples: DataFrame) -> DataFrame:
     said = F.array_join(F.transform("turns_", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     rows = examples.withColumn("turns_", F.when(F.col("last"), turns)).select(
         "conv_id", "example", F.size("turns_").cast("long").alias("n"), F.sha2(said, 256).alias("digest"), "last",
-        loss_text(examples).alias("loss"), F.length("formatted").cast("long").alias("chars"),
+        loss_text().alias("loss"), F.length("formatted").cast("long").alias("chars"),
     )
     whole = rows.groupBy("conv_id").agg(
         F.max(F.when(F.col("last"), F.col("n"))).alias("n_turns"), F.max(F.when(F.col("last"), F.col("digest"))).alias("turns_sha256"),

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"linkframe-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where it is unset a local session makes one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="linkframe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

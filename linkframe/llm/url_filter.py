@@ -74,7 +74,8 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", default: str =
     made = ("host", "path", "rule", "verdict")
     names = [c for c in (keep or pages.columns) if c not in made]
     # Equal URLs have equal verdicts, but one row each: nothing is regrouped by URL, matches come back by row.
-    rows = pages.select(*names, host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row_"))
+    given = F.struct(*(F.col(c).alias(c) for c in names))  # apart, so that no name clashes
+    rows = pages.select(given.alias("given"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row_"))
     rows = materialize(rows, "urls")
     body = F.concat("host", "path")
     # Distinct tokens of a URL; empty ones come from separators at the ends.
@@ -95,4 +96,4 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", default: str =
     fits = exploded.join(F.broadcast(index), "token").where(F.expr("body rlike pattern"))
     best = fits.groupBy("row_").agg(F.min(F.struct((-F.col("rank")).alias("rank"), "rule", "verdict")).alias("best"))
     return rows.join(best, "row_", "left").select(
-        *names, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+        "given.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
