@@ -1,4 +1,8 @@
-"""Schema discovery from the data itself: classes, then their properties."""
+"""Schema discovery from the data itself: classes, then their properties.
+
+Everything is counted over all instances. What comes to the driver is the schema: a row per class, and per class and
+property. Limits and samples are there for callers that ask for them.
+"""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -8,29 +12,25 @@ from linkframe.catalog.model import Catalog, FieldMeta, TableMeta
 from linkframe.naming import local_name
 from linkframe.sources.triples import union_all
 
-# Sampled subjects are sent to every executor: at most this many per pass, none
-# longer than this, so 500 MB at the very worst and some 20 MB as a rule.
-BROADCAST_SUBJECTS = 250_000
-LONGEST_SAMPLED_IRI = 2_000
-
 
-def classes(source, limit=1000):
+def classes(source, limit=None):
     """Classes with their instance counts, the largest first."""
     counts = source.slice(V.RDF_TYPE).groupBy(F.col("o.value").alias("class")).agg(F.count(F.lit(1)).alias("count"))
     ordered = counts.orderBy(F.desc("count"), F.asc("class"))
     return ordered if limit is None else ordered.limit(limit)
 
 
-def properties(source, class_iris, limit=20, sample=1000):
-    """The properties used most by (a sample of) the instances of each class.
+def properties(source, class_iris, limit=None, sample=None):
+    """The properties used by the instances of each class (or of ``sample`` of them), with their use.
 
     All the given classes are answered by one pass over the triples. ``is_iri`` is 1 when
-    every value seen is an IRI. ``sample=None`` looks at every instance.
+    every value seen is an IRI. ``limit`` keeps the most used of each class.
     """
     if isinstance(class_iris, str):
         class_iris = [class_iris]
-    instances = _instances(source, class_iris, sample)
-    seen = source.triples().join(instances, "s")
+    members = [source.members(iri).select("s", F.lit(iri).alias("class")) for iri in class_iris]
+    instances = union_all(members if sample is None else [m.limit(sample) for m in members])
+    seen = source.triples_of(class_iris).join(instances, "s")
     counts = seen.groupBy("class", F.col("p").alias("property")).agg(
         F.count(F.lit(1)).alias("count"),
         F.min(F.when(F.col("o.kind") == V.IRI, 1).otherwise(0)).alias("is_iri"),
@@ -41,20 +41,9 @@ def properties(source, class_iris, limit=20, sample=1000):
     return counts.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= limit).drop("rank")
 
 
-def _instances(source, class_iris, sample):
-    members = [source.members(iri).select("s", F.lit(iri).alias("class")) for iri in class_iris]
-    if sample is None:
-        return union_all(members)
-    short = F.length("s") <= LONGEST_SAMPLED_IRI
-    samples = union_all([m.where(short).limit(sample) for m in members])
-    return F.broadcast(samples) if len(class_iris) * sample <= BROADCAST_SUBJECTS else samples
-
-
-def class_fields(source, class_iris, naming, limit, sample, hide_foreign=False):
-    """Fields of each class by use, as many classes per pass as may be broadcast."""
-    rows, batch = [], max(1, BROADCAST_SUBJECTS // max(1, sample))
-    for i in range(0, len(class_iris), batch):
-        rows += properties(source, class_iris[i:i + batch], limit, sample).collect()
+def class_fields(source, class_iris, naming, limit=None, sample=None, hide_foreign=False):
+    """Fields of each class by use."""
+    rows = properties(source, class_iris, limit, sample).collect()
     fields = {iri: [] for iri in class_iris}
     for row in sorted(rows, key=lambda r: (-r["count"], r["property"])):
         iri = row["property"]
@@ -63,7 +52,7 @@ def class_fields(source, class_iris, naming, limit, sample, hide_foreign=False):
     return fields
 
 
-def discover(source, naming, class_limit=100, property_limit=20, sample_limit=10_000, hide_foreign=False):
+def discover(source, naming, class_limit=None, property_limit=None, sample_limit=None, hide_foreign=False):
     """A catalog of what the data holds; every column is text or IRI."""
     catalog = Catalog(naming)
     found = {r["class"]: r["count"] for r in classes(source, class_limit).collect()}

@@ -21,10 +21,10 @@ class EngineConfig:
     shacl_socket_timeout: int | None = None       # seconds
     shacl_max_size_mb: int | None = None
     shacl_annotations: str = DEFAULT_ANNOTATIONS
-    class_limit: int = 100
-    property_limit: int = 20
-    sample_limit: int = 10_000
-    pre_aggregate: str = "auto"                   # auto, always or never
+    class_limit: int | None = None                # discovery: no limit unless one is given
+    property_limit: int | None = None
+    sample_limit: int | None = None
+    pre_aggregate: str = "never"                  # or always: see plans.build
 
     @classmethod
     def from_details(cls, details):

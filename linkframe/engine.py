@@ -94,9 +94,8 @@ class Engine:
         )
         try:
             found = self._shapes.load(config.shacl_url, config.default_language, config.shacl_annotations, **limits)
-        except (OSError, SourceError) as problem:
-            log.error("the SHACL document cannot be loaded: %s", problem)
-            return Catalog(naming)
+        except OSError as problem:
+            raise SourceError(f"the SHACL document cannot be read: {problem}", "transport") from problem
         return shacl.shacl_catalog(found, naming, config.hide_foreign_uris)
 
     def describe_table(self, name):
@@ -177,6 +176,8 @@ class Engine:
     def ping(self):
         """True if the source answers; otherwise the failure, in plain words."""
         try:
+            if hasattr(self.source, "ping"):
+                return self.source.ping()
             self.source.slice(RDF_TYPE).limit(1).count()
             return True
         except LinkframeError:

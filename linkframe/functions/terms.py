@@ -85,6 +85,12 @@ def number(term):
     return F.when(numeric, term["value"].try_cast("double"))
 
 
+def exact_integer(term):
+    """Value of an integer literal of up to 38 digits, else NULL: a double holds only 53 bits."""
+    written = is_integer(term) & term["value"].rlike(r"^\s*[+-]?[0-9]+\s*$")
+    return F.when(written, F.trim(term["value"]).try_cast("decimal(38,0)"))
+
+
 def is_integer(term):
     return is_literal(term) & term["datatype"].isin(V.INTEGER_DATATYPES)
 
@@ -116,8 +122,9 @@ def sort_key(term):
     num = number(term)
     when = F.unix_micros(instant(term)).cast("double")
     family = F.when(num.isNotNull(), 0).when(when.isNotNull(), 1).otherwise(2)
-    key = F.struct(rank.alias("rank"), family.alias("family"),
-                   F.coalesce(num, when).alias("num"), term["value"].alias("text"),
+    # Integers that are the same double are told apart by their exact value.
+    key = F.struct(rank.alias("rank"), family.alias("family"), F.coalesce(num, when).alias("num"),
+                   exact_integer(term).alias("exact"), term["value"].alias("text"),
                    term["datatype"].alias("datatype"), term["lang"].alias("lang"))
     return F.when(term.isNotNull(), key)
 
@@ -126,21 +133,26 @@ def equals(term, value, as_iri=False):
     """``term = value``: NULL when the comparison is a type error."""
     if as_iri:
         return F.when(term.isNotNull(), is_iri(term) & (term["value"] == value))
-    same_family = _comparable(term, value)
-    return F.when(is_literal(term), same_family == _literal(value)).when(
-        term.isNotNull(), F.lit(False)
-    )
+    same = _compared(lambda a, b: a == b, term, value)
+    return F.when(is_literal(term), same).when(term.isNotNull(), F.lit(False))
 
 
 def compare(term, op, value):
     """Ordering comparison; NULL (a type error) unless both sides share a family."""
-    left, right = _comparable(term, value), _literal(value)
-    result = _OPS[op](left, right)
+    result = _compared(_OPS[op], term, value)
     if isinstance(value, str) and looks_temporal(value):
         result = F.coalesce(_OPS[op](instant(term), F.lit(value).try_cast("timestamp")), result)
     return result
 
 
+def _compared(test, term, value):
+    """Two integers compare exactly, any other pair of numbers as doubles."""
+    loose = test(_comparable(term, value), _literal(value))
+    if isinstance(value, bool) or not isinstance(value, int) or abs(value) >= 10**38:
+        return loose
+    return F.coalesce(test(exact_integer(term), F.lit(str(value)).cast("decimal(38,0)")), loose)
+
+
 def _comparable(term, value):
     if isinstance(value, bool):
         return boolean(term)

@@ -66,11 +66,8 @@ def optional(df, source, *patterns):
     if len(patterns) == 1:
         s, p, o = (_variable(x) for x in patterns[0])
         if s in df.columns and p is None and o is not None and o not in df.columns:
-            return _optional_property(df, source, s, patterns[0][1], o)
-    rows = match(source, *patterns)
-    # A left join cannot split a hot key of its right side, an inner join can:
-    # join what matches, and add the rows that match nothing.
-    return _join(df, rows).unionByName(_without(df, rows, "left_anti"), allowMissingColumns=True)
+            return _optional_property(df, source, s, _predicate(patterns[0][1]), o)
+    return _join(df, match(source, *patterns), "left")
 
 
 def _optional_property(df, source, subject, prop, name):
@@ -103,6 +100,10 @@ def values(spark, **columns):
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
+def _predicate(x):
+    return V.RDF_TYPE if x == "a" else x
+
+
 def _variables(pattern):
     return {v for v in map(_variable, pattern) if v is not None}
 
@@ -114,7 +115,7 @@ def _constant(x):
 def _pattern(source, pattern):
     """Rows of one triple pattern, a term column per variable."""
     s, p, o = pattern
-    p = V.RDF_TYPE if p == "a" else p
+    p = _predicate(p)
     triples = source.slice(p).withColumn("p", F.lit(p)) if _variable(p) is None else source.triples()
     if _variable(s) is None:
         triples = triples.where(F.col("s") == s)
@@ -153,12 +154,12 @@ def _shared(left, right):
     return parts
 
 
-def _join(left, right):
-    """Inner join on equal terms; NULL never equals NULL, unbound matches nothing here."""
+def _join(left, right, how="inner"):
+    """Join on equal terms; NULL never equals NULL, unbound matches nothing here."""
     parts = _shared(left, right)
     renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in parts else F.col(c) for c in right.columns])
     tests = [F.col(c)[p] == F.col(f"_right_{c}")[p] for c in parts for p in parts[c]]
-    joined = left.join(renamed, reduce(lambda a, b: a & b, tests))
+    joined = left.join(renamed, reduce(lambda a, b: a & b, tests), how)
     return joined.drop(*[f"_right_{c}" for c in parts])
 
 

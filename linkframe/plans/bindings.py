@@ -12,6 +12,7 @@ operation reads them. Three encodings exist:
 import re
 from dataclasses import dataclass, replace
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,6 +115,17 @@ class ValueBinding:
         return isinstance(self.dtype, T.NumericType)
 
 
+def key_iri(prefix, values, types):
+    """IRI of a key. Where a key has several parts its texts are percent-encoded, so that none holds the slash between them."""
+    parts = [F.lit(prefix)]
+    for i, (value, dtype) in enumerate(zip(values, types)):
+        text = value.cast("string")
+        if len(values) > 1 and isinstance(dtype, T.StringType):
+            text = F.replace(F.url_encode(text), F.lit("+"), F.lit("%20"))
+        parts += ([F.lit("/")] if i else []) + [text]
+    return F.concat(*parts)
+
+
 @dataclass(frozen=True)
 class KeyBinding:
     """Resource of one mapped class, held as its native key column(s)."""
@@ -136,7 +148,7 @@ class KeyBinding:
     def is_bound(self):
         if self.hashed:
             return F.lit(True)
-        return F.col(self.key_columns[0]).isNotNull()
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.key_columns])
 
     def shown(self):
         if self.hashed:
@@ -144,10 +156,7 @@ class KeyBinding:
             cells = [F.col(c).alias(str(i)) for i, c in enumerate(self.key_columns)]
             row = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
             return F.concat(F.lit(self.prefix), F.sha2(row, 256))
-        parts = [F.lit(self.prefix)]
-        for i, name in enumerate(self.key_columns):
-            parts += ([F.lit("/")] if i else []) + [F.col(name).cast("string")]
-        return F.concat(*parts)
+        return key_iri(self.prefix, [F.col(c) for c in self.key_columns], self.key_types)
 
     text = shown
     sort_key = shown

@@ -6,7 +6,6 @@ limit, projection. Everything is DataFrame API; which join or aggregate runs how
 is left to Catalyst and adaptive execution.
 """
 
-import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql import functions as F
@@ -40,9 +39,9 @@ class JoinStep:
 
 
 class QueryBuilder:
-    """Builds queries over one source. ``pre_aggregate`` is auto, always or never."""
+    """Builds queries over one source. ``pre_aggregate`` is never or always."""
 
-    def __init__(self, source, catalog, language="", pre_aggregate="auto"):
+    def __init__(self, source, catalog, language="", pre_aggregate="never"):
         self.source = source
         self.catalog = catalog
         self.language = language or ""
@@ -384,25 +383,19 @@ class StageBuilder:
     # ---- aggregation below the join -------------------------------------------------
 
     def should_pre_aggregate(self, groups, late, plans):
-        """Aggregate by foreign key first when the joined table must be shuffled.
+        """Aggregate by foreign key before the join, if the caller asks for it.
 
-        The rows then shrink before they move: a key that holds a third of them
-        is combined map-side and no longer a hot partition of the join. Below the
-        broadcast limit the join moves no rows, so one aggregation is cheaper.
+        It pays where the keys are far fewer than the rows: these then shrink
+        before they move. Where they are not it is one more shuffle, and only the
+        caller knows, so nothing is guessed from the size of a table.
         """
-        if self.pre_aggregate == "never" or self.source.fans_out:
+        if self.pre_aggregate != "always" or self.source.fans_out:
             return False
         if not all(p.mergeable for p in plans):
             return False
         if any(g.alias is None and g.key == SUBJECT for g in groups):
             return False
-        steps = [s for s in self.joins.values() if s.source.alias is None and self.uses(s.alias)]
-        if not steps:
-            return False
-        if self.pre_aggregate == "always":
-            return True
-        return any(not fits_broadcast(self.source.table(s.class_iri))
-                   for s in steps if s.class_iri is not None)
+        return any(s.source.alias is None and self.uses(s.alias) for s in self.joins.values())
 
     def uses(self, alias):
         return any(k != SUBJECT for k in self.needed.get(alias, {}))
@@ -616,19 +609,3 @@ def unique_names(outputs):
         result.append(output if n == 1 else replace(output, name=f"{output.name}_{n}"))
     return result
 
-
-_BYTES = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-
-
-def fits_broadcast(df):
-    """Is the whole table, by its own statistics, below the broadcast limit?
-
-    Where no statistics can be had the answer is no, which is always safe.
-    """
-    setting = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
-    match = re.fullmatch(r"(-?\d+)([bkmgt]?)b?", setting)
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return False
-    return match is not None and size <= int(match[1]) * _BYTES[match[2]]

@@ -82,7 +82,7 @@ def _shown(output, base_type):
 def typed_cell(term, base_type):
     """One cell in the type of its column; text columns keep the lexical form."""
     if base_type == V.BOOLEAN:
-        return F.lower(term["value"]).isin("true", "1")
+        return F.lower(term["value"]) == "true"
     if base_type in _SPARK_TYPE:
         return term["value"].try_cast(_SPARK_TYPE[base_type])
     return term["value"]

@@ -11,8 +11,10 @@ and compares like any triple data.
 """
 
 import base64
+import itertools
 import json
 import ssl
+import time
 from urllib.error import HTTPError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
@@ -25,8 +27,11 @@ from linkframe.errors import SourceError
 from linkframe.functions.literals import iri_ref
 from linkframe.functions.terms import TERM_TYPE
 from linkframe.sources.triples import TripleSource
+from linkframe.templates import render_terms
 
 ERROR_CHARS = 1000
+TIMEOUT_SECONDS = 300
+RETRIES = 2
 
 
 def auth_headers(kind=None, username=None, password=None, token=None):
@@ -45,7 +50,7 @@ def failure(status, body):
     """The error of a response that is no success: whose fault is it?"""
     text = body if len(body) <= ERROR_CHARS else body[:ERROR_CHARS] + "… (truncated)"
     endpoint_side = status in (401, 403, 407) or status >= 500
-    return SourceError(f"endpoint returned status: {status}\nBody: {text}", "db" if endpoint_side else "query")
+    return SourceError(f"endpoint returned status: {status}\nBody: {text}", "db" if endpoint_side else "query", status)
 
 
 def decode(body):
@@ -68,8 +73,21 @@ def term(binding):
     return (kind, value, datatype if kind == V.LITERAL else "", lang)
 
 
-def post(endpoint, query, default_graph=None, insecure=False, headers=None, opener=urlopen):
-    """POST a query, return the decoded answer. Without a cookie jar, no cookies are kept."""
+def post(endpoint, query, default_graph=None, insecure=False, headers=None, opener=urlopen, timeout=TIMEOUT_SECONDS, retries=RETRIES):
+    """POST a query, return the decoded answer. Without a cookie jar, no cookies are kept.
+
+    A query only reads, so one that fails on the way or that the endpoint is too busy for is sent again.
+    """
+    for attempt in range(retries + 1):
+        try:
+            return _post(endpoint, query, default_graph, insecure, headers, opener, timeout)
+        except SourceError as problem:
+            if attempt == retries or not (problem.kind == "transport" or problem.status in (429, 502, 503, 504)):
+                raise
+            time.sleep(2**attempt)
+
+
+def _post(endpoint, query, default_graph, insecure, headers, opener, timeout):
     url = endpoint
     if default_graph:
         url += ("&" if "?" in url else "?") + urlencode({"default-graph-uri": default_graph})
@@ -78,7 +96,7 @@ def post(endpoint, query, default_graph=None, insecure=False, headers=None, open
         "Content-Type": "application/x-www-form-urlencoded", **(headers or {})})
     context = ssl._create_unverified_context() if insecure else None
     try:
-        with opener(request, context=context) as response:
+        with opener(request, timeout=timeout, context=context) as response:
             body = response.read().decode("utf-8")
             status = response.status
     except HTTPError as problem:
@@ -92,7 +110,18 @@ def post(endpoint, query, default_graph=None, insecure=False, headers=None, open
 
 def ask(endpoint, query="ASK { }", **options):
     """True or false of an ASK query; the default one tests the connection."""
-    return bool(post(endpoint, query, **options).get("boolean"))
+    answer = post(endpoint, query, **options).get("boolean")
+    if not isinstance(answer, bool):
+        raise SourceError("the endpoint answered no boolean to an ASK query")
+    return answer
+
+
+def solutions(answer):
+    """(variables, rows of bindings) of a SELECT answer; an answer of another form is a failure, not an empty table."""
+    head, results = answer.get("head"), answer.get("results")
+    if not isinstance(results, dict) or not isinstance(results.get("bindings"), list):
+        raise SourceError(f"the endpoint's answer holds no results: {json.dumps(answer)[:ERROR_CHARS]}")
+    return list((head or {}).get("vars") or []), results["bindings"]
 
 
 class QueryPartition(InputPartition):
@@ -104,7 +133,7 @@ class SparqlReader(DataSourceReader):
     def __init__(self, options, opener=urlopen):
         self.options = dict(options)
         self.opener = opener
-        self.variables = [v.strip() for v in self.options["variables"].split(",")]
+        self.variables = _listed(self.options["variables"])
 
     def partitions(self):
         given = self.options.get("queries")
@@ -112,20 +141,45 @@ class SparqlReader(DataSourceReader):
         return [QueryPartition(q) for q in queries]
 
     def read(self, partition):
-        get = self.options.get
-        answer = post(
-            self.options["endpoint"], partition.query, get("defaultgraph"),
-            str(get("insecure", "false")).lower() == "true",
-            auth_headers(get("authtype"), get("username"), get("password"), get("token")),
-            self.opener,
-        )
-        for row in answer.get("results", {}).get("bindings", []):
+        _, rows = solutions(post(self.options["endpoint"], partition.query, opener=self.opener, **connection(self.options)))
+        cap = int(self.options.get("rowcap", 0))
+        if cap and len(rows) >= cap:
+            raise SourceError(f"a part of the read reached the endpoint's cap of {cap} rows; split it into more parts")
+        for row in rows:
             yield tuple(term(row.get(v)) for v in self.variables)
 
 
+def connection(options):
+    """Arguments of ``post`` from the options of the source (names in lower case)."""
+    get = options.get
+    return {
+        "default_graph": get("defaultgraph"), "insecure": str(get("insecure", "false")).lower() == "true",
+        "headers": auth_headers(get("authtype"), get("username"), get("password"), get("token")),
+        "timeout": float(get("timeout", TIMEOUT_SECONDS)), "retries": int(get("retries", RETRIES)),
+    }
+
+
+def _listed(variables):
+    return [v.strip() for v in variables.split(",") if v.strip()]
+
+
+def read_query(spark, endpoint, text, values=None, **options):
+    """One native query as a DataFrame of terms: ``{{tag}}`` values are written in, columns are those the answer names.
+
+    The answer's head is asked for with no rows; the rows are then read by one task.
+    """
+    query = render_terms(text, values or {})
+    lower = {k.lower(): v for k, v in options.items()}
+    variables, _ = solutions(post(endpoint, f"SELECT * WHERE {{ {{ {query} }} }} LIMIT 0", **connection(lower)))
+    if not variables:
+        raise SourceError("the endpoint names no variables for the query", "query")
+    spark.dataSource.register(SparqlDataSource)
+    return spark.read.format("sparql").options(endpoint=endpoint, query=query, variables=",".join(variables), **options).load()
+
+
 class SparqlDataSource(DataSource):
-    """Options: endpoint, variables, query or queries (JSON list), defaultGraph,
-    insecure, authType (none, basic, bearer), username, password, token."""
+    """Options: endpoint, variables, query or queries (JSON list), defaultGraph, insecure,
+    authType (none, basic, bearer), username, password, token, timeout (seconds), retries."""
 
     @classmethod
     def name(cls):
@@ -135,7 +189,7 @@ class SparqlDataSource(DataSource):
         variables = self.options.get("variables", "")
         if not variables.strip():
             raise SourceError("the sparql source needs the option variables", "query")
-        return ", ".join(f"`{v.strip()}` {TERM_TYPE}" for v in variables.split(","))
+        return ", ".join(f"`{v}` {TERM_TYPE}" for v in _listed(variables))
 
     def reader(self, schema):
         return SparqlReader({k.lower(): v for k, v in self.options.items()})
@@ -144,15 +198,19 @@ class SparqlDataSource(DataSource):
 class EndpointTriples(TripleSource):
     """The triples behind an endpoint, read one predicate at a time.
 
-    Each read is split into 16 disjoint parts by the first digit of the
+    Each read is split into ``16 ** digits`` disjoint parts by the first digits of the
     subject's MD5, plus one for blank nodes, so no single answer carries a whole
-    predicate and a hot predicate is spread over many tasks.
+    predicate and a hot predicate is spread over many tasks. An endpoint that caps its
+    answers needs parts smaller than the cap: ``row_cap`` names it, and a part that
+    reaches it fails the read.
     """
 
-    def __init__(self, spark, endpoint, **options):
-        self._spark = spark
+    def __init__(self, spark, endpoint, digits=1, row_cap=None, **options):
+        if row_cap is not None:
+            options["rowcap"] = str(row_cap)
+        self._spark, self._digits = spark, digits
         self._options = {"endpoint": endpoint, **options}
-        self._hot = {}
+        self.hot = {}
         self._deduplicated = True          # an endpoint answers from a set of triples
         spark.dataSource.register(SparqlDataSource)
 
@@ -169,13 +227,20 @@ class EndpointTriples(TripleSource):
 
     def _read(self, variables, pattern):
         return self._spark.read.format("sparql").options(
-            variables=",".join(variables), queries=json.dumps(split_queries(variables, pattern)),
+            variables=",".join(variables), queries=json.dumps(split_queries(variables, pattern, self._digits)),
             **self._options).load()
 
+    def ping(self):
+        """Does the endpoint answer at all? An ASK query, not a read."""
+        lower = {k.lower(): v for k, v in self._options.items()}
+        ask(lower["endpoint"], **connection(lower))
+        return True
+
 
-def split_queries(variables, pattern):
+def split_queries(variables, pattern, digits=1):
     """SELECT texts whose answers together are the answer of the pattern, once each."""
-    parts = [f'STRSTARTS(MD5(STR(?s)), "{digit}")' for digit in "0123456789abcdef"] + ["isBlank(?s)"]
+    starts = map("".join, itertools.product("0123456789abcdef", repeat=digits))
+    parts = [f'STRSTARTS(MD5(STR(?s)), "{start}")' for start in starts] + ["isBlank(?s)"]
     shown = " ".join(f"?{v}" for v in variables)
     # STR of a blank node is an error, which keeps blank nodes out of the digits.
     return [f"SELECT {shown} WHERE {{ {pattern} . FILTER({part}) }}" for part in parts]

@@ -6,6 +6,7 @@ and a foreign key stays a native key so that joins and IRI filters run on it.
 """
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from linkframe.errors import InvalidQuery
 from linkframe.naming import Naming, local_name
 from linkframe import vocab as V
 from linkframe.functions import terms
-from linkframe.plans.bindings import KeyBinding, ValueBinding
+from linkframe.plans.bindings import KeyBinding, ValueBinding, key_iri
 from linkframe.plans.frame import SUBJECT, rename_into
 from linkframe.sources.triples import union_all
 
@@ -24,14 +25,19 @@ from linkframe.sources.triples import union_all
 class Property:
     """One property: its column, and what the column means in RDF.
 
-    ``references`` names the class whose key the column holds; ``lang`` the
-    column with the language tag of a text. An array column is multi-valued.
+    ``references`` names the class whose key the column holds (for a key of several
+    columns, the columns in its order); ``lang`` the column with the language tag of a
+    text. An array column is multi-valued.
     """
 
-    column: str
+    column: str | tuple
     references: str | None = None
     lang: str | None = None
 
+    @property
+    def columns(self):
+        return (self.column,) if isinstance(self.column, str) else tuple(self.column)
+
 
 @dataclass(frozen=True)
 class ClassMapping:
@@ -62,6 +68,25 @@ class MappedSource:
             iri: {self.naming.absolute(n): p for n, p in m.properties.items()}
             for iri, m in self.classes.items()
         }
+        for iri, known in self._properties.items():
+            for prop, mapped in known.items():
+                self._check(iri, prop, mapped)
+
+    def _check(self, class_iri, prop, mapped):
+        """A reference holds as many columns as the key it points to, or it would meet wrong rows."""
+        if mapped.references is None:
+            if len(mapped.columns) != 1:
+                raise InvalidQuery(f"property {prop} of {class_iri} has several columns but references no class")
+            return
+        target = self.classes.get(self.naming.absolute(mapped.references))
+        if target is None:
+            return
+        if target.key == "*":
+            raise InvalidQuery(f"property {prop} of {class_iri} references {mapped.references}, which has no key of its own")
+        size = 1 if isinstance(target.key, str) else len(target.key)
+        if size != len(mapped.columns):
+            raise InvalidQuery(
+                f"property {prop} of {class_iri} has {len(mapped.columns)} columns, the key of {mapped.references} has {size}")
 
     # ---- building blocks of a query -------------------------------------------------
 
@@ -77,7 +102,9 @@ class MappedSource:
 
     def attach(self, df, anchor, props, names, hint):
         """Left join the properties of the resource ``anchor`` points to."""
-        target = anchor.class_iri if isinstance(anchor, KeyBinding) else None
+        if not isinstance(anchor, KeyBinding):
+            raise InvalidQuery(f"join {hint} starts at a column that references no mapped class")
+        target = anchor.class_iri
         known = self._properties.get(target, {})
         wanted = {p: h for p, h in props.items() if p in known}
         bound = {}
@@ -100,7 +127,7 @@ class MappedSource:
     def multi_valued(self, class_iri, prop):
         mapped = self._properties.get(class_iri, {}).get(prop)
         return mapped is not None and isinstance(
-            self._mapping(class_iri).column_type(mapped.column), T.ArrayType
+            self._mapping(class_iri).column_type(mapped.columns[0]), T.ArrayType
         )
 
     def target_of(self, class_iri, prop):
@@ -138,9 +165,16 @@ class MappedSource:
                 selected.append(F.lit(None).cast("string").alias(name))
                 bound[prop] = ValueBinding(name, T.StringType())
                 continue
-            name = names.new(hint)
-            dtype = mapping.column_type(mapped.column)
-            selected.append(mapping.df[mapped.column].alias(name))
+            if len(mapped.columns) > 1:
+                parts = tuple(names.new(f"{hint}_{i}" if i else hint) for i in range(len(mapped.columns)))
+                selected += [mapping.df[c].alias(n) for c, n in zip(mapped.columns, parts)]
+                target = self.naming.absolute(mapped.references)
+                types = tuple(mapping.column_type(c) for c in mapped.columns)
+                bound[prop] = KeyBinding(parts, types, target, target + "/")
+                continue
+            name, column = names.new(hint), mapped.columns[0]
+            dtype = mapping.column_type(column)
+            selected.append(mapping.df[column].alias(name))
             if isinstance(dtype, T.ArrayType):
                 dtype = dtype.elementType
             if mapped.references:
@@ -171,7 +205,7 @@ class MappedSource:
         for class_iri, mapping in self.classes.items():
             fields, keys = [], []
             for prop, mapped in self._properties[class_iri].items():
-                dtype = mapping.column_type(mapped.column)
+                dtype = mapping.column_type(mapped.columns[0])
                 dtype = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
                 name = self.naming.shorten(prop)
                 if mapped.references:
@@ -189,10 +223,12 @@ class MappedSource:
 
     # ---- the same data as triples ---------------------------------------------------
 
-    def triples(self):
-        """All properties of all classes as ``s, p, o`` rows."""
-        branches = [self._property_rows(c, p) for c in self.classes for p in self._properties[c]]
-        return union_all([self._type_rows(c) for c in self.classes] + branches)
+    def triples(self, class_iris=None):
+        """All properties of the classes (all if none are named) as ``s, p, o`` rows: each table is read once."""
+        chosen = self.classes if class_iris is None else [c for c in self.classes if c in set(class_iris)]
+        if not chosen:
+            return self._class_rows(next(iter(self.classes))).where(F.lit(False))
+        return union_all([self._class_rows(c) for c in chosen])
 
     def slice(self, prop):
         """``s, o`` rows of one predicate: only the tables that have it are read."""
@@ -211,6 +247,31 @@ class MappedSource:
             return self._type_rows(class_iri).select("s")
         return self.slice(V.RDF_TYPE).where(F.lit(False)).select("s")
 
+    def _class_rows(self, class_iri):
+        """A table's rows, each unfolded into its triples."""
+        mapping = self.classes[class_iri]
+        cells = [self._cell(F.lit(V.RDF_TYPE), terms.iri_term(class_iri, bound=True))]
+        lists = []
+        for prop, mapped in self._properties[class_iri].items():
+            if isinstance(mapping.column_type(mapped.columns[0]), T.ArrayType):
+                lists.append(F.transform(F.array_distinct(mapped.columns[0]), lambda v, p=prop, m=mapped: F.when(
+                    v.isNotNull(), self._cell(F.lit(p), self._object(class_iri, m, v)))))
+            else:
+                cells.append(F.when(self._has_value(mapped), self._cell(F.lit(prop), self._object(class_iri, mapped))))
+        found = F.array(*cells)
+        for more in lists:
+            found = F.concat(found, F.coalesce(more, F.array().cast(f"array<struct<p:string,o:{terms.TERM_TYPE}>>")))
+        rows = mapping.df.select(self._key_binding(class_iri).shown().alias("s"), F.explode(found).alias("t"))
+        return rows.where(F.col("t").isNotNull()).select("s", "t.p", "t.o")
+
+    @staticmethod
+    def _cell(prop, term):
+        return F.struct(prop.alias("p"), term.alias("o"))
+
+    @staticmethod
+    def _has_value(mapped):
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in mapped.columns])
+
     def _type_rows(self, class_iri):
         subject = self._key_binding(class_iri).shown()
         return self.classes[class_iri].df.select(
@@ -220,23 +281,28 @@ class MappedSource:
     def _property_rows(self, class_iri, prop):
         mapping, mapped = self.classes[class_iri], self._properties[class_iri][prop]
         rows, subject = mapping.df, self._key_binding(class_iri).shown()
-        dtype, value = mapping.column_type(mapped.column), F.col(mapped.column)
-        lang = F.col(mapped.lang) if mapped.lang else None
-        if isinstance(dtype, T.ArrayType):
-            dtype = dtype.elementType
-            rows = rows.select(subject.alias("s"), F.explode(F.array_distinct(mapped.column)).alias("value"))
-            subject, value = F.col("s"), F.col("value")
-        if mapped.references:
-            target = self.naming.absolute(mapped.references)
-            term = terms.iri_term(F.concat(F.lit(target + "/"), value.cast("string")), bound=True)
-        elif lang is not None:
-            term = terms.lang_term(value, lang, bound=True)
+        if isinstance(mapping.column_type(mapped.columns[0]), T.ArrayType):
+            rows = rows.select(subject.alias("s"), F.explode(F.array_distinct(mapped.columns[0])).alias("value"))
+            rows, subject, value = rows.where(F.col("value").isNotNull()), F.col("s"), F.col("value")
         else:
-            term = terms.literal_term(_lexical(value, dtype), _xsd_type(dtype), bound=True)
-        return rows.where(value.isNotNull()).select(
-            subject.alias("s"), F.lit(prop).alias("p"), term.alias("o")
+            rows, value = rows.where(self._has_value(mapped)), None
+        return rows.select(
+            subject.alias("s"), F.lit(prop).alias("p"), self._object(class_iri, mapped, value).alias("o")
         )
 
+    def _object(self, class_iri, mapped, value=None):
+        """The term of a property's value, which is not NULL; ``value`` is one element of an array column."""
+        mapping = self.classes[class_iri]
+        types = [mapping.column_type(c) for c in mapped.columns]
+        values = [F.col(c) for c in mapped.columns] if value is None else [value]
+        dtype = types[0].elementType if isinstance(types[0], T.ArrayType) else types[0]
+        if mapped.references:
+            target = self.naming.absolute(mapped.references)
+            return terms.iri_term(key_iri(target + "/", values, types if value is None else [dtype]), bound=True)
+        if mapped.lang:
+            return terms.lang_term(values[0], F.col(mapped.lang), bound=True)
+        return terms.literal_term(_lexical(values[0], dtype), _xsd_type(dtype), bound=True)
+
 
 def _lexical(value, dtype):
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

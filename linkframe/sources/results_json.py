@@ -19,16 +19,28 @@ _SCHEMA = (
 def read_results(spark, path, variables=None):
     """SELECT results as term columns; an ASK result as one column ``boolean``.
 
-    ``variables`` names the columns; left out, they are read from the documents.
+    ``variables`` names the columns; left out, they are read from the heads of all documents.
     """
-    documents = spark.read.schema(_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    texts = spark.read.text(path, wholetext=True)
+    return parse_results(texts, "value", variables)
+
+
+def parse_results(texts, column="value", variables=None):
+    """The same for a DataFrame with one results document per row."""
+    parsed = F.from_json(column, _SCHEMA, {"mode": "FAILFAST"})
+    documents = texts.select(parsed.alias("d")).select("d.*")
     if variables is None:
-        head = documents.select("boolean", F.col("head.vars").alias("vars")).first()
-        if head is None:
-            raise SourceError(f"no results at {path}")
-        if head["boolean"] is not None:
+        # One row: the kinds of answers, and the distinct variables, which are few.
+        names = F.array_sort(F.collect_set(F.transform("head.vars", lambda v: v)))
+        heads = documents.agg(
+            F.count(F.lit(1)).alias("n"), F.count("boolean").alias("asked"), names.alias("heads")).first()
+        if not heads["n"]:
+            raise SourceError("there are no results documents")
+        if heads["asked"] == heads["n"]:
             return documents.select("boolean")
-        variables = head["vars"] or []
+        if heads["asked"]:
+            raise SourceError("the documents mix answers of SELECT and ASK")
+        variables = list(dict.fromkeys(v for head in heads["heads"] for v in head))
     rows = documents.select(F.explode("results.bindings").alias("row"))
     return rows.select(*[_term(F.col("row")[v]).alias(v) for v in variables])
 

@@ -11,15 +11,14 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from linkframe import vocab as V
+from linkframe.errors import InvalidQuery
 from linkframe.functions import terms
 from linkframe.plans.bindings import TermBinding
 from linkframe.plans.frame import SUBJECT
 
-# At most HOT_LIMIT (predicate, subject) pairs can each hold more than
-# 1/HOT_LIMIT of all (sampled) triples: that bounds the list on the driver.
-HOT_LIMIT = 2000
-HOT_MIN_ROWS = 1_000_000
-HOT_SAMPLE = 0.01
+# A subject with this many values of one predicate is listed as hot when a table
+# is written; a higher number shortens the list, which the driver holds.
+HOT_VALUES = 1_000_000
 SALTS = 64
 # Rows are clustered by subject, so a search by value needs a Bloom filter.
 _BLOOM = {
@@ -33,39 +32,43 @@ class TripleSource:
 
     ``deduplicated`` states that no triple occurs twice (true for tables from
     ``write_triples``); otherwise each slice is made distinct, as a graph is a
-    set. ``hot`` maps a predicate to the subjects with very many values of it;
-    left out, it is found by sampling before the first join.
+    set. ``hot`` maps a predicate to the subjects with very many values of it:
+    their joins are salted. It only steers the layout; a subject that is listed
+    without having values is an ordinary row. ``default_graph`` reads one graph of
+    a table with graphs; without it the graphs are read as one.
     """
 
     fans_out = True
 
     def __init__(self, triples, default_graph=None, deduplicated=False, hot=None):
-        if default_graph is not None and "g" in triples.columns:
+        graphs = "g" in triples.columns
+        if default_graph is not None:
+            if not graphs:
+                raise InvalidQuery(f"the triples name no graphs, so not {default_graph} either")
             triples = triples.where(F.col("g") == default_graph)
         self._triples = triples.select("s", "p", "o")
-        self._deduplicated = deduplicated
-        self._hot = hot
+        # A triple may stand in several graphs.
+        self._deduplicated = deduplicated and (default_graph is not None or not graphs)
+        self.hot = hot or {}
 
     @classmethod
-    def open(cls, spark, path):
+    def open(cls, spark, path, default_graph=None):
         """Open a table written by ``write_triples`` together with its hot list."""
-        return cls(spark.read.parquet(f"{path}/triples"), deduplicated=True,
+        return cls(spark.read.parquet(f"{path}/triples"), default_graph, deduplicated=True,
                    hot=_by_predicate(spark.read.parquet(f"{path}/hot")))
 
     @classmethod
-    def open_table(cls, spark, name):
+    def open_table(cls, spark, name, default_graph=None):
         """Open a table saved by ``save_triples``."""
-        return cls(spark.table(name), deduplicated=True, hot=_by_predicate(spark.table(f"{name}_hot")))
-
-    @property
-    def hot(self):
-        if self._hot is None:
-            self._hot = _by_predicate(hot_subjects(self._triples))
-        return self._hot
+        return cls(spark.table(name), default_graph, deduplicated=True, hot=_by_predicate(spark.table(f"{name}_hot")))
 
     def triples(self):
         return self._triples
 
+    def triples_of(self, class_iris):
+        """Triples among which are all those of the classes' instances."""
+        return self.triples()
+
     def scan(self, class_iri, props, names):
         subject = names.new(SUBJECT)
         df = self.members(class_iri).select(F.col("s").alias(subject))
@@ -115,11 +118,14 @@ class TripleSource:
             return df.join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
         # A subject with a great share of the slice would be one giant partition
         # of the joined side, which a left join cannot split. Spread its values
-        # over salts and repeat its row per salt. A hot subject has values, so a
-        # salt that met none is no answer and is dropped again.
+        # over salts and repeat its row per salt. A listed subject that occurs in
+        # this slice has values, so a salt that met none is no answer and is
+        # dropped again. Those that occur are no more rows than the list has.
         left_salt, right_salt, is_hot = names.new("salt"), names.new("salt"), names.new("hot")
         spread = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        df = df.withColumn(is_hot, F.coalesce(F.col(key).isin(hot), F.lit(False)))
+        listed = right.where(F.col(right_key).isin(hot)).select(F.col(right_key).alias(is_hot)).distinct()
+        df = df.join(F.broadcast(listed), F.col(key) == F.col(is_hot), "left")
+        df = df.withColumn(is_hot, F.col(is_hot).isNotNull())
         df = df.withColumn(left_salt, F.explode(F.when(F.col(is_hot), spread).otherwise(F.array(F.lit(0)))))
         right = right.withColumn(
             right_salt,
@@ -137,12 +143,15 @@ class VirtualTriples(TripleSource):
 
     def __init__(self, mapped):
         self._mapped = mapped
-        self._hot = {}
+        self.hot = {}
         self._slices = {}
 
     def triples(self):
         return self._mapped.triples()
 
+    def triples_of(self, class_iris):
+        return self._mapped.triples(class_iris)
+
     def members(self, class_iri):
         return self._mapped.members(class_iri)
 
@@ -152,22 +161,13 @@ class VirtualTriples(TripleSource):
         return self._slices[prop]
 
 
-def hot_subjects(triples, min_rows=HOT_MIN_ROWS, fraction=HOT_SAMPLE):
-    """(p, s) pairs with so many values that joining them needs salting.
+def hot_subjects(triples, least=HOT_VALUES):
+    """(p, s) pairs with at least so many values that joining them needs salting.
 
-    The list only steers the layout of joins, never their result, so a sample is
-    enough; any pair in it has a value. Counts are combined before the shuffle,
-    and the threshold keeps the list short whatever the size of the table.
+    All triples are counted, combined before the shuffle, so the result has at
+    most one pair per ``least`` triples.
     """
-    total = triples.count()
-    threshold = max(min_rows, total // HOT_LIMIT)
-    if total <= threshold:
-        return triples.select("p", "s").limit(0)
-    if total * fraction < HOT_MIN_ROWS:
-        fraction = min(1.0, HOT_MIN_ROWS / total)
-    seen = triples if fraction >= 1.0 else triples.sample(fraction, seed=7)
-    counts = seen.groupBy("p", "s").count()
-    return counts.where(F.col("count") > threshold * fraction).select("p", "s")
+    return triples.groupBy("p", "s").count().where(F.col("count") >= least).select("p", "s")
 
 
 def _by_predicate(pairs):
@@ -177,25 +177,26 @@ def _by_predicate(pairs):
     return hot
 
 
-def write_triples(triples, path, min_hot_rows=HOT_MIN_ROWS):
+def write_triples(triples, path, least_hot=HOT_VALUES):
     """Write a triple table for querying: distinct, by predicate, clustered.
 
     Range partitioning splits a dominant predicate, class or subject over many
     tasks. The cluster column is the class for rdf:type and the subject for all
     other predicates; the hash at the end separates the values of one subject.
+    Graph names are kept.
     """
     spark = triples.sparkSession
-    distinct = triples.select("s", "p", "o").distinct()
+    distinct = _columns(triples).distinct()
     cluster = F.when(F.col("p") == V.RDF_TYPE, F.col("o.value")).otherwise(F.lit(""))
     laid_out = distinct.withColumn("cluster", cluster).repartitionByRange(
         "p", "cluster", "s", F.xxhash64("o"))
     sorted_rows = laid_out.sortWithinPartitions("p", "cluster", "s").drop("cluster")
     sorted_rows.write.partitionBy("p").options(**_BLOOM).parquet(f"{path}/triples")
-    hot_subjects(spark.read.parquet(f"{path}/triples"), min_hot_rows).write.parquet(f"{path}/hot")
+    hot_subjects(spark.read.parquet(f"{path}/triples"), least_hot).write.parquet(f"{path}/hot")
     return TripleSource.open(spark, path)
 
 
-def save_triples(triples, name, path, buckets, min_hot_rows=HOT_MIN_ROWS):
+def save_triples(triples, name, path, buckets, least_hot=HOT_VALUES):
     """Save as a catalog table, by predicate and bucketed by subject.
 
     All slices then share one partitioning, so queries that read many properties
@@ -203,17 +204,21 @@ def save_triples(triples, name, path, buckets, min_hot_rows=HOT_MIN_ROWS):
     leaves the buckets aside for their predicates.
     """
     spark = triples.sparkSession
-    distinct = triples.select("s", "p", "o").distinct()
+    distinct = _columns(triples).distinct()
     # The bucket number Spark will use, so that each task writes few files.
     bucket = F.pmod(F.hash("s"), F.lit(buckets))
     laid_out = distinct.repartitionByRange("p", bucket, "s", F.xxhash64("o"))
     writer = laid_out.write.partitionBy("p").bucketBy(buckets, "s").sortBy("s").options(**_BLOOM)
     writer.option("path", f"{path}/triples").saveAsTable(name)
-    hot = hot_subjects(spark.table(name), min_hot_rows)
+    hot = hot_subjects(spark.table(name), least_hot)
     hot.write.option("path", f"{path}/hot").saveAsTable(f"{name}_hot")
     return TripleSource.open_table(spark, name)
 
 
+def _columns(triples):
+    return triples.select(*(["g"] if "g" in triples.columns else []), "s", "p", "o")
+
+
 def triples_from_terms(spark, triples):
     """A triple table from parsed terms of a small document (see turtle.parse)."""
     rows = [(_node_text(s), p.value, tuple(o)) for s, p, o in triples]

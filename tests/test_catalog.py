@@ -7,7 +7,7 @@ import pytest
 from graphs import NS, PEOPLE, engine, field, rows
 from linkframe import vocab as V
 from linkframe.catalog import discovery, shacl
-from linkframe.catalog.shacl import DEFAULT_ANNOTATIONS as NOTES, ShapeCache, pick_localized, semantic_type
+from linkframe.catalog.shacl import DEFAULT_ANNOTATIONS as NOTES, ShapeCache, a_text, a_type_name
 from linkframe.errors import SourceError
 from linkframe.naming import Naming
 from linkframe.sources import turtle
@@ -74,15 +74,15 @@ def test_inheritance_override_cycle_and_hidden_parent():
 
 def test_localized_texts():
     texts = [Term("lit", "x", lang="en"), Term("lit", "y", lang="nl"), Term("lit", "z")]
-    assert pick_localized(texts, "nl") == "y"
-    assert pick_localized(texts, "de") == "z"
-    assert pick_localized(texts[:2], "") == "x"
-    assert pick_localized([Term("iri", "http://x")], "nl") is None
+    assert a_text(texts, "nl") == "y"
+    assert a_text(texts, "de") == "z"
+    assert a_text(texts[:2], "") == "x"
+    assert a_text([Term("iri", "http://x")], "nl") is None
 
 
 def test_semantic_types():
     given = ["type/URL", ":type/URL", "URL", " ", ""]
-    assert [semantic_type(Term("lit", g)) for g in given] == ["URL", "URL", "URL", None, None]
+    assert [a_type_name([Term("lit", g)], "") for g in given] == ["URL", "URL", "URL", None, None]
 
 
 def test_shacl_catalog():
@@ -159,9 +159,13 @@ def test_shacl_engine_end_to_end(spark, tmp_path):
     assert rows(picked) == [(NS + "w3",)]
 
 
-def test_shacl_without_a_document_lists_nothing(spark, tmp_path):
-    for url in (None, str(tmp_path / "missing.ttl")):
-        assert engine(spark, LIBRARY, metadata_sync_strategy="shacl", shacl_url=url).catalog.tables() == []
+def test_shacl_without_a_document(spark, tmp_path):
+    assert engine(spark, LIBRARY, metadata_sync_strategy="shacl").catalog.tables() == []
+    with pytest.raises(SourceError):
+        engine(spark, LIBRARY, metadata_sync_strategy="shacl", shacl_url=str(tmp_path / "missing.ttl")).sync()
+    (tmp_path / "large.ttl").write_text(SHAPES + "#" * (1 << 20))
+    with pytest.raises(SourceError, match="larger"):
+        engine(spark, LIBRARY, metadata_sync_strategy="shacl", shacl_url=str(tmp_path / "large.ttl"), shacl_max_size_mb=1).sync()
 
 
 EXPLICIT = json.dumps({"tables": [
@@ -211,5 +215,17 @@ def test_discovery_limits_and_mixed_properties(spark):
     assert [r["class"] for r in discovery.classes(source, 1).collect()] == [NS + "C"]
     found = {r["property"]: (r["count"], r["is_iri"]) for r in discovery.properties(source, NS + "C", 2).collect()}
     assert found == {NS + "p": (3, 0), V.RDF_TYPE: (2, 1)}
+    assert {r["property"] for r in discovery.properties(source, NS + "C").collect()} == {NS + "p", NS + "q", V.RDF_TYPE}
     sampled = discovery.properties(source, [NS + "C", NS + "D"], sample=1).collect()
     assert {r["class"] for r in sampled} == {NS + "C", NS + "D"}
+
+
+def test_nothing_rare_is_lost(spark):
+    """A 101st class, a 21st property, a property of one instance, and a very long subject."""
+    body = "".join(f":i{k} a :K{k} . " for k in range(101)) + ":i0 " + " ; ".join(f":p{k} {k}" for k in range(30)) + " . "
+    body += "".join(f":m{k} a :Many . " for k in range(300)) + ":m299 :rare 1 . " + f"<{NS}{'x' * 2100}> a :Long ; :q 1 ."
+    catalog = engine(spark, body, metadata_sync_strategy="auto").catalog
+    assert len(catalog.tables()) == 103
+    assert len(catalog.fields("K0")) == 32
+    assert [f.name for f in catalog.fields("Many")] == ["subject", V.RDF_TYPE, "rare"]
+    assert "q" in [f.name for f in catalog.fields("Long")]

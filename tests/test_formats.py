@@ -5,7 +5,7 @@ import pytest
 from linkframe import vocab as V
 from linkframe.errors import SourceError
 from linkframe.sources import turtle
-from linkframe.sources.ntriples import read_ntriples
+from linkframe.sources.ntriples import parse_ntriples, read_ntriples, render_ntriples
 from linkframe.sources.turtle import Term
 
 
@@ -98,3 +98,33 @@ def test_blank_nodes_of_several_files(spark, tmp_path):
     assert together.select("s").distinct().count() == 1
     assert apart.select("s").distinct().count() == 2
     assert apart.where("s = o.value").count() == 2
+
+
+def test_literals_of_any_length_and_escapes_in_all_iris(spark, tmp_path):
+    long = 'a\\"b' * 250_000
+    (tmp_path / "a.nt").write_text(
+        f'<http://s> <http://p> "{long}" .\n'
+        '<http://s> <http://p> "5"^^<http://www.w3.org/2001/XMLSchema#\\u0069nteger> <http://g\\u00e9> .\n', encoding="utf-8")
+    first, second = sorted(read_ntriples(spark, str(tmp_path)).collect(), key=lambda r: -len(r.o.value))
+    assert first.o.value == 'a"b' * 250_000
+    assert second.o.datatype == V.XSD + "integer" and second.g == "http://gé"
+
+
+def test_a_line_that_looks_matched_fails(spark):
+    lines = spark.createDataFrame([("\u0001<http://s> <http://p> <http://o> .",)], "value string")
+    with pytest.raises(Exception, match="not an N-Triples statement"):
+        parse_ntriples(lines).collect()
+
+
+def test_rendered_triples_read_back(spark):
+    term = "struct<kind:string,value:string,datatype:string,lang:string>"
+    rows = [
+        (None, "http://s", "http://p", (V.LITERAL, 'x"\\\r\n\t\u0001 é\U0001f600', V.XSD + "string", "")),
+        ("http://g", "_:b", "http://p", (V.LITERAL, "hoi", V.RDF_LANG_STRING, "nl")),
+        (None, "http://s/a b<>", "http://p", (V.IRI, "http://o{}", "", "")),
+        ("_:g", "http://s", "http://p", (V.BNODE, "_:x", "", "")), (None, "http://s", "http://p", (V.LITERAL, "", V.XSD + "date", "")),
+    ]
+    triples = spark.createDataFrame(rows, f"g string, s string, p string, o {term}")
+    back = parse_ntriples(render_ntriples(triples))
+    key = lambda r: str((r.g, r.s, r.p, tuple(r.o)))
+    assert sorted(map(key, back.collect())) == sorted(map(key, triples.collect()))

@@ -147,3 +147,51 @@ def test_following_an_aggregated_key(engines):
         "fields": [field("ok"), field("min"), field("name", "B")]})
     assert followed == [
         (False, BASE + "Person/1", "Ann"), (None, BASE + "Person/5", "Eve"), (True, BASE + "Person/2", "Bob")]
+
+
+def visits(spark):
+    visit = spark.createDataFrame([(1, "a/b", "c", 5), (1, "a", "b/c", 6), (2, "x y", "é", 7)], "who int, k string, l string, n int")
+    note = spark.createDataFrame([(1, "a/b", "c", "https://m.test/Person/1"), (2, "x y", "é", None), (3, None, "c", None)], "id int, k string, l string, at string")
+    person = spark.createDataFrame([(1, "Ann"), (2, "Bob")], "id int, name string")
+    return MappedSource(BASE, {
+        "Visit": ClassMapping(visit, ("k", "l"), {"n": Property("n"), "who": Property("who", references="Person")}),
+        "Note": ClassMapping(note, "id", {"visit": Property(("k", "l"), references="Visit"), "at": Property("at")}),
+        "Person": ClassMapping(person, "id", {"name": Property("name")})})
+
+
+def test_references_to_keys_of_several_columns(spark):
+    mapped = visits(spark)
+    both = [Engine(s, EngineConfig(default_graph=BASE), mapped.catalog()) for s in (mapped, VirtualTriples(mapped))]
+    query = {"source-table": "Note", "joins": [{"alias": "V", "source-table": "Visit", "fk-field-id": "visit"}],
+             "fields": [field("visit"), field("n", "V")]}
+    expected = [(BASE + "Note/1", BASE + "Visit/a%2Fb/c", 5), (BASE + "Note/2", BASE + "Visit/x%20y/%C3%A9", 7), (BASE + "Note/3", None, None)]
+    for engine in both:
+        assert [tuple(None if v is None else (int(v) if i == 2 else v) for i, v in enumerate(r)) for r in rows(engine, query)] == expected
+        assert len({r[0] for r in rows(engine, {"source-table": "Visit"})}) == 3
+        found = rows(engine, {"source-table": "Note", "filter": ["=", field("visit"), BASE + "Visit/a%2Fb/c"]})
+        assert found == [(BASE + "Note/1",)]
+
+
+@pytest.mark.parametrize("column, references", [("k", "Visit"), (("k", "l"), "Person"), (("k", "l"), None), ("k", "Whole")])
+def test_a_reference_must_fit_the_key(spark, column, references):
+    table = spark.createDataFrame([(1, "a", "b")], "id int, k string, l string")
+    with pytest.raises(InvalidQuery):
+        MappedSource(BASE, {
+            "T": ClassMapping(table, "id", {"r": Property(column, references=references)}), "Visit": ClassMapping(table, ("k", "l")),
+            "Person": ClassMapping(table, "id"), "Whole": ClassMapping(table, "*")})
+
+
+def test_a_join_from_plain_text_is_refused(spark):
+    mapped = visits(spark)
+    query = {"source-table": "Note", "joins": [{"alias": "P", "source-table": "Person", "fk-field-id": "at"}], "fields": [field("name", "P")]}
+    with pytest.raises(InvalidQuery, match="references no mapped class"):
+        Engine(mapped, EngineConfig(default_graph=BASE), mapped.catalog()).query(query)
+
+
+def test_triples_read_each_table_once(spark):
+    mapped = visits(spark)
+    plan = mapped.triples()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 3
+    by_property = [mapped.slice(p).count() for p in (BASE + "visit", BASE + "at", BASE + "n", BASE + "who", BASE + "name")]
+    assert mapped.triples().count() == sum(by_property) + 3 + 3 + 2
+    assert mapped.triples([BASE + "Person"]).count() == 4 and mapped.triples(["http://none"]).count() == 0

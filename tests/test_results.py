@@ -33,7 +33,7 @@ def observed(spark, *literals):
     (["1", ":x"], V.TEXT, ["1", NS + "x"]),
     ([":x"], V.URL, [NS + "x"]),
     (["_:b"], V.TEXT, ["_:b"]),
-    (["true", '"1"^^xsd:boolean', '"false"^^xsd:boolean'], V.BOOLEAN, [True, True, False]),
+    (["true", '"1"^^xsd:boolean', '"false"^^xsd:boolean'], V.BOOLEAN, [True, False, False]),
     (['"2020-01-01"^^xsd:date', '"2020-01-01T00:00:00"^^xsd:dateTime'], V.DATETIME,
      ["2020-01-01", "2020-01-01T00:00:00"]),
     (['"2020"^^xsd:gYear'], V.DATETIME, ["2020"]),

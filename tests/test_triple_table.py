@@ -37,8 +37,16 @@ def test_salting_hot_subjects_changes_nothing(spark, query):
     assert rows(bound(salted).query(query)) == rows(bound(plain).query(query))
 
 
+@pytest.mark.parametrize("query", QUERIES)
+def test_listed_subjects_without_values_are_ordinary_rows(spark, query):
+    every = [NS + n for n in "abcdxyz"]
+    plain = TripleSource(triples(spark, BODY), deduplicated=True)
+    listed = TripleSource(triples(spark, BODY), deduplicated=True, hot={NS + "p": every, NS + "q": every, NS + "n": every})
+    assert rows(bound(listed).query(query)) == rows(bound(plain).query(query))
+
+
 def test_hot_subjects_are_found_and_bounded(spark):
-    found = T.hot_subjects(triples(spark, BODY), min_rows=5).collect()
+    found = T.hot_subjects(triples(spark, BODY), least=5).collect()
     assert [tuple(r) for r in found] == [(NS + "p", NS + "a")]
     assert T.hot_subjects(triples(spark, BODY)).collect() == []
     assert TripleSource(triples(spark, BODY)).hot == {}
@@ -46,8 +54,8 @@ def test_hot_subjects_are_found_and_bounded(spark):
 
 def test_written_table_answers_like_the_plain_one(spark, tmp_path):
     doubled = triples(spark, BODY).union(triples(spark, BODY))
-    stored = write_triples(doubled, str(tmp_path / "kg"), min_hot_rows=5)
-    assert stored._hot == {NS + "p": [NS + "a"]}
+    stored = write_triples(doubled, str(tmp_path / "kg"), least_hot=5)
+    assert stored.hot == {NS + "p": [NS + "a"]}
     again = TripleSource.open(spark, str(tmp_path / "kg"))
     for query in QUERIES:
         assert rows(bound(again).query(query)) == rows(bound(TripleSource(triples(spark, BODY))).query(query))
@@ -70,7 +78,7 @@ def test_filters_reach_the_stored_table(spark, tmp_path):
 
 def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
     doubled = triples(spark, BODY).union(triples(spark, BODY))
-    saved = T.save_triples(doubled, "kg_test", str(tmp_path / "kg"), buckets=4, min_hot_rows=1000)
+    saved = T.save_triples(doubled, "kg_test", str(tmp_path / "kg"), buckets=4, least_hot=1000)
     try:
         for query in QUERIES:
             assert rows(bound(saved).query(query)) == rows(bound(TripleSource(triples(spark, BODY))).query(query))
@@ -89,6 +97,19 @@ def test_default_graph(spark):
     query = {"source-table": "C", "aggregation": [["count"]]}
     assert rows(bound(TripleSource(quads, default_graph="http://g2")).query(query)) == [(1,)]
     assert rows(bound(TripleSource(quads)).query(query)) == [(4,)]
+    with pytest.raises(InvalidQuery):
+        TripleSource(triples(spark, BODY), default_graph="http://g2")
+
+
+def test_graphs_are_kept_in_stored_tables(spark, tmp_path):
+    one, two = (triples(spark, BODY).withColumn("g", F.lit(g)) for g in ("http://g1", "http://g2"))
+    query = {"source-table": "C", "aggregation": [["count"], ["count", field("p")]]}
+    alone = rows(bound(TripleSource(triples(spark, BODY))).query(query))
+    quads = one.unionByName(two).unionByName(triples(spark, ":z a :C .").withColumn("g", F.lit("http://g2")))
+    write_triples(quads, str(tmp_path / "kg"))
+    assert rows(bound(TripleSource.open(spark, str(tmp_path / "kg"), "http://g1")).query(query)) == alone
+    assert rows(bound(TripleSource.open(spark, str(tmp_path / "kg"), "http://g2")).query(query)) == [(alone[0][0] + 1, alone[0][1])]
+    assert rows(bound(TripleSource.open(spark, str(tmp_path / "kg"))).query(query)) == [(alone[0][0] + 1, alone[0][1])]
 
 
 PEOPLE = """
@@ -158,3 +179,32 @@ def test_term_functions(spark):
     assert got["z"] == (NS + "x", None, None, None, True, None)
     assert got["w"] == (None, None, None, None, False, None)
     assert got["u"][2] == xsd + "string" and got["t"][5] is True
+
+
+def test_optional_class_pattern(spark):
+    source = TripleSource(triples(spark, PEOPLE + ":ann a :Person ."))
+    df = optional(match(source, ("?x", NS + "age", "?a")), source, ("?x", "a", "?t"))
+    assert [r["t"]["value"] for r in df.collect()] == [NS + "Person"]
+
+
+def test_nested_optionals_scan_each_pattern_once(spark, tmp_path):
+    triples(spark, PEOPLE).write.parquet(str(tmp_path / "t"))
+    source = TripleSource(spark.read.parquet(str(tmp_path / "t")), deduplicated=True)
+    df = match(source, ("?x", NS + "name", "?n"))
+    for k in range(3):
+        df = optional(df, source, ("?x", NS + "knows", f"?k{k}"), (f"?k{k}", NS + "name", f"?n{k}"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 7
+    assert df.count() > 0
+
+
+def test_integers_beyond_a_double(spark):
+    big = 9007199254740993
+    graph = bound(TripleSource(triples(spark, f":a a :C ; :p {big} . :b a :C ; :p {big - 1} . :c a :C ; :p {big - 1} . :d a :C ; :p {10**30} . :e a :C ; :p {10**30 + 1} .")))
+    ask = lambda *test: [r[0][-1] for r in rows(graph.query({"source-table": "C", "filter": list(test)}))]
+    assert ask("=", field("p"), big) == ["a"] and ask("=", field("p"), big - 1) == ["b", "c"]
+    assert ask(">", field("p"), big - 1) == ["a", "d", "e"] and ask("<", field("p"), big) == ["b", "c"]
+    assert ask("=", field("p"), 10**30 + 1) == ["e"] and ask("between", field("p"), 10**30 + 1, 10**31) == ["e"]
+    order = graph.query({"source-table": "C", "fields": [field("p")], "order-by": [["desc", field("p")]], "filter": [">", field("p"), big]})
+    assert [r["subject"][-1] for r in order.to_df("text").collect()] == ["e", "d"]
+    least = graph.query({"source-table": "C", "aggregation": [["max", field("p")]]}).to_df("text").first()[0]
+    assert least == str(10**30 + 1)
