@@ -230,6 +230,8 @@ class MappedSource:
             return self._class_rows(next(iter(self.classes))).where(F.lit(False))
         return union_all([self._class_rows(c) for c in chosen])
 
+    triples_of = triples
+
     def slice(self, prop):
         """``s, o`` rows of one predicate: only the tables that have it are read."""
         if prop == V.RDF_TYPE:
@@ -254,8 +256,7 @@ class MappedSource:
         lists = []
         for prop, mapped in self._properties[class_iri].items():
             if isinstance(mapping.column_type(mapped.columns[0]), T.ArrayType):
-                lists.append(F.transform(F.array_distinct(mapped.columns[0]), lambda v, p=prop, m=mapped: F.when(
-                    v.isNotNull(), self._cell(F.lit(p), self._object(class_iri, m, v)))))
+                lists.append(F.transform(F.array_distinct(mapped.columns[0]), self._element(class_iri, prop, mapped)))
             else:
                 cells.append(F.when(self._has_value(mapped), self._cell(F.lit(prop), self._object(class_iri, mapped))))
         found = F.array(*cells)
@@ -264,6 +265,9 @@ class MappedSource:
         rows = mapping.df.select(self._key_binding(class_iri).shown().alias("s"), F.explode(found).alias("t"))
         return rows.where(F.col("t").isNotNull()).select("s", "t.p", "t.o")
 
+    def _element(self, class_iri, prop, mapped):
+        return lambda v: F.when(v.isNotNull(), self._cell(F.lit(prop), self._object(class_iri, mapped, v)))
+
     @staticmethod
     def _cell(prop, term):
         return F.struct(prop.alias("p"), term.alias("o"))

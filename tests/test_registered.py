@@ -9,7 +9,7 @@ import workload
 from conftest import SMALL
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_query_matches_its_sql(spark, duck, name):
     assert check.compare(spark, duck, SMALL, name).startswith("ok")
 
@@ -45,15 +45,15 @@ def test_one_predicate_reads_one_table(spark):
     assert plan(graph.slice(model.BASE + "c_name")).count("FileScan") == 1
 
 
-def test_large_parents_are_grouped_before_the_join(spark):
-    query = workload.CHAIN_3
-    engine = model.engine(spark, SMALL, ["Order", "Customer", "Nation", "Region"])
-    assert plan(engine.query(query).to_df()).count("HashAggregate") == 2
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert plan(engine.query(query).to_df()).count("HashAggregate") == 4
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_rows_are_grouped_before_the_join_only_on_request(spark):
+    for setting, aggregates in (("never", 2), ("always", 4)):
+        engine = model.engine(spark, SMALL, ["Order", "Customer", "Nation", "Region"], pre_aggregate=setting)
+        assert plan(engine.query(workload.CHAIN_3).to_df()).count("HashAggregate") == aggregates
+
+
+def test_discovery_of_a_mapped_class_reads_its_table_twice(spark):
+    df = workload.QUERIES["discover_properties"](spark, SMALL)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
 
 
 def test_a_full_sort_tells_equal_keys_apart(spark):

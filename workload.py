@@ -1,17 +1,24 @@
 """The registered queries: each a structured or native query over the test
 tables, with the SQL that must give the same rows."""
 
+import json
+
 from pyspark.sql import functions as F
 
 import model
-from linkframe import Engine, EngineConfig, ask
-from linkframe.catalog import discovery
+from linkframe import ClassMapping, Engine, EngineConfig, MappedSource, Property, TripleSource, ask
+from linkframe.catalog import discovery, shacl
+from linkframe.catalog.shacl import DEFAULT_ANNOTATIONS
 from linkframe.functions import terms
 from linkframe.operators.patterns import (
     Literal, exists, match, not_exists, optional, values,
 )
 from linkframe import vocab as V
+from linkframe.sources import turtle
+from linkframe.sources.ntriples import parse_ntriples, render_ntriples
+from linkframe.sources.results_json import parse_results
 from linkframe.sources.triples import VirtualTriples
+from linkframe.templates import DateRange
 
 B = model.BASE
 QUERIES = {}
@@ -725,7 +732,7 @@ def _class_counts():
 
 @register("discover_classes", _class_counts())
 def discover_classes(spark, directory):
-    return discovery.classes(model.source(spark, directory), limit=100)
+    return discovery.classes(model.source(spark, directory))
 
 
 @register("discover_properties", f"""
@@ -738,7 +745,7 @@ def discover_classes(spark, directory):
       union all select '{B}c_nationkey', count(c_nationkey), 1 from customer)""")
 def discover_properties(spark, directory):
     source = model.source(spark, directory, ["Customer", "Nation", "Region"])
-    return discovery.properties(source, B + "Customer", limit=20, sample=None)
+    return discovery.properties(source, B + "Customer")
 
 
 @register("typing_observed", """
@@ -763,3 +770,206 @@ def typing_mixed_promotes(spark, directory):
     df = graph.slice(prop("c_acctbal")).select("o").union(graph.slice(prop("c_custkey")).select("o"))
     base = observe_types(df, {"o": F.col("o")})["o"]
     return df.select(typed_cell(F.col("o"), base).alias("x"))
+
+
+@register("discover_properties_all_classes", " union all ".join(
+    f"select '{B}{cls}' as class, '{p}' as property, {count} as count, {int(iri)} as is_iri from {table}"
+    for cls, (table, _, properties) in model.CLASSES.items()
+    for p, count, iri in [(V.RDF_TYPE, "count(*)", True)] + [
+        (B + name, "sum(len(list_distinct(embedding)))::bigint" if name == "embedding" else f"count({mapped.columns[0]})", bool(mapped.references))
+        for name, mapped in properties.items()]))
+def discover_properties_all_classes(spark, directory):
+    source = model.source(spark, directory)
+    return discovery.properties(source, list(source.classes))
+
+
+# ---- a stored triple table: duplicates, several graphs, listed hot subjects ---------------------
+
+GRAPH = "https://data.example/graph/main"
+
+
+def stored_source(spark, directory, classes):
+    """The triples of the tables, twice over in one graph, and those of the regions in another one.
+
+    The hot list names a subject with values, and one that does not exist.
+    """
+    main = triple_source(spark, directory, classes).triples().withColumn("g", F.lit(GRAPH))
+    other = triple_source(spark, directory, ["Region"]).triples().withColumn("g", F.lit(GRAPH + "2"))
+    hot = {B + p: [B + "Customer/1", B + "Nation/7", B + "Order/7", B + "Nobody/0"] for p in ("c_name", "n_name", "o_totalprice")}
+    return TripleSource(main.union(main).unionByName(other), default_graph=GRAPH, hot=hot)
+
+
+def stored(name, classes, query, sql, **settings):
+    def run(spark, directory):
+        catalog = model.source(spark, directory, classes).catalog()
+        engine = Engine(stored_source(spark, directory, classes), EngineConfig(default_graph=B, **settings), catalog=catalog)
+        return engine.query(query).to_df("declared")
+
+    register("stored_" + name, sql)(run)
+
+
+stored("scan", CUST, {"source-table": "Customer", "fields": fields("c_name", "c_nationkey")},
+       f"select {iri('Customer', 'c_custkey')} as subject, c_name, {iri('Nation', 'c_nationkey')} as c_nationkey from customer")
+stored("filter", ["Order", "Customer"], {
+    "source-table": "Order", "fields": fields("o_totalprice"), "filter": [">", field("o_totalprice"), 300000]},
+    f"select {iri('Order', 'o_orderkey')} as subject, o_totalprice from orders where o_totalprice > 300000")
+stored("join_chain", ["Customer", "Nation", "Region"], {
+    "source-table": "Customer", "joins": [NATION, REGION], "fields": [field("c_name"), field("r_name", "Region")]},
+    f"""select {iri('Customer', 'c_custkey')} as subject, c_name, r_name as Region__r_name from customer
+        join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
+stored("count", CUST, {"source-table": "Customer", "aggregation": [["count"], ["distinct", field("c_nationkey")]]},
+       "select count(*) as ag_0, count(distinct c_nationkey) as ag_1 from customer")
+stored("lang_filter", ["Document", "Label"], {"source-table": "Document", "fields": fields("text")},
+       f"select {iri('Document', 'doc_id')} as subject, text from documents where lang = 'de'", default_language="de")
+
+
+@register("named_graph_filter", f"select '{GRAPH}2' as g, count(*) * 3 as n from region")
+def named_graph_filter(spark, directory):
+    quads = triple_source(spark, directory, ["Region"]).triples().withColumn("g", F.lit(GRAPH + "2")).unionByName(
+        triple_source(spark, directory, ["Nation", "Region"]).triples().withColumn("g", F.lit(GRAPH)))
+    return TripleSource(quads, default_graph=GRAPH + "2").triples().agg(F.count(F.lit(1)).alias("n")).select(F.lit(GRAPH + "2").alias("g"), "n")
+
+
+# ---- integers beyond the 53 bits of a double ------------------------------------------------------
+
+BIG = "o_orderkey * 1000000000000 + o_custkey"
+
+
+def big_orders(spark, directory):
+    orders = model.table(spark, directory, "orders").withColumn("big", F.expr(BIG.replace("o_orderkey", "cast(o_orderkey as bigint)")))
+    return MappedSource(B, {"BigOrder": ClassMapping(orders, "o_orderkey", {"big": Property("big")})})
+
+
+def big_engines(spark, directory):
+    mapped = big_orders(spark, directory)
+    config = EngineConfig(default_graph=B)
+    return {"": Engine(mapped, config), "triples_": Engine(VirtualTriples(mapped), config, catalog=mapped.catalog())}
+
+
+def big_query(name, make, sql):
+    for kind in ("", "triples_"):
+        register(kind + name, sql)(lambda spark, d, kind=kind: make(big_engines(spark, d)[kind]))
+
+
+ABOVE = 7 * 10**12 + 100
+big_query("filter_bigint", lambda e: e.query({
+    "source-table": "BigOrder", "fields": fields("big"), "filter": [">", field("big"), ABOVE]}).to_df("declared"),
+    f"select concat('{B}BigOrder/', o_orderkey) as subject, o_orderkey::bigint * 1000000000000 + o_custkey as big from orders "
+    f"where o_orderkey::bigint * 1000000000000 + o_custkey > {ABOVE}")
+big_query("min_max_bigint", lambda e: e.query({
+    "source-table": "BigOrder", "aggregation": [["min", field("big")], ["max", field("big")]]}).to_df("declared"),
+    "select min(o_orderkey::bigint * 1000000000000 + o_custkey) as ag_0, max(o_orderkey::bigint * 1000000000000 + o_custkey) as ag_1 from orders")
+big_query("order_bigint", lambda e: e.query({
+    "source-table": "BigOrder", "fields": fields("big"), "order-by": [["desc", field("big")]], "limit": 20}).to_df("declared"),
+    f"select concat('{B}BigOrder/', o_orderkey) as subject, o_orderkey::bigint * 1000000000000 + o_custkey as big from orders order by big desc limit 20")
+
+# ---- references to keys of several columns ---------------------------------------------------------
+
+
+@register("join_composite_fk", f"""select concat('{B}Reply/', r.conv_id, '/', r.turn) as subject, r.text, q.text as Q__text
+    from conversations r left join conversations q on q.conv_id = r.conv_id and q.turn = r.turn - 1""")
+def join_composite_fk(spark, directory):
+    said = model.table(spark, directory, "conversations")
+    replies = said.withColumn("before", F.col("turn") - 1)
+    source = MappedSource(B, {
+        "Conversation": ClassMapping(said, ("conv_id", "turn"), {"text": Property("text")}),
+        "Reply": ClassMapping(replies, ("conv_id", "turn"), {
+            "text": Property("text"), "answers": Property(("conv_id", "before"), references="Conversation")})})
+    return Engine(source, EngineConfig(default_graph=B)).query({
+        "source-table": "Reply", "joins": [{"alias": "Q", "source-table": "Conversation", "fk-field-id": "answers"}],
+        "fields": [field("text"), field("text", "Q")]}).to_df("declared")
+
+
+# ---- file formats over whole tables -----------------------------------------------------------------
+
+
+@register("ntriples_documents", f"select {iri('Document', 'doc_id')} as s, text, lang from documents")
+def ntriples_documents(spark, directory):
+    """All texts written as N-Triples lines and read back."""
+    lines = render_ntriples(triple_source(spark, directory, ["Document", "Label"]).slice(prop("text")).withColumn("p", F.lit(prop("text"))))
+    back = parse_ntriples(lines)
+    return back.select("s", F.col("o.value").alias("text"), F.col("o.lang").alias("lang"))
+
+
+@register("results_json_rows", f"""select {iri('Customer', 'c_custkey')} as c, case when c_custkey % 2 = 0 then c_name end as name,
+    case when c_custkey % 2 = 1 then c_mktsegment end as segment from customer""")
+def results_json_rows(spark, directory):
+    """A results document per customer; half of them name other variables than the rest."""
+    other = F.when(F.col("c_custkey") % 2 == 0, "name").otherwise("segment")
+    value = F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).otherwise(F.col("c_mktsegment"))
+    cell = lambda kind, v: F.struct(F.lit(kind).alias("type"), v.alias("value"))
+    binding = F.map_from_arrays(F.array(F.lit("c"), other), F.array(
+        cell("uri", F.concat(F.lit(B + "Customer/"), F.col("c_custkey").cast("string"))), cell("literal", value)))
+    document = F.to_json(F.struct(
+        F.struct(F.array(F.lit("c"), other).alias("vars")).alias("head"), F.struct(F.array(binding).alias("bindings")).alias("results")))
+    df = parse_results(model.table(spark, directory, "customer").select(document.alias("value")))
+    return df.select(*(F.col(c)["value"].alias(c) for c in ("c", "name", "segment")))
+
+
+# ---- declared catalogs ----------------------------------------------------------------------------------
+
+SHAPES = f"""
+@prefix sh: <{V.SHACL}> . @prefix xsd: <{V.XSD}> . @prefix note: <{DEFAULT_ANNOTATIONS}> . @prefix : <{B}> . @prefix far: <http://far.example/> .
+:NamedShape a sh:NodeShape ; sh:targetClass :Named ; sh:property [ sh:path :c_name ; sh:datatype xsd:string ; sh:order 1 ] .
+:CustomerShape a sh:NodeShape ; sh:targetClass :Customer ; sh:node :NamedShape ;
+  sh:property [ sh:path :c_acctbal ; sh:datatype xsd:double ; sh:order 2 ] , [ sh:path :c_mktsegment ; note:hide true ] ,
+    [ sh:path :c_nationkey ; sh:class :Nation ; sh:order 3 ; note:displayValueProperty :n_name ] , [ sh:path far:x ] .
+:NationShape a sh:NodeShape ; sh:targetClass :Nation ; sh:property [ sh:path :n_name ; sh:datatype xsd:string ] .
+"""
+EXPLICIT = json.dumps({"tables": [
+    {"name": B + "Customer", "fields": [B + "c_name", B + "c_nationkey"]}, {"name": "http://far.example/T", "fields": []}]})
+
+
+def declared_engine(spark, directory, **settings):
+    graph = triple_source(spark, directory, CUST)
+    config = EngineConfig(default_graph=B, **settings)
+    catalog = None
+    if settings.get("metadata_sync_strategy") == "shacl":
+        catalog = shacl.shacl_catalog(shacl.shapes(turtle.parse(SHAPES)), config.naming, config.hide_foreign_uris)
+    return Engine(graph, config, catalog=catalog)
+
+
+def fields_of(engine, spark, table="Customer"):
+    return [f.name for f in engine.catalog.fields(table)]
+
+
+@register("catalog_shacl", f"""select {iri('Customer', 'c_custkey')} as subject, c_name, c_acctbal, {iri('Nation', 'c_nationkey')} as c_nationkey,
+    n_name as Nation__via__c_nationkey__n_name from customer join nation on c_nationkey = n_nationkey""")
+def catalog_shacl(spark, directory):
+    """Fields, order, inheritance, hiding and display remaps as the shapes declare them."""
+    engine = declared_engine(spark, directory, metadata_sync_strategy="shacl", hide_foreign_uris=True)
+    shown = [field(n) for n in fields_of(engine, spark) if n != "subject"]
+    return engine.query({"source-table": "Customer", "fields": shown}, remaps=True).to_df("declared")
+
+
+@register("catalog_explicit", f"select {iri('Customer', 'c_custkey')} as subject, c_name, {iri('Nation', 'c_nationkey')} as c_nationkey from customer")
+def catalog_explicit(spark, directory):
+    engine = declared_engine(spark, directory, metadata_sync_strategy="explicit", schema_config=EXPLICIT, hide_foreign_uris=True)
+    shown = [field(n) for t in engine.catalog.tables() for n in fields_of(engine, spark, t.name) if n != "subject"]
+    return engine.query({"source-table": "Customer", "fields": shown}).to_df("text")
+
+
+@register("catalog_none", f"select {iri('Customer', 'c_custkey')} as subject, c_name from customer")
+def catalog_none(spark, directory):
+    """Nothing is listed, and a class is answered all the same."""
+    engine = declared_engine(spark, directory, metadata_sync_strategy="none")
+    assert not engine.catalog.tables()
+    return engine.query({"source-table": "Customer", "fields": fields("c_name")}).to_df("text")
+
+
+@register("catalog_auto_fields", f"""select {iri('Customer', 'c_custkey')} as subject, c_name, c_mktsegment, c_acctbal,
+    {iri('Nation', 'c_nationkey')} as c_nationkey, c_custkey from customer""")
+def catalog_auto_fields(spark, directory):
+    """All fields that discovery finds in the data."""
+    engine = declared_engine(spark, directory)
+    shown = [field(n) for n in fields_of(engine, spark) if n != "subject" and n != V.RDF_TYPE]
+    df = engine.query({"source-table": "Customer", "fields": shown}).to_df("text")
+    return df.withColumns({"c_custkey": F.col("c_custkey").cast("int"), "c_acctbal": F.col("c_acctbal").cast("double")})
+
+
+# ---- templates ------------------------------------------------------------------------------------------
+
+register("template_date_range", f"""select {iri('Order', 'o_orderkey')} as subject from orders
+                                    where strftime(o_orderdate, '%Y-%m-%d') between '1995-01-01' and '1995-03-31'""")(
+    sql_over_views(["Order", "Customer"], """SELECT subject FROM kg_Order WHERE date_format(o_orderdate, 'yyyy-MM-dd')
+        BETWEEN split_part({{when}}, '/', 1) AND split_part({{when}}, '/', 2)""", {"when": DateRange("1995-01-01", "1995-03-31")}))
