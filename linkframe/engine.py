@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException, ParseException
 from linkframe.catalog import declared, discovery, shacl
 from linkframe.catalog.model import Catalog, subject_field
 from linkframe.config import EngineConfig
-from linkframe.errors import InvalidQuery, LinkframeError, SourceError
+from linkframe.errors import InvalidQuery, LinkframeError, SourceError, UnsupportedClause
 from linkframe.naming import variable_name
 from linkframe.plans import ir
 from linkframe.plans.build import QueryBuilder
@@ -123,28 +123,30 @@ class Engine:
         """Build a structured query. ``expected`` fixes the result columns and order;
         ``remaps=True`` adds the display value of every foreign key shown."""
         stage = ir.parse_stage(query)
-        if remaps:
-            stage = self.expand_remaps(stage)
+        try:
+            stage = self.expand_remaps(stage) if remaps else stage
+        except AnalysisException as problem:
+            raise InvalidQuery(str(problem)) from problem
         wanted = [c if isinstance(c, ir.ExpectedColumn) else ir.ExpectedColumn(**c) for c in expected or []]
-        builder = QueryBuilder(
-            self.source, self.catalog, self.config.default_language, self.config.pre_aggregate
-        )
         try:
-            return QueryResult(builder.build(stage, wanted))
+            return QueryResult(self._builder().build(stage, wanted))
         except AnalysisException as problem:
             raise InvalidQuery(str(problem)) from problem
 
     def expand_remaps(self, stage):
         """Join the display field of each foreign key the stage shows."""
-        table = self.catalog.table(stage.source_table) if stage.source_table is not None else None
-        if table is None or stage.aggregations:
+        remaps = self.catalog.display_remaps()
+        if not remaps:
             return stage
+        if stage.source_query is not None or stage.aggregations:
+            return self._remapped_result(stage, remaps)
+        table = self.catalog.table(stage.source_table)
         fields, joins = list(stage.fields), list(stage.joins)
-        for remap in self.catalog.display_remaps():
+        for remap in remaps:
             fk = self.catalog.field_by_id(remap.fk_field)
             target = self.catalog.field_by_id(remap.target_field)
             shown = any(f.join_alias is None and f.ref in (fk.id, fk.name) for f in stage.fields)
-            if fk.table != table.name or not shown:
+            if table is None or fk.table != table.name or not shown:
                 continue
             alias = f"{target.table}__via__{fk.name}"
             if alias not in {j.alias for j in joins}:
@@ -152,6 +154,35 @@ class Engine:
             fields.append(ir.FieldRef(target.id, alias))
         return replace(stage, fields=tuple(fields), joins=tuple(joins))
 
+    def _remapped_result(self, stage, remaps):
+        """A stage over the given one that adds the display value of each foreign key among its columns."""
+        made = self._builder().build(stage)
+        joins, shown = [], [ir.FieldRef(o.name) for o in made.outputs]
+        for output in made.outputs:
+            for remap in remaps:
+                if output.meta is None or output.join_alias is not None or output.meta.id != remap.fk_field:
+                    continue
+                target = self.catalog.field_by_id(remap.target_field)
+                alias = f"{target.table}__via__{output.meta.name}"
+                joins.append(ir.Join(alias, target.table, ir.FieldRef(output.name)))
+                shown.append(ir.FieldRef(target.id, alias))
+        if not joins:
+            return stage
+        # The join forgets the order of its rows, so the order is asked for again.
+        order = []
+        for by in stage.order_by:
+            if isinstance(by.by, ir.AggregationRef):
+                output = made.outputs[len(made.outputs) - len(stage.aggregations) + by.by.index]
+            else:
+                output = made.output(by.by.ref, by.by.join_alias)
+            if output is None:
+                raise UnsupportedClause(f"display values of a stage sorted by {by.by.ref!r}, which it does not show")
+            order.append(ir.Order(by.descending, ir.FieldRef(output.name)))
+        return ir.Stage(source_query=stage, joins=tuple(joins), fields=tuple(shown), order_by=tuple(order))
+
+    def _builder(self):
+        return QueryBuilder(self.source, self.catalog, self.config.default_language, self.config.pre_aggregate)
+
     # ---- native queries -------------------------------------------------------------
 
     def views(self, spark, prefix=""):

@@ -465,6 +465,17 @@ register("display_value_remap", f"""
     n_name as Nation__via__c_nationkey__n_name
     from customer left join nation on c_nationkey = n_nationkey""")(display_remap)
 
+
+
+def remapped(name, query, sql):
+    def run(spark, directory):
+        engine = model.engine(spark, directory, ["Customer", "Nation", "Region"])
+        engine.catalog.set_display_remap("Customer", "c_nationkey", "Nation", "n_name")
+        return engine.query(query(), remaps=True).to_df()
+
+    register(name, sql)(run)
+
+
 # ---- stages over stages ---------------------------------------------------------------------
 
 PER_NATION = {"source-table": "Customer", "aggregation": [["count"]], "breakout": fields("c_nationkey")}
@@ -494,6 +505,12 @@ structured("derived_remap", CUST,
             "fields": [field("c_nationkey"), field("count"), field("n_name", "Nation")]},
            f"""select c_nationkey, ag_0, n_name as Nation__n_name
                from {PER_NATION_SQL} left join nation on k = n_nationkey""", triples=True)
+remapped("display_remap_of_aggregate", lambda: PER_NATION | {"order-by": [["desc", ["aggregation", 0]]]},
+         f"""select c_nationkey, ag_0, n_name as Nation__via__c_nationkey__n_name
+             from {PER_NATION_SQL} left join nation on k = n_nationkey""")
+remapped("display_remap_of_derived", lambda: {"source-query": PER_NATION, "filter": [">", field("count"), 60]},
+         f"""select c_nationkey, ag_0, n_name as Nation__via__c_nationkey__n_name
+             from {PER_NATION_SQL} left join nation on k = n_nationkey where ag_0 > 60""")
 structured("derived_order_limit", CUST,
            {"source-query": PER_NATION, "order-by": [["desc", field("count")], ["asc", field("c_nationkey")]],
             "limit": 5},
