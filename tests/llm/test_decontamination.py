@@ -57,7 +57,7 @@ def bench(spark):
 def docs(documents, awkward):
     fill = "some plain filler words of a document that says nothing of note and goes on for a while "
     rows = [
-        (100, fill + ITEM + fill), (101, fill + " ".join(WORDS[10:]) + fill * 30 + " ".join(WORDS[:10])), (102, fill * 3),
+        (100, fill + ITEM + fill), (101, fill + " ".join(WORDS[10:]) + " " + fill * 30 + " ".join(WORDS[:10])), (102, fill * 3),
         (103, fill + ", ".join(WORDS).title() + "! " + fill), (104, " ".join(WORDS[:11])), (105, " ".join(WORDS[:12])),
         (106, " ".join(w for k in range(0, 20, 4) for w in WORDS[k:k + 4])), (107, "one two three four"),
         (108, fill * 2000 + ITEM), (109, (ITEM + " ") * 300), (100, fill + ITEM + fill), (110, " ".join(WORDS[::-1])),
