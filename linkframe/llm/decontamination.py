@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import ship
 from .text import ngrams, word_hashes
 
 PAIRS = "row long, item long, tiles int, covered int, words int, coverage double"
@@ -123,6 +124,7 @@ class Tiling:
     def pairs(self, docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
         """``key``, item, tiles, covered, words, coverage of every pair at or above the threshold."""
         spark: SparkSession = docs.sparkSession
+        ship(spark)
         rows = docs.select(F.col(key).cast("long").alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
         out = spark.createDataFrame([], PAIRS)
         for ids, words in self._blocks(benchmark, item, item_text):
@@ -153,6 +155,7 @@ class Tiling:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, tiling: Tiling, text: str = "text") -> DataFrame:
     """``docs`` with a column ``contaminated``; its rows stay where they are, whatever their ids."""
+    ship(docs.sparkSession)
     out, flags = docs, []
     for n, (_, words) in enumerate(tiling._blocks(benchmark, "item_id", "text")):
         shared = docs.sparkSession.sparkContext.broadcast(Block.of(words, tiling.seed))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import materialize, ship
 from .text import STEP, U, code_points, mix
 
 
@@ -110,6 +110,7 @@ class NbSvm:
     def fit(self, sample: DataFrame) -> Model:
         """From rows (label 0/1, text), see `labels.training_sample`."""
         spark, bits = sample.sparkSession, self.bits
+        ship(spark)
 
         def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -165,6 +166,7 @@ class NbSvm:
 
 def score(spark: SparkSession, model: Model, text: Column) -> Column:
     """The chance of label 1 for a text column."""
+    ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

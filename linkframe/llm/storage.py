@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/linkframe/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _shipped(application: str) -> str:
+    package = pathlib.Path(__file__).resolve().parent.parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="linkframe-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package wherever they run: Spark deals out a copy of its code."""
+    application = spark.sparkContext.applicationId
+    if application not in _done:
+        spark.sparkContext.addPyFile(_shipped(application))
+        _done.add(application)
+
+
+_done: set[str] = set()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, lost executors lose nothing."""
     path = fresh_path(df.sparkSession, name)

@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import fresh_path, materialize
+from .storage import fresh_path, materialize, ship
 
 INDEX = "record_id long, url string, file string, offset long, length long, payload_digest string, record_type string"
 RECORDS = "record_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
@@ -89,6 +89,7 @@ def plan(pages: DataFrame, key: str, url: str, payload: Column, least_revisit: i
 
 def write(records: DataFrame, name: str = "warc") -> DataFrame:
     """Write the rows of `plan`; the index."""
+    ship(records.sparkSession)
     folder = fresh_path(records.sparkSession, name)
 
     def archived(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,6 +125,8 @@ def write(records: DataFrame, name: str = "warc") -> DataFrame:
 
 def read(index: DataFrame) -> DataFrame:
     """The records of the given index rows, parsed and checked."""
+    ship(index.sparkSession)
+
     def parsed(rows: list[tuple[str, int, int]]) -> list[dict]:
         file, start, _ = rows[0]
         system, path = fs.FileSystem.from_uri(file)
