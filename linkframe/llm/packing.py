@@ -25,18 +25,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import materialize, ship
 
 PIECES = "row long, piece int, start long, length long, ids_crc32 long, block int, nth long, ids binary"
 #: Encoded words kept by a task, longer words are not kept; characters encoded at a time.
-CACHE_WORDS, CACHE_CHARS, SLICE = 300_000, 64, 1 << 20
+CACHE_WORDS, CACHE_CHARS, SLICE = 500_000, 64, 1 << 20
 
 
 class WordEncoder:
     """The tokenizer's ids of a text as little-endian unsigned 32-bit numbers.
 
-    For tokenizers that drop white space between words, so that the ids of a text are those of its words in a row; words
-    are looked up among those encoded before. Texts are parted at spaces and line feeds only, which are white space to all.
+    For tokenizers that lower the case, drop white space between words and part letters from signs, so that the ids of a
+    text are those of its words in a row; words are looked up among those encoded before. Texts are parted at spaces and
+    line feeds only, which are white space to all. A word's final stops and commas are encoded apart from it, ASCII words
+    in lower case, and those of letters alone by the tokenizer's model, as there is nothing to normalise or split.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,21 +50,41 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False))}
-        known |= ids
+        new = {w: _parted(w) for ws in words for w in ws if w not in known}
+        self._learn({p for parts in new.values() for p in parts if p not in known})
+        for w, parts in new.items():
+            known[w] = b"".join([known[p] for p in parts])
         out = [b"".join([known[w] for w in ws]) for ws in words]
         if len(known) > CACHE_WORDS:
             known.clear()
         else:
-            for w in ids:
-                if len(w) > CACHE_CHARS:
-                    del known[w]
+            for w in {x for w, parts in new.items() for x in (w, *parts) if len(x) > CACHE_CHARS}:
+                del known[w]
         return out
 
+    def _learn(self, parts: set[str]) -> None:
+        plain = [p for p in parts if p.isascii() and p.isalpha()]
+        other = [p for p in parts if not (p.isascii() and p.isalpha())]
+        model = self.tokenizer.model
+        for p in plain:
+            self.known[p] = np.array([t.id for t in model.tokenize(p)], "<u4").tobytes()
+        for p, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, "<u4").tobytes()
+
+
+def _parted(word: str) -> tuple[str, ...]:
+    """The word in lower case (if ASCII) without its final stops and commas, and these."""
+    core = word.rstrip(".,")
+    # Beyond the first letters normalising may put a sign behind a letter, which then runs on into the stops.
+    if not core or not core[-1].isalnum() or core[-1] > "\u012f":
+        core = word
+    lower = core.lower() if core.isascii() else core
+    return (lower,) if len(core) == len(word) else (lower, word[len(core):])
+
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """The written table of pieces; ``nth`` counts those of its length in its ``block`` (the partition that made it)."""
+    ship(docs.sparkSession)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, seen, block = WordEncoder(tokenizer), Counter(), TaskContext.get().partitionId()
@@ -223,6 +245,7 @@ def plan(counts: dict[int, int], capacity: int = 4096) -> Plan:
 def pack(cut: DataFrame, capacity: int = 4096) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a table of `pieces`."""
     spark = cut.sparkSession
+    ship(spark)
     counts = cut.groupBy("block", "length").agg((F.max("nth") + 1).alias("n"))
     earlier = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("block", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
