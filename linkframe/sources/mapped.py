@@ -138,6 +138,19 @@ class MappedSource:
     def table(self, class_iri):
         return self._mapping(class_iri).df
 
+    def repeated_keys(self):
+        """``class, keys, rows``: how many declared keys stand in more than one row, and in how many rows.
+
+        Counts trust the declaration; a class that is not all zero here breaks it. One aggregation per table.
+        """
+        found = []
+        for iri, mapping in self.classes.items():
+            key = list(self._key_binding(iri).key_columns)
+            counts = mapping.df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            found.append(counts.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).select(
+                F.lit(iri).alias("class"), "keys", "rows"))
+        return union_all(found)
+
     # ---- details --------------------------------------------------------------------
 
     def _mapping(self, class_iri):

@@ -195,3 +195,9 @@ def test_triples_read_each_table_once(spark):
     by_property = [mapped.slice(p).count() for p in (BASE + "visit", BASE + "at", BASE + "n", BASE + "who", BASE + "name")]
     assert mapped.triples().count() == sum(by_property) + 3 + 3 + 2
     assert mapped.triples([BASE + "Person"]).count() == 4 and mapped.triples(["http://none"]).count() == 0
+
+
+def test_keys_that_are_none_are_told(spark):
+    table = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (2, "d"), (3, "e")], "id int, name string")
+    mapped = MappedSource(BASE, {"T": ClassMapping(table, "id"), "W": ClassMapping(table, "*"), "P": ClassMapping(table, ("id", "name"))})
+    assert {r["class"][-1]: (r["keys"], r["rows"]) for r in mapped.repeated_keys().collect()} == {"T": (2, 5), "W": (1, 2), "P": (1, 2)}

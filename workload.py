@@ -800,6 +800,19 @@ def discover_properties_all_classes(spark, directory):
     return discovery.properties(source, list(source.classes))
 
 
+def _groups_by_key(table, key):
+    if key == "*":
+        return f"select *, count(*) as n from {table} group by all"
+    return f"select count(*) as n from {table} group by {', '.join([key] if isinstance(key, str) else key)}"
+
+
+@register("repeated_keys", " union all ".join(
+    f"select '{B}{cls}' as class, count(*) as keys, coalesce(sum(n), 0)::bigint as rows from ({_groups_by_key(table, key)}) where n > 1"
+    for cls, (table, key, _) in model.CLASSES.items()))
+def repeated_keys(spark, directory):
+    return model.source(spark, directory).repeated_keys()
+
+
 # ---- a stored triple table: duplicates, several graphs, listed hot subjects ---------------------
 
 GRAPH = "https://data.example/graph/main"
