@@ -46,9 +46,9 @@ def shard_by_bytes(rows: DataFrame, shards: int, order: list[str], size: str = "
         "end_": F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
         "nth_": F.row_number().over(inside).cast("long"),
     }).join(offsets, "part_")
-    # Twice the row's middle byte over twice the total; decimals, as bytes times shards may pass 2^63.
-    middle = (2 * (F.col("byte_offset_") + F.col("end_")) - F.col(size)).cast("decimal(28,0)")
-    shard = F.floor(middle * shards / (2 * F.col("all_bytes_")).cast("decimal(28,0)")).cast("int")
+    # Twice the row's middle byte over twice the total, in whole decimals: bytes times shards may pass 2^63.
+    middle = f"cast(2 * (byte_offset_ + end_) - `{size}` as decimal(20,0))"
+    shard = F.expr(f"cast({middle} * {int(shards)} div cast(2 * all_bytes_ as decimal(20,0)) as int)")
     placed = placed.select(*names, shard.alias("shard"), (F.col("row_offset_") + F.col("nth_") - 1).alias("index_"))
     placed = materialize(placed, "shard-placed")
     first = placed.groupBy("shard").agg(F.min("index_").alias("first_"))
