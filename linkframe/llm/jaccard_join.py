@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import materialize
+from .storage import materialize, ship
 from .text import U, mix, shingles
 
 ROWS = "id string, mark long, class string, row long, size int, nodes array<long>, tokens binary"
@@ -86,7 +86,7 @@ class ChosenPath:
     words: int = 5
     threshold: float = 0.8
     recall: float = 0.999
-    limit: int = 64
+    limit: int = 16
     depth: int = 4
     block: int = 128
     block_tokens: int = 2_000_000
@@ -114,37 +114,53 @@ class ChosenPath:
         rows = docs.select(F.col(key).cast("string").alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
         return materialize(rows.mapInPandas(made, ROWS), "join-rows")
 
-    def _with_company(self, members: DataFrame, name: str) -> DataFrame:
-        """(node, rep, size) of nodes with at least two classes, with their number ``n`` and all their tokens ``total``."""
-        # A set may reach one bucket by two tokens only by a hash collision; distinct costs nothing where there is none.
+    def _with_company(self, parts: DataFrame) -> DataFrame:
+        """(node, rep, size) of nodes with at least two classes, with their number ``n`` and all their tokens ``total``.
+
+        ``parts``, a written table, has a row per class with its ``nodes``; it is read twice, to count and to keep.
+        """
+        members = parts.select("rep", "size", "nodes").select("rep", "size", F.explode("nodes").alias("node"))
         sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1")
-        return materialize(members.join(sizes, "node"), name)
+        return materialize(members.join(sizes, "node"), "join-level")
 
     def _small(self):
         return (F.col("n") <= self.limit) & (F.col("total") <= self.block_tokens)
 
     def _split(self, big: DataFrame, sets: DataFrame) -> DataFrame:
-        """The sub-buckets of all buckets ``big`` (node, rep)."""
+        """(rep, size, nodes, tokens): of each class, the sub-buckets of all its buckets ``big``."""
         threshold = self.threshold
 
         def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                for rep, size, nodes, tokens in zip(b["rep"], b["size"], b["nodes"], b["tokens"]):
-                    below = take(np.frombuffer(tokens, np.uint32).astype(U), np.array(nodes, np.int64).view(U), threshold).view(np.int64)
-                    yield pd.DataFrame({"node": below, "rep": rep, "size": size})
+                below = [take(np.frombuffer(tokens, np.uint32).astype(U), np.array(nodes, np.int64).view(U), threshold).view(np.int64)
+                         for nodes, tokens in zip(b["nodes"], b["tokens"])]
+                yield pd.DataFrame({"rep": b["rep"], "size": b["size"], "nodes": below, "tokens": b["tokens"]})
 
-        # A class is in at most runs * 1.25 ** depth buckets, give or take.
+        # A class is in some runs * 1.25 ** depth buckets.
         per_set = big.groupBy("rep").agg(F.collect_list("node").alias("nodes"))
-        return per_set.join(sets, "rep").select("rep", "size", "nodes", "tokens").mapInPandas(split, "node long, rep long, size int")
-
-    def _cells(self, leaves: DataFrame) -> DataFrame:
+        schema = "rep long, size int, nodes array<long>, tokens binary"
+        parts = per_set.join(sets.select("rep", "size", "tokens"), "rep").select("rep", "size", "nodes", "tokens").mapInPandas(split, schema)
+        return materialize(parts, "join-parts")
+
+    def _buckets(self, level: DataFrame) -> DataFrame:
+        """(reps): the members of each small bucket that have another of a fitting size in it; two at least.
+
+        Sets whose sizes differ by more than the threshold can't be as similar as that.
+        """
+        t = self.threshold
+        fits = lambda a, b: (a["rep"] != b["rep"]) & (a["size"] >= t * b["size"]) & (b["size"] >= t * a["size"])
+        met = level.where(self._small()).groupBy("node").agg(F.collect_list(F.struct("rep", "size")).alias("met"))
+        kept = F.filter("met", lambda a: F.exists("met", lambda b: fits(a, b)))
+        reps = met.select(F.sort_array(F.transform(kept, lambda a: a["rep"])).alias("reps"))
+        return materialize(reps.where(F.size("reps") > 1).distinct(), "join-buckets")
+
+    def _cells(self, buckets: DataFrame, leaves: DataFrame) -> DataFrame:
         """(bucket, low, high, side, rep): what is compared with what. Equal buckets of several runs are one."""
-        small = leaves.where(self._small()).groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps"))
-        small = small.select("reps").distinct().select(F.xxhash64("reps").alias("bucket"), F.explode("reps").alias("rep"))
+        small = buckets.distinct().select(F.xxhash64("reps").alias("bucket"), F.explode("reps").alias("rep"))
         zero = F.lit(0)
         small = small.select("bucket", zero.alias("low"), zero.alias("high"), zero.alias("side"), "rep")
         blocks = F.ceil(F.greatest(F.col("n") / self.block, F.col("total") / self.block_tokens)).cast("int")
-        large = leaves.where(~self._small()).select(F.col("node").alias("bucket"), "rep", blocks.alias("blocks"))
+        large = leaves.select(F.col("node").alias("bucket"), "rep", blocks.alias("blocks"))
         large = large.withColumn("side", F.pmod(F.xxhash64("rep", "bucket"), F.col("blocks")).cast("int"))
         large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         large = large.select("bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "rep")
@@ -201,23 +217,26 @@ class ChosenPath:
         """Per row: ``key``, ``class_id`` (the smallest id in its component of links and copies), ``n_links`` (other rows at
         or above the threshold, copies among them), ``n_copies`` (rows with the same set, itself among them), the
         text's hash ``mark`` and its ``component``."""
+        ship(docs.sparkSession)
         kind = docs.schema[key].dataType
         rows = self._sets(docs, key, text)
         classes = materialize(rows.groupBy("class").agg(
             F.min("row").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min(F.col("id").cast(kind)).alias("least")), "join-classes")
         firsts = rows.select(F.col("row").alias("rep"), "size", "nodes").join(classes.select("rep"), "rep", "left_semi")
-        members = firsts.select(F.explode("nodes").alias("node"), "rep", "size")
-        level = self._with_company(members, "join-level")
-        sets = rows.select(F.col("row").alias("rep"), "size", "tokens").join(level.select("rep").distinct(), "rep", "left_semi")
+        level = self._with_company(materialize(firsts, "join-firsts"))
+        buckets, big = self._buckets(level), level.where(~self._small())
+        # The only time that all token sets are dealt out; what has no company is left behind.
+        active = buckets.select(F.explode("reps").alias("rep")).unionByName(big.select("rep")).distinct()
+        sets = rows.select(F.col("row").alias("rep"), "size", "tokens").join(active, "rep", "left_semi")
         sets = materialize(sets.join(classes.select("rep", "weight"), "rep"), "join-sets")
-        leaves = level
-        for depth in range(2, self.depth + 1):
-            big = level.where(~self._small())
+        parts = sets
+        for _ in range(2, self.depth + 1):
             if big.isEmpty():
                 break
-            level = self._with_company(self._split(big, sets), "join-level")
-            leaves = (leaves.where(self._small()) if depth == 2 else leaves).unionByName(level if depth == self.depth else level.where(self._small()))
-        found = self._compare(materialize(self._cells(leaves), "join-cells"), sets)
+            parts = self._split(big, parts)
+            level = self._with_company(parts)
+            buckets, big = buckets.unionByName(self._buckets(level)), level.where(~self._small())
+        found = self._compare(materialize(self._cells(buckets, big), "join-cells"), sets)
         roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))
         named = classes.join(links, "rep", "left").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
