@@ -5,8 +5,10 @@ Each run starts with a bucket of all classes and splits buckets: hashing a token
 set takes each of its n tokens with chance 1 / (threshold * n), about 1.25 tokens, and goes to the sub-bucket of each
 taken token. What two sets share they take alike, so a pair at the threshold shares one sub-bucket on average and survives
 ``depth`` splits with a known chance; ``runs`` independent runs are made, enough for ``recall``. A bucket of at most
-``limit`` classes is compared by brute force. Buckets still larger after ``depth`` splits are compared in pairs of
-blocks of bounded size. So no bucket is cut short, whatever its size.
+``limit`` classes is compared by brute force. A larger one is split on, unless its members are similar on average or it
+has been split ``most_splits`` times; it is then compared in pairs of blocks of bounded size. So no bucket is cut short,
+whatever its size. (A pair that is in a bucket split more than ``depth`` times shares what all its members share, and
+beyond that tokens of its own, which bring it together in small buckets.)
 
 A set is split where it was read: only names of buckets are shuffled, first all, then those with company; the token sets
 of classes that have company are fetched once. A pair that meets in several buckets counts in the one with the smallest
@@ -36,10 +38,11 @@ from .components import components
 from .storage import materialize, ship
 from .text import U, mix, shingles
 
-ROWS = "id string, mark long, class string, row long, size int, nodes array<long>, tokens binary"
+ROWS = "id string, mark long, class string, row long, size int, sketch long, nodes array<long>, tokens binary"
 FOUND = "rep long, links long, root long"
 #: Row numbers hold the partition above and the place in it below.
 PLACE_BITS = 40
+FACTORS = mix(np.arange(1, 65, dtype=U)) | U(1)
 
 
 def take(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> np.ndarray:
@@ -52,6 +55,14 @@ def take(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> np.ndarray:
     return mix(draws[node, token] + nodes[node])
 
 
+def sketch(tokens: np.ndarray) -> int:
+    """64 one-bit minwise hashes: two sets agree in each bit with chance (1 + similarity) / 2."""
+    if not len(tokens):
+        return 0
+    least = mix((tokens[None, :] * FACTORS[:, None]).min(1))
+    return int(np.packbits((least >> U(63)).astype(np.uint8)).view(np.int64)[0])
+
+
 def survival(depth: int) -> float:
     """Chance that two sets at the threshold still share a bucket after ``depth`` splits, each of which they share once on average."""
     chance = 1.0
@@ -88,9 +99,17 @@ class ChosenPath:
     recall: float = 0.999
     limit: int = 16
     depth: int = 4
-    block: int = 128
+    most_splits: int = 12
+    dense: float = 0.5
+    block: int = 1024
     block_tokens: int = 2_000_000
 
+    @property
+    def most_bits(self) -> int:
+        """Six standard deviations above what a pair at the threshold differs in; 64 would let all pass."""
+        p = (1 - self.threshold) / 2
+        return math.ceil(64 * p + 6 * math.sqrt(64 * p * (1 - p)))
+
     @property
     def runs(self) -> int:
         return math.ceil(math.log(1 - self.recall) / math.log(1 - survival(self.depth)))
@@ -107,7 +126,7 @@ class ChosenPath:
                     tokens = shingles(text_, words)
                     name = hashlib.blake2b(tokens.tobytes(), digest_size=16).hexdigest()
                     nodes = take(tokens, roots, threshold).view(np.int64)
-                    found.append((id_, mark, name, row, len(tokens), nodes, (tokens & U(0xFFFFFFFF)).astype(np.uint32).tobytes()))
+                    found.append((id_, mark, name, row, len(tokens), sketch(tokens), nodes, (tokens & U(0xFFFFFFFF)).astype(np.uint32).tobytes()))
                     row += 1
                 yield pd.DataFrame(found, columns=[c.split()[0] for c in ROWS.split(", ")])
 
@@ -115,11 +134,11 @@ class ChosenPath:
         return materialize(rows.mapInPandas(made, ROWS), "join-rows")
 
     def _with_company(self, parts: DataFrame) -> DataFrame:
-        """(node, rep, size) of nodes with at least two classes, with their number ``n`` and all their tokens ``total``.
+        """(node, rep, size, sketch) of nodes with at least two classes, with their number ``n`` and all their tokens ``total``.
 
         ``parts``, a written table, has a row per class with its ``nodes``; it is read twice, to count and to keep.
         """
-        members = parts.select("rep", "size", "nodes").select("rep", "size", F.explode("nodes").alias("node"))
+        members = parts.select("rep", "size", "sketch", "nodes").select("rep", "size", "sketch", F.explode("nodes").alias("node"))
         sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1")
         return materialize(members.join(sizes, "node"), "join-level")
 
@@ -127,33 +146,49 @@ class ChosenPath:
         return (F.col("n") <= self.limit) & (F.col("total") <= self.block_tokens)
 
     def _split(self, big: DataFrame, sets: DataFrame) -> DataFrame:
-        """(rep, size, nodes, tokens): of each class, the sub-buckets of all its buckets ``big``."""
+        """(rep, size, sketch, nodes, tokens): of each class, the sub-buckets of all its buckets ``big``."""
         threshold = self.threshold
 
         def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 below = [take(np.frombuffer(tokens, np.uint32).astype(U), np.array(nodes, np.int64).view(U), threshold).view(np.int64)
                          for nodes, tokens in zip(b["nodes"], b["tokens"])]
-                yield pd.DataFrame({"rep": b["rep"], "size": b["size"], "nodes": below, "tokens": b["tokens"]})
+                yield b.assign(nodes=below)
 
         # A class is in some runs * 1.25 ** depth buckets.
         per_set = big.groupBy("rep").agg(F.collect_list("node").alias("nodes"))
-        schema = "rep long, size int, nodes array<long>, tokens binary"
-        parts = per_set.join(sets.select("rep", "size", "tokens"), "rep").select("rep", "size", "nodes", "tokens").mapInPandas(split, schema)
+        schema = "rep long, size int, sketch long, nodes array<long>, tokens binary"
+        parts = per_set.join(sets.select("rep", "size", "sketch", "tokens"), "rep").select("rep", "size", "sketch", "nodes", "tokens").mapInPandas(split, schema)
         return materialize(parts, "join-parts")
 
     def _buckets(self, level: DataFrame) -> DataFrame:
-        """(reps): the members of each small bucket that have another of a fitting size in it; two at least.
+        """(reps): the members of each small bucket that have another in it that they may be similar to; two at least.
 
-        Sets whose sizes differ by more than the threshold can't be as similar as that.
+        Sets whose sizes differ by more than the threshold can't be as similar as that, nor, but for a chance of about
+        one in a million, sets whose sketches differ in more than ``most_bits`` bits.
         """
         t = self.threshold
-        fits = lambda a, b: (a["rep"] != b["rep"]) & (a["size"] >= t * b["size"]) & (b["size"] >= t * a["size"])
-        met = level.where(self._small()).groupBy("node").agg(F.collect_list(F.struct("rep", "size")).alias("met"))
+        near = lambda a, b: F.bit_count(a["sketch"].bitwiseXOR(b["sketch"])) <= self.most_bits
+        fits = lambda a, b: (a["rep"] != b["rep"]) & (a["size"] >= t * b["size"]) & (b["size"] >= t * a["size"]) & near(a, b)
+        met = level.where(self._small()).groupBy("node").agg(F.collect_list(F.struct("rep", "size", "sketch")).alias("met"))
         kept = F.filter("met", lambda a: F.exists("met", lambda b: fits(a, b)))
         reps = met.select(F.sort_array(F.transform(kept, lambda a: a["rep"])).alias("reps"))
         return materialize(reps.where(F.size("reps") > 1).distinct(), "join-buckets")
 
+    def _dense(self, big: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows of ``big`` in buckets whose members are similar on average, which splitting would hardly part, and the rest.
+
+        Of n sketches with k ones in a bit, k^2 + (n - k)^2 - n ordered pairs agree in it.
+        """
+        ones = [F.sum(F.shiftrightunsigned("sketch", i).bitwiseAND(F.lit(1))).cast("double").alias(f"k{i}") for i in range(64)]
+        nodes = big.groupBy("node", "n").agg(*ones)
+        agree = sum((F.col(f"k{i}") * F.col(f"k{i}") + (F.col("n") - F.col(f"k{i}")) * (F.col("n") - F.col(f"k{i}")) - F.col("n") for i in range(1, 64)),
+                    F.col("k0") * F.col("k0") + (F.col("n") - F.col("k0")) * (F.col("n") - F.col("k0")) - F.col("n"))
+        mean = 2 * agree / (64.0 * F.col("n") * (F.col("n") - 1)) - 1
+        judged = big.join(nodes.select("node", (mean >= self.dense).alias("is_dense")), "node")
+        judged = materialize(judged, "join-big")
+        return judged.where("is_dense").drop("is_dense"), judged.where("not is_dense").drop("is_dense")
+
     def _cells(self, buckets: DataFrame, leaves: DataFrame) -> DataFrame:
         """(bucket, low, high, side, rep): what is compared with what. Equal buckets of several runs are one."""
         small = buckets.distinct().select(F.xxhash64("reps").alias("bucket"), F.explode("reps").alias("rep"))
@@ -171,7 +206,7 @@ class ChosenPath:
         threshold = self.threshold
         # A class's buckets, by which the cells agree where a pair counts.
         buckets = cells.select("rep", "bucket").distinct().groupBy("rep").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-        rows = cells.join(buckets.join(sets, "rep"), "rep")
+        rows = cells.join(buckets.join(sets.select("rep", "weight", "tokens"), "rep"), "rep")
         cell = ["bucket", "low", "high"]
         rows = rows.select(*cell, "side", "rep", "weight", "buckets", "tokens").repartition(*cell).sortWithinPartitions(*cell, "rep")
 
@@ -222,21 +257,23 @@ class ChosenPath:
         rows = self._sets(docs, key, text)
         classes = materialize(rows.groupBy("class").agg(
             F.min("row").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min(F.col("id").cast(kind)).alias("least")), "join-classes")
-        firsts = rows.select(F.col("row").alias("rep"), "size", "nodes").join(classes.select("rep"), "rep", "left_semi")
+        firsts = rows.select(F.col("row").alias("rep"), "size", "sketch", "nodes").join(classes.select("rep"), "rep", "left_semi")
         level = self._with_company(materialize(firsts, "join-firsts"))
         buckets, big = self._buckets(level), level.where(~self._small())
         # The only time that all token sets are dealt out; what has no company is left behind.
         active = buckets.select(F.explode("reps").alias("rep")).unionByName(big.select("rep")).distinct()
-        sets = rows.select(F.col("row").alias("rep"), "size", "tokens").join(active, "rep", "left_semi")
+        sets = rows.select(F.col("row").alias("rep"), "size", "sketch", "tokens").join(active, "rep", "left_semi")
         sets = materialize(sets.join(classes.select("rep", "weight"), "rep"), "join-sets")
-        parts = sets
-        for _ in range(2, self.depth + 1):
+        parts, large = sets, None
+        for _ in range(1, self.most_splits):
+            dense, big = self._dense(big)
+            large = dense if large is None else large.unionByName(dense)
             if big.isEmpty():
                 break
             parts = self._split(big, parts)
             level = self._with_company(parts)
             buckets, big = buckets.unionByName(self._buckets(level)), level.where(~self._small())
-        found = self._compare(materialize(self._cells(buckets, big), "join-cells"), sets)
+        found = self._compare(materialize(self._cells(buckets, large.unionByName(big)), "join-cells"), sets)
         roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))
         named = classes.join(links, "rep", "left").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
