@@ -13,7 +13,12 @@ only documents longer than ``capacity`` are cut. Only ``key`` and ``text`` are r
 
 from __future__ import annotations
 
+import array
+import functools
+import itertools
 import os
+import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,58 +33,96 @@ from pyspark.sql import functions as F
 from .storage import materialize, ship
 
 PIECES = "row long, piece int, start long, length long, ids_crc32 long, block int, nth long, ids binary"
-#: Encoded words kept by a task, longer words are not kept; characters encoded at a time.
-CACHE_WORDS, CACHE_CHARS, SLICE = 500_000, 64, 1 << 20
+#: Encoded words kept by a worker (twice as many at most), longer words are not kept; characters encoded at a time.
+CACHE_WORDS, CACHE_CHARS, SLICE = 300_000, 64, 1 << 20
 
 
 class WordEncoder:
     """The tokenizer's ids of a text as little-endian unsigned 32-bit numbers.
 
-    For tokenizers that lower the case, drop white space between words and part letters from signs, so that the ids of a
-    text are those of its words in a row; words are looked up among those encoded before. Texts are parted at spaces and
-    line feeds only, which are white space to all. A word's final stops and commas are encoded apart from it, ASCII words
-    in lower case, and those of letters alone by the tokenizer's model, as there is nothing to normalise or split.
+    For byte-level tokenizers that lower the case, drop white space between words and part letters, digits and signs, so
+    that the ids of a text are those of its words, and the ids of a word those of its parts, in a row; both are looked up
+    among those met before. Texts are parted at spaces and line feeds only, which are white space to all. A part of Latin
+    letters has nothing to normalise or split: the tokenizer's model alone encodes it. What isn't plain goes through the
+    whole tokenizer: signs, and words with apostrophes, other scripts or the brackets of special tokens.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        new = {w: _parted(w) for ws in words for w in ws if w not in known}
-        self._learn({p for parts in new.values() for p in parts if p not in known})
+        unseen = set(itertools.chain.from_iterable(words)).difference(known)
+        again = unseen.intersection(self.older)
+        known.update(zip(again, map(self.older.__getitem__, again)))
+        new = {w: _parted(w) for w in unseen - again}
+        self._learn(set(itertools.chain.from_iterable(new.values())).difference(known))
         for w, parts in new.items():
-            known[w] = b"".join([known[p] for p in parts])
-        out = [b"".join([known[w] for w in ws]) for ws in words]
+            if len(parts) > 1 or parts[0] != w:
+                known[w] = b"".join(map(known.__getitem__, parts))
+        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
+        for w in {x for w, parts in new.items() for x in (w, *parts) if len(x) > CACHE_CHARS}:
+            del known[w]
         if len(known) > CACHE_WORDS:
-            known.clear()
-        else:
-            for w in {x for w, parts in new.items() for x in (w, *parts) if len(x) > CACHE_CHARS}:
-                del known[w]
+            # Words met again come back from the older half, the rest is forgotten.
+            self.known, self.older = {}, known
         return out
 
     def _learn(self, parts: set[str]) -> None:
-        plain = [p for p in parts if p.isascii() and p.isalpha()]
-        other = [p for p in parts if not (p.isascii() and p.isalpha())]
-        model = self.tokenizer.model
-        for p in plain:
-            self.known[p] = np.array([t.id for t in model.tokenize(p)], "<u4").tobytes()
+        other = []
+        for p in parts:
+            if p.isalpha() and p == p.lower() and _latin(p):
+                self.known[p] = _bytes([t.id for t in self.tokenizer.model.tokenize(p if p.isascii() else _byte_letters(p))])
+            else:
+                other.append(p)
         for p, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
+            self.known[p] = _bytes(e.ids)
 
 
-def _parted(word: str) -> tuple[str, ...]:
-    """The word in lower case (if ASCII) without its final stops and commas, and these."""
+def _latin(word: str) -> bool:
+    """Are all letters such that lower-casing and normalising take one for one? (Not so the dotted capital I.)"""
+    return word.isascii() or (max(word) <= "\u024f" and "\u0130" not in word)
+
+
+def _byte_letters(word: str) -> str:
+    """The word's bytes as a byte-level tokenizer writes them: printable Latin-1 as itself, the rest from U+0100 on."""
+    return word.encode().decode("latin-1").translate(_byte_table())
+
+
+@functools.cache
+def _byte_table() -> dict[int, int]:
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(printable)))}
+
+
+def _bytes(ids: list[int]) -> bytes:
+    numbers = array.array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
+@functools.cache
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a worker process, with the words it has learnt."""
+    return WordEncoder(path)
+
+
+_PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def _parted(word: str) -> list[str]:
+    """What the tokenizer encodes apart, in lower case where that is plain."""
+    if word.isascii():
+        return [word] if "'" in word or "<|" in word else _PARTS.findall(word.lower()) or [word]
     core = word.rstrip(".,")
-    # Beyond the first letters normalising may put a sign behind a letter, which then runs on into the stops.
-    if not core or not core[-1].isalnum() or core[-1] > "\u012f":
-        core = word
-    lower = core.lower() if core.isascii() else core
-    return (lower,) if len(core) == len(word) else (lower, word[len(core):])
+    if core.isalpha() and _latin(core):
+        return [core.lower()] if len(core) == len(word) else [core.lower(), word[len(core):]]
+    return [word]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -87,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1,
     ship(docs.sparkSession)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, seen, block = WordEncoder(tokenizer), Counter(), TaskContext.get().partitionId()
+        encoder, seen, block = _encoder(tokenizer), Counter(), TaskContext.get().partitionId()
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             rows, texts = batch["row"].tolist(), [t or "" for t in batch["text"]]
