@@ -30,6 +30,7 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Least standard deviation of each transformed statistic: log words, log word length, symbol share, log repeated lines, repeated share.
 FLOOR = [0.5, 0.08, 0.04, 0.5, 0.06]
 DIM = len(FLOOR)
+BROADCAST_GROUPS = 10_000
 
 
 def _let(value: Column, body) -> Column:
@@ -135,7 +136,7 @@ class RobustRules:
     @staticmethod
     def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         """Squared Mahalanobis distance ``d2``: forward substitution with the Cholesky factor."""
-        out = rows.join(estimates, "group_", "left")
+        out = rows.join(estimates, "group_")
         for i in range(DIM):
             rest = F.col(f"x{i}") - F.col(f"m{i}")
             for j in range(i):
@@ -161,9 +162,13 @@ class RobustRules:
         """Estimates from the rows of `describe` that pass the base rules: centre and Cholesky factor, a row a group."""
         rows = self._keyed(stats.where(~F.col("base_failed")))
         groups = materialize(self._groups(rows), "rules-groups")
-        rows = materialize(self._with_group(rows, groups).select("group_", *(f"x{i}" for i in range(DIM))), "rules-rows")
+        # What is joined to the rows has a row of some 30 numbers a group. Counted and few, it goes to the rows, so that
+        # those of a large group stay where they are; otherwise Spark chooses.
+        few = groups.count() <= BROADCAST_GROUPS
+        small = lambda table: F.broadcast(table) if few else table
+        rows = materialize(self._with_group(rows, small(groups)).select("group_", *(f"x{i}" for i in range(DIM))), "rules-rows")
         median = rows.groupBy("group_").agg(*(F.percentile_approx(f"x{i}", 0.5, 10000).alias(f"m{i}") for i in range(DIM)))
-        spread = rows.join(median, "group_").groupBy("group_").agg(
+        spread = rows.join(small(median), "group_").groupBy("group_").agg(
             *(F.first(f"m{i}").alias(f"m{i}") for i in range(DIM)),
             *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 10000).alias(f"a{i}") for i in range(DIM)),
         )
@@ -174,9 +179,9 @@ class RobustRules:
         estimates = materialize(self._factor(start), "rules-step")
         scale = self.core / _chi_square_share(chi_square(self.core, DIM), DIM + 2)
         for _ in range(self.steps):
-            near = self._distance(rows, estimates)
+            near = self._distance(rows, small(estimates))
             bound = near.groupBy("group_").agg(F.percentile_approx("d2", self.core, 10000).alias("bound"))
-            core = near.join(bound, "group_").where(F.col("d2") <= F.col("bound"))
+            core = near.join(small(bound), "group_").where(F.col("d2") <= F.col("bound"))
             moments = core.groupBy("group_").agg(
                 *(F.avg(f"x{i}").alias(f"m{i}") for i in range(DIM)),
                 *(F.covar_pop(f"x{i}", f"x{j}").alias(f"v{i}{j}") for i, j in cells),
