@@ -7,8 +7,9 @@ taken token. What two sets share they take alike, so a pair at the threshold sha
 ``depth`` splits with a known chance; ``runs`` independent runs are made, enough for ``recall``. A bucket of at most
 ``limit`` classes is compared by brute force. A larger one is split on, unless its members are similar on average or it
 has been split ``most_splits`` times; it is then compared in pairs of blocks of bounded size. So no bucket is cut short,
-whatever its size. (A pair that is in a bucket split more than ``depth`` times shares what all its members share, and
-beyond that tokens of its own, which bring it together in small buckets.)
+whatever its size. Classes that are still in a bucket to be split after ``depth`` splits go through further runs among
+themselves, until there are enough for the depth that was reached. (A missed pair either has not lasted ``depth`` splits in
+any of the first runs, or both its classes are in all runs; the two chances add up to 1 - ``recall`` at most.)
 
 A set is split where it was read: only names of buckets are shuffled, first all, then those with company; the token sets
 of classes that have company are fetched once. A pair that meets in several buckets counts in the one with the smallest
@@ -112,11 +113,24 @@ class ChosenPath:
 
     @property
     def runs(self) -> int:
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - survival(self.depth)))
+        """Enough for ``depth`` splits; a tenth of the misses allowed, at least, is left for pairs that need more."""
+        return math.ceil(math.log(0.9 * (1 - self.recall)) / math.log(1 - survival(self.depth)))
+
+    def runs_for(self, splits: int) -> int:
+        """Enough for pairs that need so many splits."""
+        if splits <= self.depth:
+            return self.runs
+        left = 1 - self.recall - (1 - survival(self.depth)) ** self.runs
+        return math.ceil(math.log(left) / math.log(1 - survival(splits)))
+
+    @staticmethod
+    def _roots(first: int, end: int) -> np.ndarray:
+        """The names of the buckets of all classes that runs ``first`` to ``end`` - 1 begin with."""
+        return mix(np.arange(first + 1, end + 1, dtype=U) * U(0xD1B54A32D192ED03))
 
     def _sets(self, docs: DataFrame, key: str, text: str) -> DataFrame:
         words, threshold = self.words, self.threshold
-        roots = mix(np.arange(1, self.runs + 1, dtype=U) * U(0xD1B54A32D192ED03))
+        roots = self._roots(0, self.runs)
 
         def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             row = TaskContext.get().partitionId() << PLACE_BITS
@@ -145,8 +159,8 @@ class ChosenPath:
     def _small(self):
         return (F.col("n") <= self.limit) & (F.col("total") <= self.block_tokens)
 
-    def _split(self, big: DataFrame, sets: DataFrame) -> DataFrame:
-        """(rep, size, sketch, nodes, tokens): of each class, the sub-buckets of all its buckets ``big``."""
+    def _split(self, sets: DataFrame) -> DataFrame:
+        """(rep, size, sketch, nodes, tokens): of each class, the sub-buckets of all its buckets ``nodes``."""
         threshold = self.threshold
 
         def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,11 +169,27 @@ class ChosenPath:
                          for nodes, tokens in zip(b["nodes"], b["tokens"])]
                 yield b.assign(nodes=below)
 
-        # A class is in some runs * 1.25 ** depth buckets.
-        per_set = big.groupBy("rep").agg(F.collect_list("node").alias("nodes"))
         schema = "rep long, size int, sketch long, nodes array<long>, tokens binary"
-        parts = per_set.join(sets.select("rep", "size", "sketch", "tokens"), "rep").select("rep", "size", "sketch", "nodes", "tokens").mapInPandas(split, schema)
-        return materialize(parts, "join-parts")
+        return materialize(sets.select("rep", "size", "sketch", "nodes", "tokens").mapInPandas(split, schema), "join-parts")
+
+    def _split_down(self, level: DataFrame, buckets: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None, int]:
+        """From the first split on: all small ``buckets``, the rows of large ones not split on, (rep) of the classes in
+        buckets that were split more than ``depth`` times, None if there are none, and the number of splits reached."""
+        big, parts, large, deep, splits = level.where(~self._small()), sets, None, None, 1
+        while splits < self.most_splits:
+            dense, big = self._dense(big)
+            large = dense if large is None else large.unionByName(dense)
+            if big.isEmpty():
+                break
+            if splits >= self.depth and deep is None:
+                deep = big.select("rep").distinct()
+            # A class is in some runs * 1.25 ** splits buckets.
+            nodes = big.groupBy("rep").agg(F.collect_list("node").alias("nodes"))
+            parts = self._split(nodes.join(parts.select("rep", "size", "sketch", "tokens"), "rep"))
+            splits += 1
+            level = self._with_company(parts)
+            buckets, big = buckets.unionByName(self._buckets(level)), level.where(~self._small())
+        return buckets, big if large is None else large.unionByName(big), deep, splits
 
     def _buckets(self, level: DataFrame) -> DataFrame:
         """(reps): the members of each small bucket that have another in it that they may be similar to; two at least.
@@ -264,16 +294,17 @@ class ChosenPath:
         active = buckets.select(F.explode("reps").alias("rep")).unionByName(big.select("rep")).distinct()
         sets = rows.select(F.col("row").alias("rep"), "size", "sketch", "tokens").join(active, "rep", "left_semi")
         sets = materialize(sets.join(classes.select("rep", "weight"), "rep"), "join-sets")
-        parts, large = sets, None
-        for _ in range(1, self.most_splits):
-            dense, big = self._dense(big)
-            large = dense if large is None else large.unionByName(dense)
-            if big.isEmpty():
-                break
-            parts = self._split(big, parts)
-            level = self._with_company(parts)
-            buckets, big = buckets.unionByName(self._buckets(level)), level.where(~self._small())
-        found = self._compare(materialize(self._cells(buckets, large.unionByName(big)), "join-cells"), sets)
+        buckets, large, deep, splits = self._split_down(level, buckets, sets)
+        runs = self.runs
+        if deep is not None:
+            deep = materialize(sets.join(deep, "rep", "left_semi"), "join-deep")
+        while deep is not None and runs < self.runs_for(splits):
+            first, runs = runs, self.runs_for(splits)
+            roots = F.array(*(F.lit(r) for r in self._roots(first, runs).view(np.int64).tolist()))
+            level = self._with_company(self._split(deep.withColumn("nodes", roots)))
+            more, leaves, _, reached = self._split_down(level, self._buckets(level), deep)
+            buckets, large, splits = buckets.unionByName(more), large.unionByName(leaves), max(splits, reached)
+        found = self._compare(materialize(self._cells(buckets, large), "join-cells"), sets)
         roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))
         named = classes.join(links, "rep", "left").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")

@@ -71,6 +71,28 @@ def test_pairs_at_the_threshold_meet_with_the_stated_chance():
     assert (1 - J.survival(4)) ** J.ChosenPath().runs <= 0.001
 
 
+def test_further_runs_for_the_depth_reached():
+    join = J.ChosenPath()
+    assert [join.runs_for(k) for k in (1, 4)] == [join.runs] * 2
+    for splits in range(5, join.most_splits + 1):
+        missed = (1 - J.survival(join.depth)) ** join.runs + (1 - J.survival(splits)) ** join.runs_for(splits)
+        assert missed <= 0.001
+
+
+def test_shared_passages_that_need_more_splits_than_depth(documents):
+    """Pairs exactly at the threshold, put together from passages that others share; no bucket is small or dense before the last split."""
+    words = lambda g, k, n: [f"p{g}q{k}w{i}" for i in range(n)]
+    pairs = 300
+    rows = []
+    for g in range(pairs):
+        # Neighbours share a passage, so that each document meets others than its near copy.
+        whole = words(g, 0, 54) + words(g // 2, 1, 50)
+        rows += [(2 * g, " ".join(whole), "en", "a"), (2 * g + 1, " ".join(whole[:84]), "en", "a")]
+    out = J.ChosenPath(limit=1, dense=2, depth=1, most_splits=3).join(documents(rows)).collect()
+    assert all(r["n_links"] <= 1 for r in out)
+    assert sum(r["n_links"] for r in out) >= 2 * (pairs - 1)
+
+
 def test_links_in_equals_sets():
     rng = np.random.RandomState(1)
     sets = [np.unique(rng.randint(0, 40, rng.randint(1, 40))).astype(np.uint32) for _ in range(60)]
