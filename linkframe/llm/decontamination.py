@@ -11,8 +11,9 @@ meets every document where it lies, whole, without a shuffle. So neither a long
 documents share gathers rows anywhere, and a benchmark of any size only takes more passes.
 
 Defined cases: null and empty texts match nothing; items with fewer than ``seed`` words can't be told from chance and
-match nothing; items with equal words are held once and reported each; repeated documents are judged each; empty tables
-give no pairs. Case, punctuation and spacing don't matter. Other columns are not read, so their names don't matter.
+match nothing; an item without an id counts like any other and is reported as null; items with equal words are held once
+and reported each; repeated documents are judged each; empty tables give no pairs. Case, punctuation and spacing don't
+matter. Other columns are not read, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -99,14 +100,14 @@ class Tiling:
     threshold: float = 0.6
     block_words: int = 1_000_000
 
-    def _blocks(self, benchmark: DataFrame, item: str, text: str) -> Iterator[tuple[list[list[int]], list[np.ndarray]]]:
+    def _blocks(self, benchmark: DataFrame, item: str, text: str) -> Iterator[tuple[list[list[int | None]], list[np.ndarray]]]:
         """Item ids and words, a block at a time; the rows come through a local iterator, never all at once."""
-        ids: dict[bytes, list[int]] = {}
+        ids: dict[bytes, list[int | None]] = {}
         words: list[np.ndarray] = []
         size = 0
         for row in benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).toLocalIterator():
             found, _, _ = word_hashes(row["text"])
-            if row["item"] is None or len(found) < self.seed:
+            if len(found) < self.seed:
                 continue
             key = found.tobytes()
             if key in ids:
@@ -148,7 +149,7 @@ class Tiling:
                         if covered >= threshold * size:
                             row_id = None if pd.isna(row) else int(row)
                             found += [(row_id, i, len(tiles), covered, size, covered / size) for i in ids[k]]
-                yield pd.DataFrame(found, columns=names).astype({"row": "Int64"})
+                yield pd.DataFrame(found, columns=names).astype({"row": "Int64", "item": "Int64"})
 
         return tiled
 

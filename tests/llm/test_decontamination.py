@@ -77,6 +77,15 @@ def test_planted_passages(docs, bench):
     assert by_id[105]["covered"] == 12 and by_id[105]["words"] == 20
 
 
+def test_items_without_an_id_count(spark, documents, bench, tmp_path):
+    rows = [(1, "it says: no item id but words enough here, and more"), (2, ITEM), (3, "something else that nobody has asked about")]
+    docs = documents([(i, t, "en", "a") for i, t in rows])
+    found = sorted(((r["doc_id"], r["item_id"]) for r in D.Tiling().pairs(docs, bench).collect()), key=repr)
+    assert found == [(1, None), (2, 1), (2, 2)]
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r["doc_id"] for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def test_blocks_make_no_difference(docs, bench):
     key = lambda r: tuple(r)
     whole = sorted(map(key, D.Tiling().pairs(docs, bench).collect()))
