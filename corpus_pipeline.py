@@ -50,8 +50,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left and their places in sequences of 4096 tokens."""
-    return packing.pack(packing.pieces(docs, public_tokenizers.path(TOKENIZER))).withColumnRenamed("row", "doc_id")
+    """The pieces of what is left, with their token ids (little-endian, 32 bits), and their places in sequences of 4096 tokens."""
+    return packing.pack(packing.pieces(docs, public_tokenizers.path(TOKENIZER), keep_ids=True)).withColumnRenamed("row", "doc_id")
 
 
 STAGES = [

@@ -1,3 +1,5 @@
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +27,14 @@ def test_run_equals_its_stages_by_hand(spark):
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in docs.collect()}
 
 
+def test_last_stage_holds_the_packed_ids(spark, documents):
+    text = "token ids are what training reads " * 1500
+    rows = corpus_pipeline.best_fit_packing(spark, documents([(1, text, "en", "a"), (2, "short", "en", "a"), (3, None, "en", "a")]), "").collect()
+    assert len(rows) > 3 and {r["doc_id"] for r in rows} == {1, 2, 3}
+    for r in rows:
+        assert len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"]
+
+
 def test_empty_tables(spark, tmp_path):
     for name in TABLES:
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
