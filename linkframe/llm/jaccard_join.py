@@ -194,8 +194,8 @@ class ChosenPath:
     def _buckets(self, level: DataFrame) -> DataFrame:
         """(reps): the members of each small bucket that have another in it that they may be similar to; two at least.
 
-        Sets whose sizes differ by more than the threshold can't be as similar as that, nor, but for a chance of about
-        one in a million, sets whose sketches differ in more than ``most_bits`` bits.
+        Sets whose sizes differ by more than the threshold can't be as similar as that, nor, but for a chance of
+        1.2e-7, sets whose sketches differ in more than ``most_bits`` bits.
         """
         t = self.threshold
         near = lambda a, b: F.bit_count(a["sketch"].bitwiseXOR(b["sketch"])) <= self.most_bits

@@ -93,6 +93,11 @@ def test_shared_passages_that_need_more_splits_than_depth(documents):
     assert sum(r["n_links"] for r in out) >= 2 * (pairs - 1)
 
 
+def test_sketches_let_a_pair_go_with_the_stated_chance():
+    tail = sum(math.comb(64, k) * 0.1**k * 0.9 ** (64 - k) for k in range(J.ChosenPath().most_bits + 1, 65))
+    assert 1.15e-7 < tail < 1.25e-7
+
+
 def test_links_in_equals_sets():
     rng = np.random.RandomState(1)
     sets = [np.unique(rng.randint(0, 40, rng.randint(1, 40))).astype(np.uint32) for _ in range(60)]
