@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SMALL = "/root/testdata/sf0.001"
+from graphs import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

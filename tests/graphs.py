@@ -1,9 +1,10 @@
-"""Small graphs for tests, written in Turtle."""
+"""Small graphs for tests, written in Turtle, and the folder of the smallest tables."""
 
 from linkframe import Engine, EngineConfig, TripleSource
 from linkframe.sources import turtle
 from linkframe.sources.triples import triples_from_terms
 
+SMALL = "/root/testdata/sf0.001"
 NS = "https://graph.test/"
 PREFIXES = f"""
 @prefix : <{NS}> .

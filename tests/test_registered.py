@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 import check
 import model
 import workload
-from conftest import SMALL
+from graphs import SMALL
 
 
 @pytest.mark.parametrize("name", sorted(workload.QUERIES))
