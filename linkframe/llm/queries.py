@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, jaccard_join, labels, nbsvm, packing, robust_rules, sharding, toxicity, url_filter, warc
+from . import chat, decontamination, fingerprints, jaccard_join, labels, nbsvm, packing, robust_rules, sharding, toxicity, url_filter, warc
 
 SHARDS = 24
 TOKENIZER = "word_bpe_49k.json"
@@ -86,9 +86,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *robust_rules.STATS, "base_failed", "kept", F.round("distance", 6).alias("distance"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.WeightedSampling().prints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_decontamination, op3_warc, op4_quality_classifier, op5_sharding, op6_ngram_jaccard_join, op7_chat_formatting,
-    op8_url_filters, op9_packing, op10_quality_rules,
+    op8_url_filters, op9_packing, op10_quality_rules, op11_fingerprints,
 )}
 
 #: SHA-1 in base32: five hex digits are twenty bits, four letters.
