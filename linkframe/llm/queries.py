@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fingerprints, jaccard_join, labels, nbsvm, packing, robust_rules, sharding, toxicity, url_filter, warc
+from . import chat, decontamination, fingerprints, jaccard_join, labels, nbsvm, packing, ranked_search, robust_rules, sharding, spelling, toxicity, url_filter, warc
 
 SHARDS = 24
 TOKENIZER = "word_bpe_49k.json"
@@ -90,9 +90,18 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.WeightedSampling().prints(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.SpellingVariants().group(_table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.RankedSearch().search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_decontamination, op3_warc, op4_quality_classifier, op5_sharding, op6_ngram_jaccard_join, op7_chat_formatting,
     op8_url_filters, op9_packing, op10_quality_rules, op11_fingerprints,
+    op12_spelling_variants, op13_ranked_search,
 )}
 
 #: SHA-1 in base32: five hex digits are twenty bits, four letters.
@@ -152,4 +161,58 @@ ORACLES = {
             WHEN rule IS NOT NULL THEN 'allow' WHEN spam IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
             CASE WHEN rule IS NULL THEN spam END AS pattern
         FROM judged""",
+    "op12_spelling_variants": r"""
+        WITH RECURSIVE steps(byte, c, nth) AS (
+            SELECT i, i, 0 FROM range(256) r(i)
+            UNION ALL SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, nth + 1 FROM steps WHERE nth < 8
+        ), crc_table AS (SELECT list(c ORDER BY byte) AS t FROM steps WHERE nth = 8),
+        found AS (
+            SELECT coalesce(cast(doc_id AS VARCHAR), '') AS name, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+        ), runs AS (
+            SELECT name, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+            FROM found WHERE length(run) >= 5 GROUP BY ALL
+        ), bytes AS (
+            SELECT run, times, flatten(list_transform(range(1, length(name) + length(run) + 2), lambda i:
+                CASE WHEN unicode(substr(name || ':' || run, i, 1)) < 128 THEN [unicode(substr(name || ':' || run, i, 1))::BIGINT]
+                ELSE [192 + (unicode(substr(name || ':' || run, i, 1)) >> 6)::BIGINT, 128 + (unicode(substr(name || ':' || run, i, 1)) & 63)::BIGINT] END)) AS b
+            FROM runs
+        ), hashed AS (
+            SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) AS h
+            FROM bytes, crc_table
+        ), spelt AS (
+            SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM hashed
+        ), words AS (
+            SELECT word, sum(times)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+        ), cut AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), pairs AS (
+            SELECT a.word, b.word AS other, b.n AS n_other FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+        ), counted AS (SELECT word, count(*) AS n_near, max(n_other) AS most FROM pairs GROUP BY word),
+        forms AS (
+            SELECT w.word, w.n, coalesce(c.n_near, 0) AS n_near, CASE WHEN c.most >= 2 * w.n THEN c.most END AS form_n,
+                CASE WHEN c.most >= 2 * w.n THEN (SELECT min(p.other) FROM pairs p WHERE p.word = w.word AND p.n_other = c.most) END AS form
+            FROM words w LEFT JOIN counted c ON w.word = c.word
+        ), ways(word, goal) AS (
+            SELECT word, word FROM forms UNION ALL SELECT s.word, f.form FROM ways s JOIN forms f ON s.goal = f.word WHERE f.form IS NOT NULL
+        )
+        SELECT f.word, f.form, s.goal AS root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN ways s ON f.word = s.word JOIN forms e ON s.goal = e.word WHERE e.form IS NULL""",
+    "op13_ranked_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+        ), tokens AS (SELECT row, doc_id, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs),
+        sizes AS (SELECT row, count(*) AS n FROM tokens GROUP BY row),
+        whole AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+        counts AS (SELECT row, doc_id, term, count(*)::BIGINT AS tf FROM tokens GROUP BY ALL),
+        weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, whole GROUP BY term, docs),
+        asked AS (
+            SELECT DISTINCT item, item_id, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+            FROM (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+        ), scores AS (
+            SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+            FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (row), whole GROUP BY ALL
+        ), ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST, row) AS rank FROM scores WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
