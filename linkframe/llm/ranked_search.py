@@ -101,7 +101,7 @@ class RankedSearch:
                 break
             wave += 1
         if sums is None:
-            return asked.where("false").select(F.col("item_key").alias(item), F.lit(0).alias("rank"), docs[key].alias(key), F.lit(0).cast("long").alias("score"))
+            return asked.where("false").select(F.col("item_key").alias(item), F.lit(0).alias("rank"), F.lit(None).cast(docs.schema[key].dataType).alias(key), F.lit(0).cast("long").alias("score"))
 
         able = sums.join(closed, "item").where(F.col("score") + F.col("rest") >= F.col("bound"))
         able = materialize(able.select("item", "row", "key", "score", "wave"), "search-survivors")
