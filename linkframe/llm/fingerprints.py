@@ -96,11 +96,13 @@ class WeightedSampling:
         rows = bags.select(*names, F.explode_outer("bag").alias("one")).select(
             *names, "one.term", F.log("one.n").alias("w"), F.log("one.n_other").alias("w_other"))
         rows = rows.select(*names, "w", "w_other", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), "term")
-        rows = rows.select(*names, "lane", "w", "w_other", F.xxhash64("term", "lane").alias("term_"), F.col("term").isNotNull().alias("any_"))
+        rows = rows.select(*names, "lane", "w", "w_other", F.xxhash64("term", "lane").alias("term_"))
 
         def least(k: int, weight: str) -> Column:
             r, c, b = _draws("term_", k)
-            return F.min(F.when(F.col("any_"), c - r * (F.floor(F.col(weight) / r + b) - b + 1)))
+            # Null where the weight is: a text without the term, or without any. Nothing here is conditional, so that
+            # both texts share r, c and b.
+            return F.min(c - r * (F.floor(F.col(weight) / r + b) - b + 1))
 
         drawn = rows.groupBy(*names, "lane").agg(
             *(least(k, "w").alias(f"a{k}") for k in range(self.lane)), *(least(k, "w_other").alias(f"b{k}") for k in range(self.lane)))
