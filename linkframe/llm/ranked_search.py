@@ -7,9 +7,10 @@ together is less than its ``k``-th largest accumulator: a document without one c
 then on no accumulators are made; those that can still reach the ``k``-th are updated by the remaining terms exactly.
 Nothing is estimated, so the result is that of scoring every document.
 
-Postings hold each document's score for a term, whatever the item; they are written once, for the terms of the items, and
-stay where they are: items' terms, a few rows each, come to them. Sums are pre-aggregated where postings lie, and the k-th
-largest are cut per task before they are shuffled, so a term in every document gathers rows nowhere.
+Postings (document, term, count) are written once, for the terms of the items alone, and stay where they are: items' terms, a
+few rows each, come to them. A wave's sums are made from the postings of its own and all earlier waves, which costs a third
+more than the last wave alone and leaves no table of accumulators behind; sums are pre-aggregated where postings lie, and
+the k-th largest are cut per task before they are shuffled, so a term in every document gathers rows nowhere.
 
 Defined cases: null texts have no terms; items and documents without terms have no result rows; repeated rows are documents
 (or items) of their own; equal scores go by ascending id, nulls last, then by the order in which rows were read; empty
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 from .columns import lower_ascii
 from .storage import materialize
 
-TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What lies between terms: ASCII but for letters and digits. All other characters are in terms.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _terms(text: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TERMS), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), BETWEEN), "")
 
 
 @dataclass(frozen=True)
@@ -41,74 +43,70 @@ class RankedSearch:
     first_wave: int = 1000
     growth: int = 4
 
-    def index(self, docs: DataFrame, items: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-        """Postings (row, key, term, score) of the terms in ``items`` (item, term), and (term, weight, df, most)."""
-        read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), _terms(text).alias("terms")).withColumn("n", F.size("terms").cast("long"))
-        wanted = materialize(items.select("term").distinct(), "search-vocabulary")
-        tokens = read.where("n > 0").select("row", "key", "n", F.explode("terms").alias("term")).withColumn("term", lower_ascii(F.col("term")))
-        met = tokens.join(wanted, "term").groupBy("row", "key", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-        met = materialize(met, "search-terms")
-        sizes = docs.select(F.size(_terms(text)).cast("long").alias("n")).where("n > 0").agg(F.count(F.lit(1)), F.sum("n")).first()
-        all_docs, all_terms = F.lit(sizes[0]).cast("long"), F.lit(sizes[1] or 1).cast("long")
-        length = F.lit(10).cast("long") + F.call_function("div", 90 * F.col("n") * all_docs, all_terms)
+    def postings(self, docs: DataFrame, vocabulary: DataFrame, key: str, text: str) -> DataFrame:
+        """(row, key, n, term_id, tf) of the terms in ``vocabulary`` (term, term_id), and a row of each document without a term_id."""
+        read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), _terms(text).alias("terms"))
+        each = read.select("row", "key", F.size("terms").cast("long").alias("n"), F.explode(F.concat("terms", F.array(F.lit(None).cast("string")))).alias("term"))
+        met = each.withColumn("term", lower_ascii(F.col("term"))).join(vocabulary, "term", "left")
+        met = met.where(F.col("term").isNull() | F.col("term_id").isNotNull())
+        return materialize(met.groupBy("row", "key", "n", "term_id").agg(F.count(F.lit(1)).alias("tf")), "search-postings")
+
+    def plan(self, items: DataFrame, postings: DataFrame) -> tuple[DataFrame, Column]:
+        """(item, term_id, weight, wave, rest), and a posting's part of a score, to be multiplied by the weight.
+
+        ``rest`` is the most that all terms of later waves can score together.
+        """
+        sizes = postings.where("term_id is null and n > 0").agg(F.count(F.lit(1)), F.sum("n")).first()
+        docs, terms = F.lit(sizes[0]).cast("long"), F.lit(sizes[1] or 1).cast("long")
+        length = F.lit(10).cast("long") + F.call_function("div", 90 * F.col("n") * docs, terms)
         part = F.call_function("div", F.lit(1_000_000_000).cast("long") * F.col("tf"), 1000 * F.col("tf") + 8 * length)
-        df = met.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max(part).alias("part"))
-        ratio = (2 * all_docs + 2).cast("double") / (2 * F.col("df") + 1).cast("double")
-        weights = df.withColumn("weight", F.floor(1000 * F.log(ratio)).cast("long"))
-        weights = materialize(weights.select("term", "weight", "df", (F.col("weight") * F.col("part")).alias("most")), "search-weights")
-        scored = met.join(weights.select("term", "weight"), "term").select("row", "key", "term", (F.col("weight") * part).alias("score"))
-        return scored, weights
-
-    def _plan(self, items: DataFrame, weights: DataFrame) -> DataFrame:
-        """(item, term, wave, rest): ``rest`` is the most that all terms of later waves can score together."""
-        order = Window.partitionBy("item").orderBy("df", "term")
-        known = items.join(weights, "term").withColumn("postings", F.sum("df").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        ratio = (2 * docs + 2).cast("double") / (2 * F.col("df") + 1).cast("double")
+        weighed = postings.where("term_id is not null").groupBy("term_id").agg(F.count(F.lit(1)).alias("df"), F.max(part).alias("part"))
+        weighed = weighed.withColumn("weight", F.floor(1000 * F.log(ratio)).cast("long"))
+        order = Window.partitionBy("item").orderBy("df", "term_id")
+        known = items.join(weighed, "term_id").withColumn("postings", F.sum("df").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         wave = F.ceil(F.log(F.col("postings") / self.first_wave) / F.log(F.lit(float(self.growth))))
-        known = known.withColumn("wave", F.greatest(F.lit(0), wave.cast("int")))
         later = Window.partitionBy("item").orderBy("wave").rangeBetween(1, Window.unboundedFollowing)
-        return materialize(known.withColumn("rest", F.coalesce(F.sum("most").over(later), F.lit(0))).select("item", "term", "wave", "rest"), "search-plan")
-
-    def _first(self, scores: DataFrame, k: int) -> DataFrame:
-        order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("key"), "row")
-        return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        known = known.withColumn("wave", F.greatest(F.lit(0), wave.cast("int")))
+        rest = F.coalesce(F.sum(F.col("weight") * F.col("part")).over(later), F.lit(0))
+        return materialize(known.withColumn("rest", rest).select("item", "term_id", "weight", "wave", "rest"), "search-plan"), part
 
     def search(self, docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
         """``item``, ``rank`` (from 1), ``key``, ``score`` of the ``k`` best documents of each row of ``queries``."""
         asked = materialize(queries.select(F.monotonically_increasing_id().alias("item"), F.col(item).alias("item_key"), F.col(item_text).alias("text")), "search-items")
         items = asked.select("item", F.explode(_terms("text")).alias("term")).withColumn("term", lower_ascii(F.col("term"))).distinct()
-        items = materialize(items, "search-item-terms")
-        scored, weights = self.index(docs, items, key, text)
-        postings = materialize(scored, "search-postings")
-        plan = self._plan(items, weights)
-        last = plan.agg(F.max("wave")).first()[0]
-
-        closed = None  # (item, wave, rest, bound): the last wave that made accumulators, what was left then, the k-th largest
-        sums = None
-        wave = 0
+        vocabulary = materialize(items.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id()), "search-vocabulary")
+        postings = self.postings(docs, vocabulary, key, text)
+        plan, part = self.plan(items.join(vocabulary, "term"), postings)
+        scored = postings.where("term_id is not null").select("row", "key", "term_id", part.alias("part"))
+
+        def sums(terms: DataFrame) -> DataFrame:
+            """(item, row, key, score) over the chosen ``terms`` of the plan."""
+            return scored.join(terms, "term_id").groupBy("item", "row", "key").agg(F.sum(F.col("weight") * F.col("part")).alias("score"))
+
+        closed = plan.where("false").select("item", "wave", "rest", F.col("rest").alias("bound"))
+        last, wave = plan.agg(F.max("wave")).first()[0], 0
         while last is not None and wave <= last:
-            opened = plan if closed is None else plan.join(closed.select("item"), "item", "left_anti")
-            fresh = postings.join(opened.where(F.col("wave") == wave).select("item", "term"), "term")
-            fresh = fresh.groupBy("item", "row", "key").agg(F.sum("score").alias("score"))
-            sums = fresh if sums is None else sums.unionByName(fresh).groupBy("item", "row", "key").agg(F.sum("score").alias("score"))
-            sums = materialize(sums, "search-sums")
-            bound = self._first(sums, self.k).where(F.col("rank") == self.k).select("item", F.col("score").alias("bound"))
+            opened = plan.join(closed.select("item"), "item", "left_anti")
+            best = Window.partitionBy("item").orderBy(F.desc("score"))
+            ranked = sums(opened.where(F.col("wave") <= wave).select("item", "term_id", "weight")).withColumn("rank", F.row_number().over(best))
+            bound = ranked.where(F.col("rank") <= self.k).where(F.col("rank") == self.k).select("item", F.col("score").alias("bound"))
             # An item without a later wave is done, with or without k documents; the rest shrinks from wave to wave.
             left = opened.groupBy("item").agg(F.min(F.when(F.col("wave") <= wave, F.col("rest"))).alias("rest"), F.max("wave").alias("end"))
             over = (F.col("end") <= wave) | F.coalesce(F.col("rest") < F.col("bound"), F.lit(False))
             done = left.join(bound, "item", "left").where(over).select("item", F.lit(wave).alias("wave"), "rest", F.coalesce("bound", F.lit(0)).alias("bound"))
-            closed = materialize(done if closed is None else closed.unionByName(done), "search-closed")
+            closed = materialize(closed.unionByName(done), "search-closed")
             if plan.join(closed.select("item"), "item", "left_anti").isEmpty():
                 break
             wave += 1
-        if sums is None:
-            return asked.where("false").select(F.col("item_key").alias(item), F.lit(0).alias("rank"), F.lit(None).cast(docs.schema[key].dataType).alias(key), F.lit(0).cast("long").alias("score"))
-
-        able = sums.join(closed, "item").where(F.col("score") + F.col("rest") >= F.col("bound"))
-        able = materialize(able.select("item", "row", "key", "score", "wave"), "search-survivors")
-        later = plan.alias("p").join(closed.alias("c"), "item").where("p.wave > c.wave").select("item", "term")
-        rows = able.select("item", "row")
-        more = postings.select("row", "term", "score").join(rows, "row").join(later, ["item", "term"]).groupBy("item", "row").agg(F.sum("score").alias("more"))
-        exact = able.join(more, ["item", "row"], "left").select("item", "row", "key", (F.col("score") + F.coalesce("more", F.lit(0))).alias("score"))
-        best = self._first(exact.where("score > 0"), self.k)
-        return best.join(asked.select("item", "item_key"), "item").select(
-            F.col("item_key").alias(item), "rank", F.col("key").alias(key), "score")
+
+        ends = plan.join(closed.select("item", F.col("wave").alias("end")), "item")
+        made = sums(ends.where("wave <= end").select("item", "term_id", "weight")).join(closed, "item")
+        able = materialize(made.where(F.col("score") + F.col("rest") >= F.col("bound")).select("item", "row", "key", "score"), "search-survivors")
+        later = ends.where("wave > end").select("item", "term_id", "weight")
+        more = scored.select("row", "term_id", "part").join(able.select("item", "row"), "row").join(later, ["item", "term_id"])
+        more = more.groupBy("item", "row").agg(F.sum(F.col("weight") * F.col("part")).alias("more"))
+        exact = able.join(more, ["item", "row"], "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0))).where("score > 0")
+        order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("key"), "row")
+        first = exact.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= self.k)
+        return first.join(asked.select("item", "item_key"), "item").select(F.col("item_key").alias(item), "rank", F.col("key").alias(key), "score")

@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import check
-from linkframe.llm.ranked_search import TERMS, RankedSearch
+from linkframe.llm.ranked_search import BETWEEN, RankedSearch
 from graphs import SMALL
 
 
 def terms(text):
-    return ["".join(c.lower() if c.isascii() else c for c in t) for t in re.findall(TERMS, text or "")]
+    return ["".join(c.lower() if c.isascii() else c for c in t) for t in re.split(BETWEEN, text or "") if t]
 
 
 def brute_force(docs, items, k):
@@ -68,7 +68,7 @@ def test_accumulators_are_limited(spark, monkeypatch):
     items = [(1, "Rare COMMON")]
     got = method.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert found(got) == brute_force(docs, items, 3)
-    assert made["search-sums"] == 20
+    assert made["search-survivors"] <= 20
 
 
 def test_awkward_rows_and_empty_tables(spark, awkward, nothing):
