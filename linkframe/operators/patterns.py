@@ -10,13 +10,13 @@ or, as object, any Python literal wrapped in ``Literal``.
 """
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import functions as F
 
 from linkframe import vocab as V
 from linkframe.errors import InvalidQuery, UnsupportedClause
 from linkframe.functions import terms
+from linkframe.operators import solutions
 from linkframe.plans.frame import Names
 
 # Column metadata: the variable stands in subject or predicate position.
@@ -56,18 +56,34 @@ def match(source, *patterns):
         pattern = linked[0]
         waiting.remove(pattern)
         rows = _pattern(source, pattern)
-        result = rows if result is None else _join(result, rows)
+        result = rows if result is None else natural_join(result, rows)
     return result
 
 
 def optional(df, source, *patterns):
-    """Left join a pattern. Its shared variables must be bound in every row of
-    ``df``: an unbound one would match anything, which a join cannot express."""
+    """OPTIONAL: left join patterns to solutions. A shared variable that a row of
+    ``df`` leaves unbound takes its value from the pattern."""
     if len(patterns) == 1:
         s, p, o = (_variable(x) for x in patterns[0])
-        if s in df.columns and p is None and o is not None and o not in df.columns:
+        plain = s in df.columns and p is None and o is not None and o not in df.columns
+        if plain and not df.schema[s].nullable:
             return _optional_property(df, source, s, _predicate(patterns[0][1]), o)
-    return _join(df, match(source, *patterns), "left")
+    return optional_join(df, match(source, *patterns))
+
+
+def natural_join(left, right):
+    """Compatible pairs of two sets of solutions, as of a group ``{ left } { right }``."""
+    return solutions.join(left, right, _shared(left, right))
+
+
+def optional_join(left, right):
+    """``left`` OPTIONAL ``right`` for sets of solutions."""
+    return solutions.left_join(left, right, _shared(left, right))
+
+
+def minus(left, right):
+    """``left`` MINUS ``right``; solutions without a common variable take nothing away."""
+    return solutions.minus(left, right, _parts(left, right))
 
 
 def _optional_property(df, source, subject, prop, name):
@@ -82,20 +98,22 @@ def _optional_property(df, source, subject, prop, name):
 
 def exists(df, source, *patterns):
     """FILTER EXISTS."""
-    return _without(df, match(source, *patterns), "left_semi")
+    right = match(source, *patterns)
+    return solutions.semi_join(df, right, _shared(df, right), "left_semi")
 
 
 def not_exists(df, source, *patterns):
     """FILTER NOT EXISTS."""
-    return _without(df, match(source, *patterns), "left_anti")
+    right = match(source, *patterns)
+    return solutions.semi_join(df, right, _shared(df, right), "left_anti")
 
 
 def values(spark, **columns):
-    """VALUES: an inline table of terms, one keyword per variable."""
+    """VALUES: an inline table of terms, one keyword per variable; None is UNDEF."""
     names = list(columns)
     if len({len(v) for v in columns.values()}) != 1:
         raise InvalidQuery("the columns of VALUES differ in length")
-    rows = [F.struct(*[_constant(columns[n][i]).alias(n) for n in names])
+    rows = [F.struct(*[_value(columns[n][i]).alias(n) for n in names])
             for i in range(len(columns[names[0]]))]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
@@ -112,6 +130,10 @@ def _constant(x):
     return x.term() if isinstance(x, Literal) else terms.iri_term(x)
 
 
+def _value(x):
+    return F.lit(None).cast(terms.TERM_TYPE) if x is None else terms.rebuilt(_constant(x))
+
+
 def _pattern(source, pattern):
     """Rows of one triple pattern, a term column per variable."""
     s, p, o = pattern
@@ -126,7 +148,7 @@ def _pattern(source, pattern):
     columns = {}
     for name, term in ((_variable(s), terms.node_term(F.col("s"), bound=True)),
                        (_variable(p), terms.iri_term(F.col("p"), bound=True)),
-                       (_variable(o), F.col("o"))):
+                       (_variable(o), terms.rebuilt(F.col("o")))):
         if name is None:
             continue
         if name in columns:
@@ -141,33 +163,18 @@ def _pattern(source, pattern):
     ])
 
 
-def _shared(left, right):
+def _parts(left, right):
     """Shared variables with the term parts that decide whether they are equal."""
-    shared = [c for c in left.columns if c in right.columns]
-    if not shared:
-        raise UnsupportedClause("no shared variable links the patterns")
     parts = {}
-    for c in shared:
+    for c in [c for c in left.columns if c in right.columns]:
         # A resource has neither datatype nor language to tell apart.
         resource = any(side.schema[c].metadata.get(RESOURCE) for side in (left, right))
         parts[c] = ("value", "kind") if resource else ("value", "kind", "datatype", "lang")
     return parts
 
 
-def _join(left, right, how="inner"):
-    """Join on equal terms; NULL never equals NULL, unbound matches nothing here."""
-    parts = _shared(left, right)
-    renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in parts else F.col(c) for c in right.columns])
-    tests = [F.col(c)[p] == F.col(f"_right_{c}")[p] for c in parts for p in parts[c]]
-    joined = left.join(renamed, reduce(lambda a, b: a & b, tests), how)
-    return joined.drop(*[f"_right_{c}" for c in parts])
-
-
-def _without(left, right, how):
-    """Semi or anti join. The right side is reduced to its distinct keys first,
-    map-side, so a key that occurs there very often is no burden."""
-    parts = _shared(left, right)
-    names = {(c, p): f"_right_{c}_{p}" for c in parts for p in parts[c]}
-    keys = right.select(*[F.col(c)[p].alias(n) for (c, p), n in names.items()]).distinct()
-    tests = [F.col(c)[p] == F.col(n) for (c, p), n in names.items()]
-    return left.join(keys, reduce(lambda a, b: a & b, tests), how)
+def _shared(left, right):
+    parts = _parts(left, right)
+    if not parts:
+        raise UnsupportedClause("no shared variable links the patterns")
+    return parts

@@ -11,7 +11,7 @@ from linkframe.catalog import discovery, shacl
 from linkframe.catalog.shacl import DEFAULT_ANNOTATIONS
 from linkframe.functions import terms
 from linkframe.operators.patterns import (
-    Literal, exists, match, not_exists, optional, values,
+    Literal, exists, match, minus, natural_join, not_exists, optional, optional_join, values,
 )
 from linkframe import vocab as V
 from linkframe.sources import turtle
@@ -674,6 +674,69 @@ def native_not_exists(spark, directory):
     return df.select(F.col("o.value").alias("o"))
 
 
+# Suppliers with an even number are known by their nation, the others by its region alone, some by neither.
+PLACED = f"""(select s_suppkey, case when s_suppkey % 2 = 0 then s_nationkey end as nation,
+    case when s_suppkey % 2 = 1 then n_regionkey end as region from supplier join nation on s_nationkey = n_nationkey)"""
+
+
+def placed_suppliers(graph):
+    """Solutions of a UNION: each of them leaves ?n or ?r unbound."""
+    rows = match(graph, ("?s", prop("s_suppkey"), "?k"), ("?s", prop("s_nationkey"), "?n"), ("?n", prop("n_regionkey"), "?r"))
+    even = terms.number(F.col("k")) % 2 == 0
+    return rows.where(even).select("s", "n").unionByName(rows.where(~even).select("s", "r"), allowMissingColumns=True)
+
+
+def nations_called(graph, letter):
+    rows = match(graph, ("?n", prop("n_regionkey"), "?r"), ("?n", prop("n_name"), "?name"))
+    return rows.where(F.col("name.value").endswith(letter)) if letter else rows
+
+
+def shown_solutions(df, *names):
+    return df.select(*(F.col(n)["value"].alias(n) for n in names))
+
+
+@register("native_union_join", f"""select {iri('Supplier', 's_suppkey')} as s, {iri('Nation', 'n_nationkey')} as n, {iri('Region', 'n_regionkey')} as r,
+    n_name as name from {PLACED} p join nation on n_nationkey = p.nation or n_regionkey = p.region""")
+def native_union_join(spark, directory):
+    graph = triple_source(spark, directory, ["Supplier", "Nation", "Region"])
+    return shown_solutions(natural_join(placed_suppliers(graph), nations_called(graph, "")), "s", "n", "r", "name")
+
+
+@register("native_optional_unbound", f"""select {iri('Supplier', 's_suppkey')} as s, {iri('Nation', 'coalesce(n_nationkey, p.nation)')} as n,
+    {iri('Region', 'coalesce(n_regionkey, p.region)')} as r, n_name as name
+    from {PLACED} p left join nation on (n_nationkey = p.nation or n_regionkey = p.region) and n_name like '%3'""".replace(
+        iri('Nation', 'coalesce(n_nationkey, p.nation)'), f"'{B}Nation/' || coalesce(n_nationkey, p.nation)").replace(
+        iri('Region', 'coalesce(n_regionkey, p.region)'), f"'{B}Region/' || coalesce(n_regionkey, p.region)"))
+def native_optional_unbound(spark, directory):
+    graph = triple_source(spark, directory, ["Supplier", "Nation", "Region"])
+    return shown_solutions(optional_join(placed_suppliers(graph), nations_called(graph, "3")), "s", "n", "r", "name")
+
+
+@register("native_minus", f"""select {iri('Supplier', 's_suppkey')} as s from {PLACED} p where not exists (
+    select 1 from nation where n_name like '%3' and (n_nationkey = p.nation or n_regionkey = p.region))""")
+def native_minus(spark, directory):
+    graph = triple_source(spark, directory, ["Supplier", "Nation", "Region"])
+    return shown_solutions(minus(placed_suppliers(graph), nations_called(graph, "3")), "s")
+
+
+@register("native_minus_optional", f"""select {iri('Document', 'd.doc_id')} as d from {DOC_LABELS} where quality is distinct from 1""")
+def native_minus_optional(spark, directory):
+    """The side that is taken away binds ?q in some of its solutions only."""
+    graph = triple_source(spark, directory, ["Document", "Label"])
+    docs = match(graph, ("?d", prop("lang"), "?lang"), ("?d", prop("label"), "?x"))
+    rated = optional(match(graph, ("?d", prop("label"), "?x")), graph, ("?x", prop("quality"), "?q"))
+    rated = rated.where(terms.number(F.col("q")) == 1)
+    return shown_solutions(minus(docs, rated), "d")
+
+
+@register("native_exists_unbound", f"""select {iri('Supplier', 's_suppkey')} as s from {PLACED} p where exists (
+    select 1 from customer join nation on c_nationkey = n_nationkey where n_nationkey = p.nation or n_regionkey = p.region)""")
+def native_exists_unbound(spark, directory):
+    graph = triple_source(spark, directory, ["Supplier", "Nation", "Region", "Customer"])
+    met = exists(placed_suppliers(graph), graph, ("?c", prop("c_nationkey"), "?n"), ("?n", prop("n_regionkey"), "?r"))
+    return shown_solutions(met, "s")
+
+
 @register("native_lang_datatype", """select lang, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#langString' as datatype,
                                      count(*) as n from documents group by 1""")
 def native_lang_datatype(spark, directory):
