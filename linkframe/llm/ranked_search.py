@@ -9,7 +9,7 @@ Nothing is estimated, so the result is that of scoring every document.
 
 Postings (document, term, count) are written once, for the terms of the items alone, and stay where they are: items' terms, a
 few rows each, come to them. A wave's sums are made from the postings of its own and all earlier waves, which costs a third
-more than the last wave alone and leaves no table of accumulators behind; sums are pre-aggregated where postings lie, and
+more than the last wave alone and leaves no table of accumulators behind, only the survivors of closed items; sums are pre-aggregated where postings lie, and
 the k-th largest are cut per task before they are shuffled, so a term in every document gathers rows nowhere.
 
 Defined cases: null texts have no terms; items and documents without terms have no result rows; repeated rows are documents
@@ -20,6 +20,7 @@ tables give no rows; texts of any length are taken whole. Only ids and texts are
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,11 +38,13 @@ def _terms(text: str) -> Column:
 
 @dataclass(frozen=True)
 class RankedSearch:
-    """first_wave: postings per item in the first wave; each later one ends at ``growth`` times as many."""
+    """first_wave: postings per item in the first wave; each later one ends at ``growth`` times as many.
+    most_broadcast: items whose bounds, some 50 bytes each, are sent to all tasks."""
 
     k: int = 10
     first_wave: int = 1000
     growth: int = 4
+    most_broadcast: int = 500_000
 
     def postings(self, docs: DataFrame, vocabulary: DataFrame, key: str, text: str) -> DataFrame:
         """(row, key, n, term_id, tf) of the terms in ``vocabulary`` (term, term_id), and a row of each document without a term_id."""
@@ -78,35 +81,39 @@ class RankedSearch:
         vocabulary = materialize(items.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id()), "search-vocabulary")
         postings = self.postings(docs, vocabulary, key, text)
         plan, part = self.plan(items.join(vocabulary, "term"), postings)
-        scored = postings.where("term_id is not null").select("row", "key", "term_id", part.alias("part"))
-
-        def sums(terms: DataFrame) -> DataFrame:
-            """(item, row, key, score) over the chosen ``terms`` of the plan."""
-            return scored.join(terms, "term_id").groupBy("item", "row", "key").agg(F.sum(F.col("weight") * F.col("part")).alias("score"))
-
-        closed = plan.where("false").select("item", "wave", "rest", F.col("rest").alias("bound"))
-        last, wave = plan.agg(F.max("wave")).first()[0], 0
-        while last is not None and wave <= last:
-            opened = plan.join(closed.select("item"), "item", "left_anti")
-            best = Window.partitionBy("item").orderBy(F.desc("score"))
-            ranked = sums(opened.where(F.col("wave") <= wave).select("item", "term_id", "weight")).withColumn("rank", F.row_number().over(best))
+        scored = postings.where("term_id is not null").select("row", "term_id", part.alias("part"))
+        ends = plan.agg(F.max("wave"), F.count_distinct("item")).first()
+        # A row an item goes to the sums where they lie; more items than that are dealt out like them.
+        to_sums = F.broadcast if ends[1] <= self.most_broadcast else lambda state: state
+
+        survivors, wave = [], 0
+        opened = plan
+        while ends[0] is not None and wave <= ends[0]:
+            sums = scored.join(opened.where(F.col("wave") <= wave).select("item", "term_id", "weight"), "term_id")
+            sums = sums.groupBy("item", "row").agg(F.sum(F.col("weight") * F.col("part")).alias("score"))
+            ranked = sums.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"))))
             bound = ranked.where(F.col("rank") <= self.k).where(F.col("rank") == self.k).select("item", F.col("score").alias("bound"))
             # An item without a later wave is done, with or without k documents; the rest shrinks from wave to wave.
             left = opened.groupBy("item").agg(F.min(F.when(F.col("wave") <= wave, F.col("rest"))).alias("rest"), F.max("wave").alias("end"))
             over = (F.col("end") <= wave) | F.coalesce(F.col("rest") < F.col("bound"), F.lit(False))
-            done = left.join(bound, "item", "left").where(over).select("item", F.lit(wave).alias("wave"), "rest", F.coalesce("bound", F.lit(0)).alias("bound"))
-            closed = materialize(closed.unionByName(done), "search-closed")
-            if plan.join(closed.select("item"), "item", "left_anti").isEmpty():
+            state = left.join(bound, "item", "left").where(over).select("item", "rest", F.coalesce("bound", F.lit(0)).alias("bound"))
+            able = sums.join(to_sums(state), "item").where(F.col("score") + F.col("rest") >= F.col("bound"))
+            survivors.append(materialize(able.select("item", "row", "score", F.lit(wave).alias("made")), "search-survivors"))
+            done = reduce(DataFrame.unionByName, survivors).select("item", "made").distinct()
+            opened = plan.join(done, "item", "left_anti")
+            if opened.isEmpty():
                 break
             wave += 1
+        if not survivors:
+            nothing = [F.lit(0).alias("rank"), F.lit(None).cast(docs.schema[key].dataType).alias(key), F.lit(0).cast("long").alias("score")]
+            return asked.where("false").select(F.col("item_key").alias(item), *nothing)
 
-        ends = plan.join(closed.select("item", F.col("wave").alias("end")), "item")
-        made = sums(ends.where("wave <= end").select("item", "term_id", "weight")).join(closed, "item")
-        able = materialize(made.where(F.col("score") + F.col("rest") >= F.col("bound")).select("item", "row", "key", "score"), "search-survivors")
-        later = ends.where("wave > end").select("item", "term_id", "weight")
-        more = scored.select("row", "term_id", "part").join(able.select("item", "row"), "row").join(later, ["item", "term_id"])
+        able = reduce(DataFrame.unionByName, survivors)
+        later = plan.join(done, "item").where("wave > made").select("item", "term_id", "weight")
+        more = scored.join(able.select("item", "row"), "row").join(later, ["item", "term_id"])
         more = more.groupBy("item", "row").agg(F.sum(F.col("weight") * F.col("part")).alias("more"))
         exact = able.join(more, ["item", "row"], "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0))).where("score > 0")
+        keys = postings.where("term_id is null").select("row", "key")
         order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("key"), "row")
-        first = exact.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= self.k)
+        first = exact.join(keys, "row").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= self.k)
         return first.join(asked.select("item", "item_key"), "item").select(F.col("item_key").alias(item), "rank", F.col("key").alias(key), "score")
