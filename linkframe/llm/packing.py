@@ -35,6 +35,8 @@ from .storage import materialize, ship
 PIECES = "row long, piece int, start long, length long, ids_crc32 long, block int, nth long, ids binary"
 #: Encoded words kept by a worker (twice as many at most), longer words are not kept; characters encoded at a time.
 CACHE_WORDS, CACHE_CHARS, SLICE = 300_000, 64, 1 << 20
+#: Rows of three numbers that are sent to all tasks at most, some 40 bytes each there.
+MOST_BROADCAST = 2_000_000
 
 
 class WordEncoder:
@@ -294,7 +296,9 @@ def pack(cut: DataFrame, capacity: int = 4096) -> DataFrame:
     base = counts.select("block", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     by_length = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     shared = spark.sparkContext.broadcast(plan(by_length, capacity))
-    ranked = cut.join(base, ["block", "length"])
+    # A row for each length in each partition. Counted and few, they go to the pieces, whose ids then stay where they are.
+    base = materialize(base, "pieces-base")
+    ranked = cut.join(F.broadcast(base) if base.count() <= MOST_BROADCAST else base, ["block", "length"])
     place = F.struct("length", (F.col("base") + F.col("nth")).alias("rank"))
 
     @F.pandas_udf("sequence_id long, offset long")

@@ -197,6 +197,9 @@ class RobustRules:
         names = [c for c in stats.columns if c not in ("distance", "kept")]
         x = {f"x{i}_": e.cast("double") for i, e in enumerate(features())}
         model = model.select(*(F.col(c).alias(f"{c}__") for c in model.columns))
+        # A row of some 30 numbers a group: counted and few, they go to the documents, which then stay where they are.
+        if model.count() <= BROADCAST_GROUPS:
+            model = F.broadcast(model)
         on = stats[self.language].eqNullSafe(model["lang___"]) & stats[self.source].eqNullSafe(model["source___"])
         out = stats.select(*names).withColumns(x).join(model, on, "left")
         for i in range(DIM):
