@@ -98,7 +98,7 @@ class ChosenPath:
     words: int = 5
     threshold: float = 0.8
     recall: float = 0.999
-    limit: int = 16
+    limit: int = 64
     depth: int = 4
     most_splits: int = 12
     dense: float = 0.5
