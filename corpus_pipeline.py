@@ -25,8 +25,9 @@ def _wrapped(docs: DataFrame, *names: str) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie outside their language and source's robust estimate go."""
     rules = robust_rules.RobustRules()
-    model = rules.fit(robust_rules.describe(docs.select("text", "lang", "source")).drop("text"))
-    return rules.judge(robust_rules.describe(_wrapped(docs, "text", "lang", "source")), model).where("kept").select("doc_.*")
+    # Counted once: the estimates read the counts alone, the verdict the documents beside them.
+    described = materialize(robust_rules.describe(_wrapped(docs, "text", "lang", "source")).drop("text"), "described")
+    return rules.judge(described, rules.fit(described.drop("doc_"))).where("kept").select("doc_.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
