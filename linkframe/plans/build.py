@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from linkframe.errors import InvalidQuery, UnsupportedClause
 from linkframe.naming import variable_name
 from linkframe.operators import aggregates as A
+from linkframe.operators.factorised import Factor, aggregate_factored
 from linkframe.operators.filters import narrowing, predicate
 from linkframe.plans import ir
 from linkframe.plans.bindings import KeyBinding, TermBinding, ValueBinding
@@ -70,6 +71,7 @@ class StageBuilder:
         self.needed = {}             # alias -> {key: Resolved}
         self.bound = {}              # (alias, key) -> binding
         self.joins = {}              # alias -> JoinStep, in dependency order
+        self.factors = []            # aggregated properties that are not joined to the rows
 
     # ---- hooks ----------------------------------------------------------------------
 
@@ -237,8 +239,10 @@ class StageBuilder:
                 self.need(self.resolve(field))
         outputs = None
         if stage.aggregations:
+            self.factors = self.choose_factors()
             for field in list(stage.breakouts) + [a.field for a in stage.aggregations if a.field]:
-                self.need(self.resolve(field))
+                if self.resolve(field) not in self.factors:
+                    self.need(self.resolve(field))
         else:
             outputs = self.projection(expected)
         for field in ir.filter_fields(stage.filter):
@@ -313,10 +317,15 @@ class StageBuilder:
             df = df.limit(stage.limit)
         return Frame(keep_columns(df, [o.binding for o in shown]), unique_names(shown))
 
+    def choose_factors(self):
+        """Properties that can be aggregated per subject, see BaseStage."""
+        return []
+
     def finish_groups(self, df, late):
-        stage = self.stage
-        groups = list(dict.fromkeys(self.resolve(f) for f in stage.breakouts))
-        own_only = all(a.field is None or self.resolve(a.field).alias is None for a in stage.aggregations)
+        groups = list(dict.fromkeys(self.resolve(f) for f in self.stage.breakouts))
+        if self.factors:
+            return self.finish_factored(df, groups, late)
+        own_only = all(a.field is None or self.resolve(a.field).alias is None for a in self.stage.aggregations)
         plans = self.plan_aggregates() if own_only else []
         grouped_early = own_only and self.should_pre_aggregate(groups, late, plans)
         if grouped_early:
@@ -330,6 +339,12 @@ class StageBuilder:
         parts = [p for plan in plans for p in (plan.merged() if grouped_early else plan.computed())]
         df = df.groupBy(*columns).agg(*parts)
         df = df.select(*columns, *[p.result.alias(p.binding.columns[0]) for p in plans])
+        return self.grouped(df, groups, plans)
+
+    def grouped(self, df, groups, plans):
+        """Sort, limit and name the result of an aggregation."""
+        stage = self.stage
+        columns = list(dict.fromkeys(c for g in groups for c in self.binding(g).columns))
         shown = [Output(g.name, self.binding(g), g.meta, g.alias) for g in groups]
         shown += [Output(f"ag_{i}", plan.binding) for i, plan in enumerate(plans)]
 
@@ -470,6 +485,44 @@ class BaseStage(StageBuilder):
                 return False
         return True
 
+    def choose_factors(self):
+        """Aggregated properties that need not be multiplied out.
+
+        Two properties with m and n values of a subject make m * n rows of it. A
+        property that is only aggregated is counted and summed per subject
+        instead, and the others' numbers of values are multiplied (see
+        operators.factorised). It pays from the second fan-out on.
+        """
+        stage = self.stage
+        rows = {self.resolve(f) for f in [*stage.breakouts, *ir.filter_fields(stage.filter)]}
+        rows |= {s.source for s in self.joins.values()}
+        aggregated = dict.fromkeys(self.resolve(a.field) for a in stage.aggregations if a.field is not None)
+        many = lambda r: r.key != SUBJECT and self.source.multi_valued(
+            self.class_iri if r.alias is None else self.joins[r.alias].class_iri, r.key)
+        tagged = lambda r: r.meta is not None and r.meta.database_type == "langString" and self.language.strip()
+        factors = [r for r in aggregated if r.alias is None and r not in rows and many(r) and not tagged(r)]
+        others = any(many(r) for r in [*rows, *aggregated] if r not in factors)
+        return factors if len(factors) + others > 1 else []
+
+    def finish_factored(self, df, groups, late):
+        df = self.load_joins(df)
+        df = self.keep_language(df, self.joins)
+        df = self.where(df, late)
+        sides = {}
+        for r in self.factors:
+            values, subject, bound = self.source.values(self.class_iri, r.key, r.name, self.names)
+            self.take(None, {r.key: bound}, {r.key: r})
+            sides[r] = Factor(values, subject.columns, self.bound[(None, r.key)])
+        wanted = []
+        for i, a in enumerate(self.stage.aggregations):
+            name, field = self.names.new(f"ag_{i}"), a.field and self.resolve(a.field)
+            plan = None if field is None else A.aggregate(a.op, self.binding(field), name, self.names)
+            wanted.append((name, plan, sides.get(field)))
+        columns = list(dict.fromkeys(c for g in groups for c in self.binding(g).columns))
+        subject = self.bound[(None, SUBJECT)]
+        df, plans = aggregate_factored(df, columns, subject.columns, list(sides.values()), wanted, self.names)
+        return self.grouped(df, groups, plans)
+
     def tie_columns(self, shown):
         subject = self.bound[(None, SUBJECT)]
         distinct = self.stage.breakouts and not self.stage.fields

@@ -100,6 +100,11 @@ class MappedSource:
         df = self._explode(df, class_iri, props, bound)
         return df, binding, bound
 
+    def values(self, class_iri, prop, hint, names):
+        """The values of one property: a row each, with the binding of its subject and its own."""
+        df, subject, bound = self.scan(class_iri, {prop: hint}, names)
+        return df, subject, bound[prop]
+
     def attach(self, df, anchor, props, names, hint):
         """Left join the properties of the resource ``anchor`` points to."""
         if not isinstance(anchor, KeyBinding):

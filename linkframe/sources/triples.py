@@ -91,6 +91,12 @@ class TripleSource:
             bound[prop] = TermBinding(name)
         return (df if anchor.node else df.drop(key)), bound
 
+    def values(self, class_iri, prop, hint, names):
+        """The values of one property: a row each, with the binding of its subject and its own."""
+        subject, name = names.new(SUBJECT), names.new(hint)
+        rows = self.slice(prop).select(F.col("s").alias(subject), F.col("o").alias(name))
+        return rows, TermBinding(subject, node=True), TermBinding(name)
+
     def multi_valued(self, class_iri, prop):
         return True
 

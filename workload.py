@@ -876,6 +876,51 @@ def repeated_keys(spark, directory):
     return model.source(spark, directory).repeated_keys()
 
 
+# ---- aggregates over several properties of many values ----------------------------------------------
+
+# The balances of a nation's customers and of its suppliers, in cents, and the sizes of nothing.
+HELD = {"balance": ("customer", "c_nationkey", "c_acctbal"), "credit": ("supplier", "s_nationkey", "s_acctbal")}
+HELD_SQL = """(select distinct c_nationkey as n, round(c_acctbal * 100)::bigint as balance from customer) b on b.n = n_nationkey
+    left join (select distinct s_nationkey as n, round(s_acctbal * 100)::bigint as credit from supplier) c on c.n = n_nationkey"""
+
+
+def held_engine(spark, directory):
+    parts = [triple_source(spark, directory, ["Nation", "Region"]).triples()]
+    for name, (table, key, value) in HELD.items():
+        cents = F.round(F.col(value) * 100).cast("bigint").cast("string")
+        parts.append(model.table(spark, directory, table).select(
+            F.concat(F.lit(B + "Nation/"), F.col(key).cast("string")).alias("s"), F.lit(prop(name)).alias("p"),
+            terms.literal_term(cents, V.XSD + "integer", bound=True).alias("o")))
+    triples = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return Engine(TripleSource(triples), EngineConfig(default_graph=B, metadata_sync_strategy="none"))
+
+
+def agg_multi_valued(name, query, sql):
+    def run(spark, directory):
+        df = held_engine(spark, directory).query({"source-table": "Nation", **query}).to_df("text")
+        numbers = [F.col(c).cast("double").alias(c) if c.startswith("ag_") else F.col(c) for c in df.columns]
+        return df.select(*numbers)
+
+    register("agg_multi_valued_" + name, sql)(run)
+
+
+agg_multi_valued("global", {"aggregation": [["count"], ["count", field("balance")], ["sum", field("balance")], ["sum", field("credit")],
+                                            ["avg", field("credit")], ["min", field("balance")], ["max", field("credit")]]},
+                 f"""select count(distinct n_nationkey)::double as ag_0, count(balance)::double as ag_1, sum(balance)::double as ag_2,
+    sum(credit)::double as ag_3, sum(credit)::double / count(credit) as ag_4, min(balance)::double as ag_5, max(credit)::double as ag_6
+    from nation left join {HELD_SQL}""")
+agg_multi_valued("grouped", {"aggregation": [["sum", field("balance")], ["count", field("credit")], ["count"]], "breakout": [field("n_regionkey")]},
+                 f"""select {iri('Region', 'n_regionkey')} as n_regionkey, sum(balance)::double as ag_0, count(credit)::double as ag_1,
+    count(distinct n_nationkey)::double as ag_2 from nation left join {HELD_SQL} group by 1""")
+agg_multi_valued("distinct", {"aggregation": [["distinct", field("balance")], ["distinct", field("credit")], ["count", field("credit")]],
+                              "breakout": [field("n_regionkey")]},
+                 f"""select {iri('Region', 'n_regionkey')} as n_regionkey, count(distinct balance)::double as ag_0,
+    count(distinct credit)::double as ag_1, count(credit)::double as ag_2 from nation left join {HELD_SQL} group by 1""")
+agg_multi_valued("filtered", {"aggregation": [["sum", field("credit")], ["count", field("n_name")], ["count", field("balance")]],
+                              "filter": [">", field("balance"), 500000]},
+                 f"""select sum(credit)::double as ag_0, count(n_name)::double as ag_1, count(balance)::double as ag_2
+    from nation left join {HELD_SQL} where balance > 500000""")
+
 # ---- a stored triple table: duplicates, several graphs, listed hot subjects ---------------------
 
 GRAPH = "https://data.example/graph/main"
