@@ -146,11 +146,12 @@ class WeightedSampling:
         ways = F.array(F.struct(F.lit(1).cast("long").alias("rows"), edit(F.col("head")).alias("edited"), F.lit(True).alias("last")))
         more = F.array(F.struct((F.col("copies") - 1).alias("rows"), edit(own).alias("edited"), F.lit(False).alias("last")))
         both = texts.join(heads, same).withColumn("way", F.explode(F.when(F.col("copies") > 1, F.concat(ways, more)).otherwise(ways)))
-        bags = both.select(
-            *same, "key", "n", "next_name", "next_mark", F.col("way.rows").alias("rows"), F.col("way.last").alias("last"),
-            F.sha2("way.edited", 256).alias("edited_sha256"), _bag(terms(F.col("text")), terms(F.col("way.edited"))).alias("bag"))
-        names = [c for c in bags.columns if c != "bag"]
-        found = materialize(self.sample(bags, names), "prints")
+        facts = both.select(
+            *same, F.col("way.last").alias("last"), "key", "n", "next_name", "next_mark", F.col("way.rows").alias("rows"),
+            F.sha2("way.edited", 256).alias("edited_sha256"))
+        # Every term is grouped by these, so they are few and short; what else is known of a text is joined to its fingerprint.
+        bags = both.select(*same, F.col("way.last").alias("last"), _bag(terms(F.col("text")), terms(F.col("way.edited"))).alias("bag"))
+        found = materialize(self.sample(bags, [*same, "last"]).join(facts, [*same, "last"]), "prints")
 
         following = found.where("last").select(F.col("name").alias("next_name"), F.col("mark").alias("next_mark"), F.col("fingerprint").alias("following"))
         own, other = F.col("fingerprint"), F.when(F.col("last"), F.col("following")).otherwise(F.col("fingerprint"))
