@@ -89,7 +89,9 @@ class RankedSearch:
         survivors, wave = [], 0
         opened = plan
         while ends[0] is not None and wave <= ends[0]:
-            sums = scored.join(opened.where(F.col("wave") <= wave).select("item", "term_id", "weight"), "term_id")
+            # Stated, so that the two readers of the sums below, of which one would infer it, share one shuffle.
+            made = opened.where(F.col("item").isNotNull() & (F.col("wave") <= wave)).select("item", "term_id", "weight")
+            sums = scored.join(made, "term_id")
             sums = sums.groupBy("item", "row").agg(F.sum(F.col("weight") * F.col("part")).alias("score"))
             ranked = sums.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"))))
             bound = ranked.where(F.col("rank") <= self.k).where(F.col("rank") == self.k).select("item", F.col("score").alias("bound"))
