@@ -145,13 +145,17 @@ def equals(term, value, as_iri=False):
 def compare(term, op, value):
     """Ordering comparison; NULL (a type error) unless both sides share a family."""
     result = _compared(_OPS[op], term, value)
+    if op in (">", ">=") and isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        result = result & ~F.isnan(number(term))  # which Spark sorts above all numbers
     if isinstance(value, str) and looks_temporal(value):
         result = F.coalesce(_OPS[op](instant(term), F.lit(value).try_cast("timestamp")), result)
     return result
 
 
 def _compared(test, term, value):
-    """Two integers compare exactly, any other pair of numbers as doubles."""
+    """Two integers compare exactly, any other pair of numbers as doubles; with NaN every test is false."""
+    if isinstance(value, (float, Decimal)) and value != value:
+        return F.when(number(term).isNotNull(), F.lit(False))
     loose = test(_comparable(term, value), _literal(value))
     if isinstance(value, bool) or not isinstance(value, int) or abs(value) >= 10**38:
         return loose

@@ -58,14 +58,22 @@ class ValueBinding:
     def equals(self, value, as_iri=False):
         if as_iri and not isinstance(self.dtype, T.StringType):
             return _unless_unbound(self.value, False)
+        if self._no_number(value):
+            return _unless_unbound(self.value, False)
         operand = self._operand(value)
         return _unknown() if operand is None else self._if_untagged(self.value == operand)
 
     def compare(self, op, value):
+        if self._no_number(value):
+            return _unless_unbound(self.value, False)
         operand = self._operand(value)
         if operand is None:
             return _unknown()
-        return self._if_untagged(terms.apply_operator(op, self.value, operand))
+        test = terms.apply_operator(op, self.value, operand)
+        if op in (">", ">=") and isinstance(self.dtype, (T.FloatType, T.DoubleType)):
+            # Spark sorts NaN above all numbers. Beside the comparison, which still reaches the scan.
+            test = test & ~F.isnan(self.value)
+        return self._if_untagged(test)
 
     def _if_untagged(self, test):
         """A tagged literal never compares with a plain one (a type error)."""
@@ -82,9 +90,14 @@ class ValueBinding:
         if isinstance(self.dtype, T.StringType):
             return F.lit(str(value))
         if isinstance(self.dtype, _TEMPORAL) and terms.looks_temporal(str(value)):
-            return F.lit(str(value)).cast(self.dtype)
+            # A date that no calendar has (2020-13-45) is no value: it equals nothing and is in no order.
+            return F.lit(str(value)).try_cast(self.dtype)
         return None
 
+    def _no_number(self, value):
+        """NaN equals nothing and is in no order, not even with itself."""
+        return isinstance(value, (float, Decimal)) and value != value and isinstance(self.dtype, T.NumericType)
+
     def language_is(self, lang):
         if self.lang_column is None:
             return None

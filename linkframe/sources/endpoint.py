@@ -13,6 +13,7 @@ and compares like any triple data.
 import base64
 import itertools
 import json
+import re
 import ssl
 import time
 from urllib.error import HTTPError
@@ -20,12 +21,16 @@ from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from linkframe import vocab as V
-from linkframe.errors import SourceError
+from linkframe.errors import InvalidQuery, SourceError, UnsupportedClause
 from linkframe.functions.literals import iri_ref
 from linkframe.functions.terms import TERM_TYPE
+from linkframe.plans.bindings import TermBinding, ValueBinding
+from linkframe.plans.frame import Frame, Output
+from linkframe.results import QueryResult
 from linkframe.sources.triples import TripleSource
 from linkframe.templates import render_terms
 
@@ -163,20 +168,64 @@ def _listed(variables):
     return [v.strip() for v in variables.split(",") if v.strip()]
 
 
+# What may hold a brace or a keyword without meaning it: comments, IRIs, texts.
+_QUOTED = re.compile(r"""#[^\n]*|<[^<>"{}|^`\\\s]*>|\"{3}.*?\"{3}|'{3}.*?'{3}|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'""", re.S)
+
+
+def query_form(text):
+    """SELECT, ASK, CONSTRUCT or DESCRIBE: the first such word after the prologue."""
+    found = re.search(r"(?<![\w:?$])(SELECT|ASK|CONSTRUCT|DESCRIBE)\b(?!\s*:)", _plain(text), re.I)
+    if found is None:
+        raise InvalidQuery("the query is no SELECT and no ASK")
+    return found[1].upper()
+
+
+def without_rows(text):
+    """The SELECT query with a limit of no rows: the answer names its variables."""
+    plain = _plain(text)
+    end = plain.rfind("}") + 1
+    limit = re.search(r"\bLIMIT\s+[0-9]+", plain[end:], re.I)
+    if limit is None:
+        return text + "\nLIMIT 0"
+    return text[: end + limit.start()] + "LIMIT 0" + text[end + limit.end() :]
+
+
+def _plain(text):
+    """The text with blanks for what is quoted, place by place."""
+    return _QUOTED.sub(lambda m: " " * len(m[0]), text)
+
+
 def read_query(spark, endpoint, text, values=None, **options):
-    """One native query as a DataFrame of terms: ``{{tag}}`` values are written in, columns are those the answer names.
+    """One native SELECT query as a DataFrame of terms: ``{{tag}}`` values are written in, columns are those the answer names.
 
-    The answer's head is asked for with no rows; the rows are then read by one task.
+    The text goes to the endpoint as it is, prefixes and all. Its variables are asked for with no rows; the rows are then
+    read by one task, as a query with an order or a limit has one answer only.
     """
     query = render_terms(text, values or {})
+    if query_form(query) != "SELECT":
+        raise InvalidQuery("only a SELECT query has rows; see native()")
     lower = {k.lower(): v for k, v in options.items()}
-    variables, _ = solutions(post(endpoint, f"SELECT * WHERE {{ {{ {query} }} }} LIMIT 0", **connection(lower)))
+    variables, _ = solutions(post(endpoint, without_rows(query), **connection(lower)))
     if not variables:
         raise SourceError("the endpoint names no variables for the query", "query")
     spark.dataSource.register(SparqlDataSource)
     return spark.read.format("sparql").options(endpoint=endpoint, query=query, variables=",".join(variables), **options).load()
 
 
+def native(spark, endpoint, text, values=None, **options):
+    """A native query with its typed result: SELECT gives its variables as columns, ASK one ``boolean`` column."""
+    query = render_terms(text, values or {})
+    form = query_form(query)
+    if form == "ASK":
+        lower = {k.lower(): v for k, v in options.items()}
+        answer = spark.range(1).select(F.lit(ask(endpoint, query, **connection(lower))).alias("boolean"))
+        return QueryResult(Frame(answer, [Output("boolean", ValueBinding("boolean", T.BooleanType()))]))
+    if form != "SELECT":
+        raise UnsupportedClause(f"{form} gives a graph, not a table")
+    df = read_query(spark, endpoint, text, values, **options)
+    return QueryResult(Frame(df, [Output(c, TermBinding(c)) for c in df.columns]))
+
+
 class SparqlDataSource(DataSource):
     """Options: endpoint, variables, query or queries (JSON list), defaultGraph, insecure,
     authType (none, basic, bearer), username, password, token, timeout (seconds), retries."""

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkframe import SourceError
+from linkframe.errors import InvalidQuery, UnsupportedClause
 from linkframe import vocab as V
 from linkframe.functions import terms
 from linkframe.sources import endpoint
@@ -133,10 +134,34 @@ def test_a_busy_endpoint_is_asked_again(monkeypatch):
 
 def test_one_call_for_a_native_query(spark, monkeypatch):
     seen = []
-    monkeypatch.setattr(endpoint, "urlopen", None)
     monkeypatch.setattr(endpoint, "_post", lambda e, q, *rest: seen.append(q) or ANSWER)
     df = endpoint.read_query(spark, "http://e", "SELECT ?s ?v WHERE { ?s ?p {{name}} }", {"name": "Ann"})
-    assert df.columns == ["s", "v"] and seen == ['SELECT * WHERE { { SELECT ?s ?v WHERE { ?s ?p "Ann" } } } LIMIT 0']
+    assert df.columns == ["s", "v"] and seen == ['SELECT ?s ?v WHERE { ?s ?p "Ann" }\nLIMIT 0']
+
+
+PROLOGUE = "BASE <http://b/select#>\nPREFIX ask: <http://ask/> # SELECT nothing }\n"
+
+
+@pytest.mark.parametrize("query, asked", [
+    ("SELECT ?s WHERE { ?s ask:p ?o }", None),
+    ("SELECT ?s WHERE { ?s ask:p \"} LIMIT 9\" } ORDER BY ?s LIMIT 30", "SELECT ?s WHERE { ?s ask:p \"} LIMIT 9\" } ORDER BY ?s LIMIT 0"),
+    ("select ?s { { select ?s { ?s ?p ?o } limit 5 } }", None),
+    ("SELECT ?s FROM <http://g> { ?s ?p ?o }\nlimit 10 offset 4 # }", "SELECT ?s FROM <http://g> { ?s ?p ?o }\nLIMIT 0 offset 4 # }"),
+])
+def test_variables_are_asked_for_without_rows(query, asked):
+    assert endpoint.query_form(PROLOGUE + query) == "SELECT"
+    assert endpoint.without_rows(PROLOGUE + query) == PROLOGUE + (asked or query + "\nLIMIT 0")
+
+
+def test_native_queries_have_typed_results(spark, monkeypatch):
+    monkeypatch.setattr(endpoint, "_post", lambda e, q, *rest: {"head": {}, "boolean": True} if "ASK" in q else ANSWER)
+    yes = endpoint.native(spark, "http://e", PROLOGUE + "ASK { ask:x a ask:T }")
+    assert [tuple(r) for r in yes.to_df().collect()] == [(True,)] and yes.columns()[0].base_type == V.BOOLEAN
+    found = endpoint.native(spark, "http://e", PROLOGUE + "SELECT ?s ?v { ?s ?p ?v }")
+    assert found.names == ["s", "v"]
+    for text, kind in (("CONSTRUCT { ?s ?p ?o } WHERE { ?s ?p ?o }", UnsupportedClause), ("PREFIX x: <http://x>", InvalidQuery)):
+        with pytest.raises(kind):
+            endpoint.native(spark, "http://e", text)
 
 
 def test_saved_results(spark, tmp_path):

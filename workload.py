@@ -153,6 +153,15 @@ filtered("filter_not", "Order", "o_orderstatus", ["not", ["or", ["=", field("o_o
 filtered("filter_date_range", "Order", "o_orderdate",
          ["and", [">=", field("o_orderdate"), "1996-01-01"], ["<", field("o_orderdate"), "1997-01-01"]],
          "o_orderdate >= timestamp '1996-01-01' and o_orderdate < timestamp '1997-01-01'")
+# A date that no calendar has is a type error, in every comparison; so are comparisons with NaN false.
+filtered("filter_date_malformed", "Order", "o_totalprice",
+         ["or", ["=", field("o_orderdate"), "2020-13-45"], [">", field("o_orderdate"), "1996-02-30"],
+          ["<", field("o_orderdate"), "1996-06-01"]],
+         "o_orderdate < timestamp '1996-06-01'", True)
+filtered("filter_nan", "Order", "o_totalprice",
+         ["or", ["<", field("o_totalprice"), float("nan")], [">=", field("o_totalprice"), float("nan")],
+          ["=", field("o_totalprice"), float("nan")], [">", field("o_totalprice"), 400000]],
+         "o_totalprice > 400000", True)
 filtered("filter_starts_with", "Part", "p_name", ["starts-with", field("p_name"), "red"],
          "starts_with(p_name, 'red')", True)
 filtered("filter_starts_with_ci", "Part", "p_name",
