@@ -2,7 +2,8 @@
 
 A rule is a pattern (a Java regular expression over ``host + path`` of a URL) with its literal tokens: words that every
 text the pattern matches holds as whole tokens. Token counts over all URLs tell which of a rule's tokens is rarest; the
-rule is filed under that one alone. A URL's distinct tokens fetch candidate rules, and only those candidates run.
+rule is filed under that one alone. A URL's distinct tokens fetch candidate rules, and only those candidates run. A rule
+without a literal token has nothing to be filed under and runs on every URL: a caller that has many should give them tokens.
 
 Of the rules that match, the one with the highest ``rank`` decides. ``host_rule`` writes a rule for a host with its
 subdomains and a path prefix; its rank is its length, so that the longest wins, and above that of every plain pattern.
@@ -93,7 +94,11 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", default: str =
     index = rarest.join(listed, "id_").where(F.col("present") == F.size("tokens"))
     index = materialize(index.select("token", "rule", "pattern", "verdict", "rank"), "url-index")
 
-    fits = exploded.join(F.broadcast(index), "token").where(F.expr("body rlike pattern"))
+    fits = exploded.join(F.broadcast(index), "token").where(F.expr("body rlike pattern")).select("row_", "rule", "verdict", "rank")
+    if not all(r.tokens for r in rules):
+        # Nothing tells where a rule without a token may fit: it meets every URL.
+        always = listed.where(F.size("tokens") == 0).select("pattern", "rule", "verdict", "rank")
+        fits = fits.unionByName(rows.select("row_", body.alias("body")).join(F.broadcast(always), F.expr("body rlike pattern")).select("row_", "rule", "verdict", "rank"))
     best = fits.groupBy("row_").agg(F.min(F.struct((-F.col("rank")).alias("rank"), "rule", "verdict")).alias("best"))
     return rows.join(best, "row_", "left").select(
         "given.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

@@ -62,3 +62,11 @@ def test_empty_rules_clashing_columns_and_empty_table(pages):
 def test_no_python_in_the_plan(pages):
     plan = U.judge(pages, HOST_RULES)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_rules_without_a_token_run_on_every_url(spark):
+    rules = [U.Rule("any.exe", r"\.exe$", (), "block", 5), U.Rule("named", r"setup", ("setup",), "allow", 9)]
+    urls = ["http://a.b/x.exe", "http://a.b/setup.exe", "http://a.b/x.txt", None, "http://a.b/" + "long/" * 20_000 + "x.exe"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in U.judge(pages, rules).collect()}
+    assert got == {0: ("any.exe", "block"), 1: ("named", "allow"), 2: (None, "allow"), 3: (None, "allow"), 4: ("any.exe", "block")}
