@@ -37,6 +37,8 @@ from linkframe.templates import render_terms
 ERROR_CHARS = 1000
 TIMEOUT_SECONDS = 300
 RETRIES = 2
+# Rows of one answer that endpoints commonly give; how far a part is split.
+PART_ROWS, MOST_DIGITS = 10_000, 8
 
 
 def auth_headers(kind=None, username=None, password=None, token=None):
@@ -130,8 +132,11 @@ def solutions(answer):
 
 
 class QueryPartition(InputPartition):
-    def __init__(self, query):
+    """A query text; ``expected`` is how many rows it must answer, where that was counted."""
+
+    def __init__(self, query, expected=None):
         self.query = query
+        self.expected = expected
 
 
 class SparqlReader(DataSourceReader):
@@ -141,12 +146,16 @@ class SparqlReader(DataSourceReader):
         self.variables = _listed(self.options["variables"])
 
     def partitions(self):
+        if "pattern" in self.options:
+            return list(self._counted())
         given = self.options.get("queries")
         queries = json.loads(given) if given else [self.options["query"]]
         return [QueryPartition(q) for q in queries]
 
     def read(self, partition):
-        _, rows = solutions(post(self.options["endpoint"], partition.query, opener=self.opener, **connection(self.options)))
+        rows = self._rows(partition.query)
+        if partition.expected is not None and len(rows) < partition.expected:
+            raise SourceError(f"the endpoint answered {len(rows)} of {partition.expected} rows: it caps its answers below partrows")
         cap = int(self.options.get("rowcap", 0))
         if cap and len(rows) >= cap:
             raise SourceError(f"a part of the read reached the endpoint's cap of {cap} rows; split it into more parts")
@@ -154,6 +163,27 @@ class SparqlReader(DataSourceReader):
             yield tuple(term(row.get(v)) for v in self.variables)
 
 
+    def _rows(self, query):
+        return solutions(post(self.options["endpoint"], query, opener=self.opener, **connection(self.options)))[1]
+
+    def _counted(self):
+        """Parts of at most ``partrows`` rows. Each is counted first; a larger one is split by one more digit."""
+        most, pattern = int(self.options["partrows"]), self.options["pattern"]
+        digits = "0123456789abcdef"
+        waiting = ["".join(p) for p in itertools.product(digits, repeat=int(self.options["digits"]))] + [None]
+        while waiting:
+            start = waiting.pop(0)
+            count = f"SELECT (COUNT(*) AS ?n) WHERE {{ {pattern} . FILTER({part_test(start)}) }}"
+            rows = self._rows(count)
+            if len(rows) != 1 or "n" not in rows[0]:
+                raise SourceError("the endpoint answered a count with something else")
+            n = int(rows[0]["n"]["value"])
+            if n > most and start is not None and len(start) < MOST_DIGITS:
+                waiting += [start + d for d in digits]
+            elif n:
+                yield QueryPartition(part_query(self.variables, pattern, start), n)
+
+
 def connection(options):
     """Arguments of ``post`` from the options of the source (names in lower case)."""
     get = options.get
@@ -249,15 +279,17 @@ class EndpointTriples(TripleSource):
 
     Each read is split into ``16 ** digits`` disjoint parts by the first digits of the
     subject's MD5, plus one for blank nodes, so no single answer carries a whole
-    predicate and a hot predicate is spread over many tasks. An endpoint that caps its
-    answers needs parts smaller than the cap: ``row_cap`` names it, and a part that
-    reaches it fails the read.
+    predicate and a hot predicate is spread over many tasks. Parts are counted when the
+    read is planned, and those of more than ``part_rows`` rows are split on. A part whose
+    answer holds fewer rows than were counted fails the read: a cap that nobody stated
+    never makes the result smaller. ``row_cap`` names a cap that is known.
     """
 
-    def __init__(self, spark, endpoint, digits=1, row_cap=None, **options):
+    def __init__(self, spark, endpoint, digits=1, row_cap=None, part_rows=PART_ROWS, **options):
         if row_cap is not None:
             options["rowcap"] = str(row_cap)
-        self._spark, self._digits = spark, digits
+            part_rows = min(part_rows, row_cap - 1)
+        self._spark, self._digits, self._part_rows = spark, digits, part_rows
         self._options = {"endpoint": endpoint, **options}
         self.hot = {}
         self._deduplicated = True          # an endpoint answers from a set of triples
@@ -276,7 +308,7 @@ class EndpointTriples(TripleSource):
 
     def _read(self, variables, pattern):
         return self._spark.read.format("sparql").options(
-            variables=",".join(variables), queries=json.dumps(split_queries(variables, pattern, self._digits)),
+            variables=",".join(variables), pattern=pattern, digits=str(self._digits), partrows=str(self._part_rows),
             **self._options).load()
 
     def ping(self):
@@ -286,10 +318,17 @@ class EndpointTriples(TripleSource):
         return True
 
 
+def part_test(start):
+    """The subjects of one part; None is that of the blank nodes."""
+    # STR of a blank node is an error, which keeps blank nodes out of the digits.
+    return "isBlank(?s)" if start is None else f'STRSTARTS(MD5(STR(?s)), "{start}")'
+
+
+def part_query(variables, pattern, start):
+    return f"SELECT {' '.join(f'?{v}' for v in variables)} WHERE {{ {pattern} . FILTER({part_test(start)}) }}"
+
+
 def split_queries(variables, pattern, digits=1):
     """SELECT texts whose answers together are the answer of the pattern, once each."""
-    starts = map("".join, itertools.product("0123456789abcdef", repeat=digits))
-    parts = [f'STRSTARTS(MD5(STR(?s)), "{start}")' for start in starts] + ["isBlank(?s)"]
-    shown = " ".join(f"?{v}" for v in variables)
-    # STR of a blank node is an error, which keeps blank nodes out of the digits.
-    return [f"SELECT {shown} WHERE {{ {pattern} . FILTER({part}) }}" for part in parts]
+    starts = list(map("".join, itertools.product("0123456789abcdef", repeat=digits)))
+    return [part_query(variables, pattern, start) for start in [*starts, None]]

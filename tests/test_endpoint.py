@@ -1,7 +1,9 @@
 """The endpoint source against a stand-in for the HTTP layer, and saved results."""
 
+import hashlib
 import io
 import json
+import re
 from urllib.error import HTTPError, URLError
 from urllib.parse import parse_qs, urlparse
 
@@ -185,6 +187,41 @@ def test_saved_results_have_the_columns_of_all_heads(spark, tmp_path):
         read_results(spark, str(tmp_path))
 
 
+class CappedEndpoint:
+    """Stands in for an endpoint with 2,000 subjects that gives at most ``cap`` rows an answer."""
+
+    def __init__(self, cap):
+        self.cap, self.asked = cap, []
+        self.subjects = [f"http://s/{i}" for i in range(2000)]
+
+    def __call__(self, request, timeout=None, context=None):
+        query = parse_qs(request.data.decode())["query"][0]
+        self.asked.append(query)
+        start = re.search(r'MD5\(STR\(\?s\)\), "([0-9a-f]*)"', query)
+        met = [s for s in self.subjects if start and hashlib.md5(s.encode()).hexdigest().startswith(start[1])]
+        if "COUNT(*)" in query:
+            rows = [{"n": {"type": "literal", "value": str(len(met))}}]
+        else:
+            rows = [{"s": {"type": "uri", "value": s}} for s in met[: self.cap]]
+        return Answer(json.dumps({"head": {"vars": ["s"]}, "results": {"bindings": rows}}).encode())
+
+
+def read_all(capped, part_rows):
+    reader = SparqlReader({"endpoint": "http://e", "variables": "s", "pattern": "?s a <http://c>", "digits": "1", "partrows": str(part_rows)}, capped)
+    return [row for part in reader.partitions() for row in reader.read(part)]
+
+
+def test_parts_that_are_too_large_are_split_until_all_rows_come():
+    capped = CappedEndpoint(cap=20)
+    assert sorted(r[0][1] for r in read_all(capped, 20)) == sorted(capped.subjects)
+    assert any(re.search('"[0-9a-f]{2}"', q) for q in capped.asked)
+
+
+def test_a_cap_that_nobody_stated_is_an_error_and_never_fewer_rows():
+    with pytest.raises(SourceError, match="of 1[0-9]+ rows"):
+        read_all(CappedEndpoint(cap=20), 10_000)
+
+
 def test_reads_are_split_into_disjoint_parts(spark):
     queries = endpoint.split_queries("so", "?s <http://p> ?o")
     assert len(queries) == 17 and len(set(queries)) == 17
