@@ -1,6 +1,6 @@
 """Schema discovery from the data itself: classes, then their properties.
 
-Everything is counted over all instances. What comes to the driver is the schema: a row per class, and per class and
+Everything is counted over all instances, or was when the triples were written. What comes to the driver is the schema: a row per class, and per class and
 property. Limits and samples are there for callers that ask for them.
 """
 
@@ -15,7 +15,10 @@ from linkframe.sources.triples import union_all
 
 def classes(source, limit=None):
     """Classes with their instance counts, the largest first."""
-    counts = source.slice(V.RDF_TYPE).groupBy(F.col("o.value").alias("class")).agg(F.count(F.lit(1)).alias("count"))
+    if _stored(source) is not None:
+        counts = source.schema.where("property is null").groupBy("class").agg(F.sum("count").alias("count"))
+    else:
+        counts = source.slice(V.RDF_TYPE).groupBy(F.col("o.value").alias("class")).agg(F.count(F.lit(1)).alias("count"))
     ordered = counts.orderBy(F.desc("count"), F.asc("class"))
     return ordered if limit is None else ordered.limit(limit)
 
@@ -28,6 +31,10 @@ def properties(source, class_iris, limit=None, sample=None):
     """
     if isinstance(class_iris, str):
         class_iris = [class_iris]
+    if _stored(source) is not None and sample is None:
+        wanted = source.schema.where(F.col("class").isin(list(class_iris)) & F.col("property").isNotNull())
+        return _most_used(wanted.groupBy("class", "property").agg(
+            F.sum("count").alias("count"), F.min(F.when(F.col("kind") == V.IRI, 1).otherwise(0)).alias("is_iri")), limit)
     members = [source.members(iri).select("s", F.lit(iri).alias("class")) for iri in class_iris]
     instances = union_all(members if sample is None else [m.limit(sample) for m in members])
     seen = source.triples_of(class_iris).join(instances, "s")
@@ -35,6 +42,15 @@ def properties(source, class_iris, limit=None, sample=None):
         F.count(F.lit(1)).alias("count"),
         F.min(F.when(F.col("o.kind") == V.IRI, 1).otherwise(0)).alias("is_iri"),
     )
+    return _most_used(counts, limit)
+
+
+def _stored(source):
+    """The counts a source keeps with its triples, or None."""
+    return getattr(source, "schema", None)
+
+
+def _most_used(counts, limit):
     if limit is None:
         return counts
     rank = Window.partitionBy("class").orderBy(F.desc("count"), F.asc("property"))

@@ -21,6 +21,7 @@ from linkframe.plans.frame import SUBJECT
 HOT_VALUES = 1_000_000
 SALTS = 64
 # Rows are clustered by subject, so a search by value needs a Bloom filter.
+SCHEMA_COUNTS = "class string, property string, kind string, datatype string, count long"
 _BLOOM = {
     "parquet.bloom.filter.enabled#o.value": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
@@ -40,6 +41,9 @@ class TripleSource:
 
     fans_out = True
 
+    #: Counts by class, property, kind and datatype, where they are stored with the triples (see schema_counts).
+    schema = None
+
     def __init__(self, triples, default_graph=None, deduplicated=False, hot=None):
         graphs = "g" in triples.columns
         if default_graph is not None:
@@ -54,8 +58,11 @@ class TripleSource:
     @classmethod
     def open(cls, spark, path, default_graph=None):
         """Open a table written by ``write_triples`` together with its hot list."""
-        return cls(spark.read.parquet(f"{path}/triples"), default_graph, deduplicated=True,
-                   hot=_by_predicate(spark.read.parquet(f"{path}/hot")))
+        source = cls(spark.read.parquet(f"{path}/triples"), default_graph, deduplicated=True,
+                     hot=_by_predicate(spark.read.parquet(f"{path}/hot")))
+        if "g" not in spark.read.parquet(f"{path}/triples").columns:
+            source.schema = spark.read.schema(SCHEMA_COUNTS).parquet(f"{path}/schema")
+        return source
 
     @classmethod
     def open_table(cls, spark, name, default_graph=None):
@@ -192,14 +199,64 @@ def write_triples(triples, path, least_hot=HOT_VALUES):
     Graph names are kept.
     """
     spark = triples.sparkSession
-    distinct = _columns(triples).distinct()
+    _write(_columns(triples).distinct(), path, "error")
+    stored = spark.read.parquet(f"{path}/triples")
+    hot_subjects(stored, least_hot).write.parquet(f"{path}/hot")
+    if "g" not in stored.columns:
+        schema_counts(_typed(stored), stored).write.parquet(f"{path}/schema")
+    return TripleSource.open(spark, path)
+
+
+def append_triples(triples, path, least_hot=HOT_VALUES):
+    """Add triples to a table of ``write_triples`` without graphs; those it holds already are left out.
+
+    The schema counts grow by what the new triples add: those of any subject with a
+    class, and the older ones of subjects that get a class now. Counts are rows that
+    readers sum, so nothing stored is read again but the triples of such subjects.
+    """
+    spark = triples.sparkSession
+    old = spark.read.parquet(f"{path}/triples")
+    if "g" in old.columns or "g" in triples.columns:
+        raise InvalidQuery("triples are appended to a table without graphs only")
+    # What was there when the list of files was read, also after more has been written.
+    same = [F.col("n.s") == F.col("o.s"), F.col("n.p") == F.col("o.p"), *(
+        F.col("n.o")[part] == F.col("o.o")[part] for part in ("kind", "value", "datatype", "lang"))]
+    new = _columns(triples).distinct().alias("n").join(old.alias("o"), reduce(lambda a, b: a & b, same), "left_anti")
+    _write(new, path, "append")
+    types, added = _typed(old), _typed(new)
+    counts = schema_counts(added, new.unionByName(old.select("s", "p", "o"))).unionByName(schema_counts(types, new, instances=False))
+    counts.write.mode("append").parquet(f"{path}/schema")
+    hot_subjects(spark.read.parquet(f"{path}/triples"), least_hot).write.mode("overwrite").parquet(f"{path}/hot")
+    return TripleSource.open(spark, path)
+
+
+def _write(distinct, path, mode):
     cluster = F.when(F.col("p") == V.RDF_TYPE, F.col("o.value")).otherwise(F.lit(""))
     laid_out = distinct.withColumn("cluster", cluster).repartitionByRange(
         "p", "cluster", "s", F.xxhash64("o"))
     sorted_rows = laid_out.sortWithinPartitions("p", "cluster", "s").drop("cluster")
-    sorted_rows.write.partitionBy("p").options(**_BLOOM).parquet(f"{path}/triples")
-    hot_subjects(spark.read.parquet(f"{path}/triples"), least_hot).write.parquet(f"{path}/hot")
-    return TripleSource.open(spark, path)
+    sorted_rows.write.mode(mode).partitionBy("p").options(**_BLOOM).parquet(f"{path}/triples")
+
+
+def _typed(triples):
+    """``s, class`` of the subjects that have a class."""
+    return triples.where((F.col("p") == V.RDF_TYPE) & (F.col("o.kind") == V.IRI)).select("s", F.col("o.value").alias("class"))
+
+
+def schema_counts(types, triples, instances=True):
+    """How often subjects of each class have values of each property, by the values' kind and datatype.
+
+    Counts of the instances themselves have no property. ``types`` and ``triples`` hold no row twice.
+    """
+    counts = triples.join(types, "s").groupBy(
+        "class", F.col("p").alias("property"), F.col("o.kind").alias("kind"), F.col("o.datatype").alias("datatype")
+    ).agg(F.count(F.lit(1)).alias("count"))
+    if not instances:
+        return counts
+    members = types.groupBy("class").agg(F.count(F.lit(1)).alias("count"))
+    none = F.lit(None).cast("string")
+    return counts.unionByName(members.select(
+        "class", none.alias("property"), none.alias("kind"), none.alias("datatype"), "count"))
 
 
 def save_triples(triples, name, path, buckets, least_hot=HOT_VALUES):
