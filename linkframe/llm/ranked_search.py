@@ -112,8 +112,9 @@ class RankedSearch:
 
         able = reduce(DataFrame.unionByName, survivors)
         later = plan.join(done, "item").where("wave > made").select("item", "term_id", "weight")
-        more = scored.join(able.select("item", "row"), "row").join(later, ["item", "term_id"])
-        more = more.groupBy("item", "row").agg(F.sum(F.col("weight") * F.col("part")).alias("more"))
+        # Summed where postings lie before they meet the survivors: joined by document first, each of its terms would meet
+        # all items that the document survives for.
+        more = scored.join(later, "term_id").groupBy("item", "row").agg(F.sum(F.col("weight") * F.col("part")).alias("more"))
         exact = able.join(more, ["item", "row"], "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0))).where("score > 0")
         keys = postings.where("term_id is null").select("row", "key")
         order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("key"), "row")
