@@ -75,7 +75,8 @@ def _bag(one: Column, other: Column) -> Column:
             told = (k > 0) & (F.get(h, p - 1) == x.bitwiseAND(F.lit(-2)))
             return F.when(x.bitwiseAND(F.lit(1)) == 0, mine).when(~told, other)
 
-        return F.transform(first, run)
+        # The other text's run of a term that both have is told with the first's.
+        return F.filter(F.transform(first, run), lambda x: x.isNotNull())
 
     return let(let(ordered, starts), counted)
 
