@@ -41,6 +41,18 @@ def narrowing(node, resolve):
     return lexical == node.values[0] if len(node.values) == 1 else lexical.isin(list(node.values))
 
 
+def wanted_texts(parts, place):
+    """Texts one of which a field must have, by ``place(field)`` (None: no such place), for the conditions that say so."""
+    found = {}
+    for node in parts:
+        if isinstance(node, Logical) or node.op != "=" or not all(isinstance(v, str) for v in node.values):
+            continue
+        key = place(node.field)
+        if key is not None:
+            found.setdefault(key, list(node.values))
+    return found
+
+
 def _equals_any(binding, holds_iris, node):
     tests = []
     for value in node.values:

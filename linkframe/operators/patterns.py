@@ -47,19 +47,56 @@ def match(source, *patterns):
     if not patterns:
         raise InvalidQuery("match needs at least one pattern")
     result = None
-    waiting = list(patterns)
+    waiting = _stars(source, patterns)
     while waiting:
-        # Next, a pattern that shares a variable with what is joined already.
-        linked = [p for p in waiting if result is None or _variables(p) & set(result.columns)]
+        # Next, patterns that share a variable with what is joined already.
+        linked = [i for i, star in enumerate(waiting) if result is None or set().union(*map(_variables, star)) & set(result.columns)]
         if not linked:
             raise UnsupportedClause("the patterns fall apart: no shared variable links them")
-        pattern = linked[0]
-        waiting.remove(pattern)
-        rows = _pattern(source, pattern)
+        star = waiting.pop(linked[0])
+        rows = _pattern(source, star[0]) if len(star) == 1 else _star(source, star)
         result = rows if result is None else natural_join(result, rows)
     return result
 
 
+def _stars(source, patterns):
+    """Patterns about one variable that one table answers, together; each other pattern alone."""
+    stars = {}
+    for i, (s, p, o) in enumerate(patterns):
+        place = i
+        if _variable(s) is not None and _variable(p) is None and _variable(o) != _variable(s):
+            constant = o if isinstance(o, str) and _variable(o) is None else None
+            table = source.table_of(_predicate(p), constant)
+            if table is not None:
+                place = (s, table)
+        star = stars.setdefault(place, [])
+        # A predicate or variable that comes again is a condition of its own.
+        if any(_predicate(p) == _predicate(q[1]) or (_variable(o) is not None and o == q[2]) for q in star):
+            star = stars.setdefault(i, [])
+        star.append((s, p, o))
+    return list(stars.values())
+
+
+def _star(source, star):
+    """Rows of patterns about one variable, from one scan of the table that has their properties."""
+    constants = {_predicate(p): o for _, p, o in star if _variable(o) is None}
+    table = source.table_of(*next((_predicate(p), o if isinstance(o, str) else None) for _, p, o in star))
+    only = {p: [str(o.value) if isinstance(o, Literal) else o] for p, o in constants.items() if p != V.RDF_TYPE}
+    columns = {_predicate(p): f"o{i}" for i, (_, p, _) in enumerate(star)}
+    rows = source.wide(table, "s", columns, only)
+    shown = [terms.node_term(F.col("s"), bound=True).alias(_variable(star[0][0]), metadata={RESOURCE: True})]
+    for _, p, o in star:
+        name = columns[_predicate(p)]
+        rows = rows.where(F.col(name).isNotNull())
+        if _variable(o) is None:
+            wanted = _constant(o)
+            for part in ("kind", "value", "datatype", "lang"):
+                rows = rows.where(F.col(name)[part] == wanted[part])
+        else:
+            shown.append(terms.rebuilt(F.col(name)).alias(_variable(o)))
+    return rows.select(*shown)
+
+
 def optional(df, source, *patterns):
     """OPTIONAL: left join patterns to solutions. A shared variable that a row of
     ``df`` leaves unbound takes its value from the pattern."""
@@ -138,7 +175,12 @@ def _pattern(source, pattern):
     """Rows of one triple pattern, a term column per variable."""
     s, p, o = pattern
     p = _predicate(p)
-    triples = source.slice(p).withColumn("p", F.lit(p)) if _variable(p) is None else source.triples()
+    subject = None if _variable(s) else s
+    target = o if isinstance(o, str) and _variable(o) is None else None
+    if _variable(p) is None:
+        triples = source.slice(p, subject, target).withColumn("p", F.lit(p))
+    else:
+        triples = source.triples(subject)
     if _variable(s) is None:
         triples = triples.where(F.col("s") == s)
     if _variable(o) is None:

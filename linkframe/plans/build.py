@@ -15,7 +15,7 @@ from linkframe.errors import InvalidQuery, UnsupportedClause
 from linkframe.naming import variable_name
 from linkframe.operators import aggregates as A
 from linkframe.operators.factorised import Factor, aggregate_factored
-from linkframe.operators.filters import narrowing, predicate
+from linkframe.operators.filters import narrowing, predicate, wanted_texts
 from linkframe.plans import ir
 from linkframe.plans.bindings import KeyBinding, TermBinding, ValueBinding
 from linkframe.plans.frame import SUBJECT, Frame, Names, Output, keep_columns
@@ -461,8 +461,13 @@ class BaseStage(StageBuilder):
 
     def load_own(self):
         wanted = {k: r for k, r in self.needed.get(None, {}).items() if k != SUBJECT}
+        def place(ref):
+            resolved = self.resolve(ref)
+            return resolved.key if resolved.alias is None else None
+
+        only = wanted_texts(self.split_filter()[0], place)
         df, subject, bound = self.source.scan(
-            self.class_iri, {k: r.name for k, r in wanted.items()}, self.names
+            self.class_iri, {k: r.name for k, r in wanted.items()}, self.names, only
         )
         self.bound[(None, SUBJECT)] = subject
         self.take(None, bound, wanted)

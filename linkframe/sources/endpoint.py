@@ -295,12 +295,12 @@ class EndpointTriples(TripleSource):
         self._deduplicated = True          # an endpoint answers from a set of triples
         spark.dataSource.register(SparqlDataSource)
 
-    def triples(self):
-        return self._read("spo", "?s ?p ?o").select(
+    def triples(self, subject=None):
+        return self._read("spo", asked("?p", subject)).select(
             F.col("s.value").alias("s"), F.col("p.value").alias("p"), "o")
 
-    def slice(self, prop):
-        return self._read("so", f"?s {iri_ref(prop)} ?o").select(F.col("s.value").alias("s"), "o")
+    def slice(self, prop, subject=None, target=None):
+        return self._read("so", asked(iri_ref(prop), subject, target)).select(F.col("s.value").alias("s"), "o")
 
     def members(self, class_iri):
         return self._read("s", f"?s {iri_ref(V.RDF_TYPE)} {iri_ref(class_iri)}").select(
@@ -318,6 +318,13 @@ class EndpointTriples(TripleSource):
         return True
 
 
+def asked(predicate, subject=None, target=None):
+    """The pattern of a read. Constant IRIs are part of it, so the endpoint sends no other rows; blank nodes have no
+    name it would know, their rows are found by Spark."""
+    given = [(v, x) for v, x in (("?s", subject), ("?o", target)) if x is not None and not x.startswith("_:")]
+    return " ".join([*(f"VALUES {v} {{ {iri_ref(x)} }}" for v, x in given), f"?s {predicate} ?o"])
+
+
 def part_test(start):
     """The subjects of one part; None is that of the blank nodes."""
     # STR of a blank node is an error, which keeps blank nodes out of the digits.

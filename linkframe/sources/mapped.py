@@ -90,8 +90,8 @@ class MappedSource:
 
     # ---- building blocks of a query -------------------------------------------------
 
-    def scan(self, class_iri, props, names):
-        """One row per resource (more for multi-valued properties read)."""
+    def scan(self, class_iri, props, names, only=None):
+        """One row per resource (more for multi-valued properties read). Filters reach native columns without ``only``."""
         mapping = self._mapping(class_iri)
         subject = self._key_binding(class_iri)
         columns, binding = rename_into(mapping.df, subject, names, SUBJECT)
@@ -241,33 +241,105 @@ class MappedSource:
 
     # ---- the same data as triples ---------------------------------------------------
 
-    def triples(self, class_iris=None):
-        """All properties of the classes (all if none are named) as ``s, p, o`` rows: each table is read once."""
+    def triples(self, class_iris=None, subject=None):
+        """All properties of the classes (all if none are named) as ``s, p, o`` rows: each table is read once.
+
+        ``subject``: those of this resource are enough.
+        """
         chosen = self.classes if class_iris is None else [c for c in self.classes if c in set(class_iris)]
+        chosen = [c for c in chosen if self._may_hold(c, subject)]
         if not chosen:
             return self._class_rows(next(iter(self.classes))).where(F.lit(False))
-        return union_all([self._class_rows(c) for c in chosen])
+        return union_all([self._class_rows(c, subject) for c in chosen])
 
     triples_of = triples
 
-    def slice(self, prop):
-        """``s, o`` rows of one predicate: only the tables that have it are read."""
+    def slice(self, prop, subject=None, target=None):
+        """``s, o`` rows of one predicate: only the tables that have it are read.
+
+        ``subject`` and ``target``: IRIs that the rows asked for have as subject and object. They are compared as
+        native keys, so that they reach the scan; other rows may be left out.
+        """
         if prop == V.RDF_TYPE:
-            found = [self._type_rows(c) for c in self.classes]
+            found = [self._type_rows(c, subject) for c in self.classes if self._may_hold(c, subject) and target in (None, c)]
         else:
-            found = [self._property_rows(c, prop) for c in self.classes if prop in self._properties[c]]
+            found = [self._property_rows(c, prop, subject, target) for c in self.classes
+                     if prop in self._properties[c] and self._may_hold(c, subject)]
         if found:
             return union_all(found).select("s", "o")
         some = next(iter(self.classes))
         return self._type_rows(some).where(F.lit(False)).select("s", "o")
 
+    def stands_alone(self, class_iri):
+        """Can no resource of the class be one of another class too?"""
+        inside = lambda a, b: a.startswith(b + "/")
+        return class_iri in self.classes and not any(inside(c, class_iri) or inside(class_iri, c) for c in self.classes)
+
+    def holder(self, prop):
+        """The only class with this property, or None."""
+        found = [c for c in self.classes if prop in self._properties[c]]
+        return found[0] if len(found) == 1 else None
+
+    def wide(self, class_iri, subject, columns, only=None):
+        """A class with several properties as terms, from one scan: ``columns`` maps properties to column names.
+
+        ``only`` maps the subject (SUBJECT) or a property to texts one of which it must have; rows without may be left out.
+        """
+        mapping, known = self._mapping(class_iri), self._properties[class_iri]
+        rows = mapping.df
+        for key, texts in (only or {}).items():
+            test = self._has_one(class_iri, key, texts)
+            rows = rows if test is None else rows.where(test)
+        cells, lists = [self._key_binding(class_iri).shown().alias(subject)], []
+        for prop, name in columns.items():
+            mapped = known.get(prop)
+            if prop == V.RDF_TYPE:
+                cells.append(terms.iri_term(class_iri, bound=True).alias(name))
+            elif mapped is None:
+                cells.append(F.lit(None).cast(terms.TERM_TYPE).alias(name))
+            elif isinstance(mapping.column_type(mapped.columns[0]), T.ArrayType):
+                values = F.filter(F.array_distinct(mapped.columns[0]), lambda v: v.isNotNull())
+                cells.append(F.transform(values, self._term(class_iri, mapped)).alias(name))
+                lists.append(name)
+            else:
+                cells.append(F.when(self._has_value(mapped), self._object(class_iri, mapped)).alias(name))
+        df = rows.select(*cells)
+        for name in lists:
+            df = df.withColumn(name, F.explode_outer(name))
+        return df
+
+    def _has_one(self, class_iri, key, texts):
+        """A test on native columns that all resources with one of the texts meet, or None."""
+        if key == SUBJECT:
+            return reduce(lambda a, b: a | b, [self._key_binding(class_iri).equals(x) for x in texts])
+        mapped, mapping = self._properties[class_iri].get(key), self.classes[class_iri]
+        if mapped is None or any(isinstance(mapping.column_type(c), T.ArrayType) for c in mapped.columns):
+            return None
+        if mapped.references:
+            return reduce(lambda a, b: a | b, [self._reference(class_iri, mapped).equals(x) for x in texts])
+        dtype = mapping.column_type(mapped.columns[0])
+        return F.col(mapped.columns[0]).isin(list(texts)) if isinstance(dtype, T.StringType) else None
+
+    def _reference(self, class_iri, mapped):
+        target = self.naming.absolute(mapped.references)
+        types = tuple(self.classes[class_iri].column_type(c) for c in mapped.columns)
+        return KeyBinding(mapped.columns, types, target, target + "/")
+
+    @staticmethod
+    def _may_hold(class_iri, subject):
+        return subject is None or subject.startswith(class_iri + "/")
+
+    def _rows(self, class_iri, subject):
+        rows = self.classes[class_iri].df
+        return rows if subject is None else rows.where(self._key_binding(class_iri).equals(subject))
+
     def members(self, class_iri):
         """``s`` rows of one class."""
         if class_iri in self.classes:
             return self._type_rows(class_iri).select("s")
         return self.slice(V.RDF_TYPE).where(F.lit(False)).select("s")
 
-    def _class_rows(self, class_iri):
+    def _class_rows(self, class_iri, subject=None):
         """A table's rows, each unfolded into its triples."""
         mapping = self.classes[class_iri]
         cells = [self._cell(F.lit(V.RDF_TYPE), terms.iri_term(class_iri, bound=True))]
@@ -280,9 +352,12 @@ class MappedSource:
         found = F.array(*cells)
         for more in lists:
             found = F.concat(found, F.coalesce(more, F.array().cast(f"array<struct<p:string,o:{terms.TERM_TYPE}>>")))
-        rows = mapping.df.select(self._key_binding(class_iri).shown().alias("s"), F.explode(found).alias("t"))
+        rows = self._rows(class_iri, subject).select(self._key_binding(class_iri).shown().alias("s"), F.explode(found).alias("t"))
         return rows.where(F.col("t").isNotNull()).select("s", "t.p", "t.o")
 
+    def _term(self, class_iri, mapped):
+        return lambda v: self._object(class_iri, mapped, v)
+
     def _element(self, class_iri, prop, mapped):
         return lambda v: F.when(v.isNotNull(), self._cell(F.lit(prop), self._object(class_iri, mapped, v)))
 
@@ -294,15 +369,17 @@ class MappedSource:
     def _has_value(mapped):
         return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in mapped.columns])
 
-    def _type_rows(self, class_iri):
-        subject = self._key_binding(class_iri).shown()
-        return self.classes[class_iri].df.select(
-            subject.alias("s"), F.lit(V.RDF_TYPE).alias("p"), terms.iri_term(class_iri, bound=True).alias("o")
+    def _type_rows(self, class_iri, subject=None):
+        return self._rows(class_iri, subject).select(
+            self._key_binding(class_iri).shown().alias("s"), F.lit(V.RDF_TYPE).alias("p"), terms.iri_term(class_iri, bound=True).alias("o")
         )
 
-    def _property_rows(self, class_iri, prop):
+    def _property_rows(self, class_iri, prop, subject=None, target=None):
         mapping, mapped = self.classes[class_iri], self._properties[class_iri][prop]
-        rows, subject = mapping.df, self._key_binding(class_iri).shown()
+        rows, test = self._rows(class_iri, subject), None if target is None else self._has_one(class_iri, prop, [target])
+        if test is not None and mapped.references:
+            rows = rows.where(test)
+        subject = self._key_binding(class_iri).shown()
         if isinstance(mapping.column_type(mapped.columns[0]), T.ArrayType):
             rows = rows.select(subject.alias("s"), F.explode(F.array_distinct(mapped.columns[0])).alias("value"))
             rows, subject, value = rows.where(F.col("value").isNotNull()), F.col("s"), F.col("value")

@@ -69,14 +69,17 @@ class TripleSource:
         """Open a table saved by ``save_triples``."""
         return cls(spark.table(name), default_graph, deduplicated=True, hot=_by_predicate(spark.table(f"{name}_hot")))
 
-    def triples(self):
+    def triples(self, subject=None):
+        """All triples. A source may leave out those of other subjects than ``subject``; see also ``slice``."""
         return self._triples
 
     def triples_of(self, class_iris):
         """Triples among which are all those of the classes' instances."""
         return self.triples()
 
-    def scan(self, class_iri, props, names):
+    def scan(self, class_iri, props, names, only=None):
+        """Rows of a class with properties. ``only`` maps the subject (SUBJECT) or a property to texts, one of which
+        every row asked for has there; a source may leave other rows out."""
         subject = names.new(SUBJECT)
         df = self.members(class_iri).select(F.col("s").alias(subject))
         binding = TermBinding(subject, node=True)
@@ -104,6 +107,10 @@ class TripleSource:
         rows = self.slice(prop).select(F.col("s").alias(subject), F.col("o").alias(name))
         return rows, TermBinding(subject, node=True), TermBinding(name)
 
+    def table_of(self, prop, target=None):
+        """A class whose table alone answers the property (rdf:type: of ``target``) and is read by ``wide``; None here."""
+        return None
+
     def multi_valued(self, class_iri, prop):
         return True
 
@@ -117,8 +124,8 @@ class TripleSource:
         ).select("s")
         return rows if self._deduplicated else rows.distinct()
 
-    def slice(self, prop):
-        """``s, o`` rows of one predicate."""
+    def slice(self, prop, subject=None, target=None):
+        """``s, o`` rows of one predicate; those with another subject or object IRI than the given may be missing."""
         rows = self._triples.where(F.col("p") == prop).select("s", "o")
         return rows if self._deduplicated else rows.distinct()
 
@@ -152,15 +159,20 @@ class TripleSource:
 
 
 class VirtualTriples(TripleSource):
-    """The triples of a mapped source, made from its tables as they are read."""
+    """The triples of a mapped source, made from its tables as they are read.
+
+    Properties that one table holds come from one scan of it, as terms side by side; constant subjects and objects are
+    cut into native keys. Both give the rows that joining the triples would give: a key identifies a row, and an IRI
+    belongs to one class. Where class IRIs lie inside each other that isn't so, and the triples are joined.
+    """
 
     def __init__(self, mapped):
         self._mapped = mapped
         self.hot = {}
         self._slices = {}
 
-    def triples(self):
-        return self._mapped.triples()
+    def triples(self, subject=None):
+        return self._mapped.triples(subject=subject)
 
     def triples_of(self, class_iris):
         return self._mapped.triples(class_iris)
@@ -168,7 +180,47 @@ class VirtualTriples(TripleSource):
     def members(self, class_iri):
         return self._mapped.members(class_iri)
 
-    def slice(self, prop):
+    def table_of(self, prop, target=None):
+        if prop == V.RDF_TYPE:
+            return target if target is not None and self._mapped.stands_alone(target) else None
+        return self._mapped.holder(prop)
+
+    def multi_valued(self, class_iri, prop):
+        return not self._mapped.stands_alone(class_iri) or self._mapped.multi_valued(class_iri, prop)
+
+    def wide(self, class_iri, subject, columns, only=None):
+        return self._mapped.wide(class_iri, subject, columns, only)
+
+    def scan(self, class_iri, props, names, only=None):
+        if not self._mapped.stands_alone(class_iri):
+            return super().scan(class_iri, props, names)
+        subject = names.new(SUBJECT)
+        columns = {prop: names.new(hint) for prop, hint in props.items()}
+        df = self._mapped.wide(class_iri, subject, columns, only)
+        return df, TermBinding(subject, node=True), {prop: TermBinding(name) for prop, name in columns.items()}
+
+    def attach(self, df, anchor, props, names, hint):
+        """One left join per table that alone has some of the properties, one per other property."""
+        tables = {}
+        for prop in props:
+            tables.setdefault(self._mapped.holder(prop), []).append(prop)
+        df, bound = super().attach(df, anchor, {p: props[p] for p in tables.pop(None, [])}, names, hint)
+        if not tables:
+            return df, bound
+        key = anchor.column
+        if not anchor.node:
+            key = names.new(f"{hint}_node")
+            df = df.withColumn(key, anchor.node_key())
+        for class_iri, held in tables.items():
+            right_key, columns = names.new("s"), {prop: names.new(props[prop]) for prop in held}
+            right = self._mapped.wide(class_iri, right_key, columns)
+            df = df.join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
+            bound.update((prop, TermBinding(name)) for prop, name in columns.items())
+        return (df if anchor.node else df.drop(key)), bound
+
+    def slice(self, prop, subject=None, target=None):
+        if subject is not None or target is not None:
+            return self._mapped.slice(prop, subject, target)
         if prop not in self._slices:
             self._slices[prop] = self._mapped.slice(prop)
         return self._slices[prop]

@@ -598,6 +598,48 @@ def native_select(spark, directory):
     return df.select(F.col("s.value").alias("s"), F.col("name.value").alias("name"))
 
 
+@register("native_subject_constant", """select c_name as name, c_acctbal as balance, c_mktsegment as segment from customer
+                                         where c_custkey = 5""")
+def native_subject_constant(spark, directory):
+    graph = triple_source(spark, directory, ["Customer", "Nation"])
+    one = B + "Customer/5"
+    known = values(spark, c=[one])
+    for variable, name in (("?name", "c_name"), ("?balance", "c_acctbal"), ("?segment", "c_mktsegment")):
+        row = match(graph, (one, prop(name), variable)).withColumn("c", terms.iri_term(one, bound=True))
+        known = natural_join(known, row)
+    return known.select(F.col("name.value").alias("name"), terms.number(F.col("balance")).alias("balance"),
+                        F.col("segment.value").alias("segment"))
+
+
+@register("native_object_constant", f"""select {iri('Customer', 'c_custkey')} as c, c_name as name, c_mktsegment as segment
+                                        from customer where c_nationkey = 7""")
+def native_object_constant(spark, directory):
+    graph = triple_source(spark, directory, ["Customer", "Nation"])
+    df = match(graph, ("?c", prop("c_nationkey"), B + "Nation/7"), ("?c", prop("c_name"), "?name"),
+               ("?c", prop("c_mktsegment"), "?segment"))
+    return df.select(F.col("c.value").alias("c"), F.col("name.value").alias("name"), F.col("segment.value").alias("segment"))
+
+
+@register("native_all_of_subject", f"""select '{B}c_name' as p, c_name as o from customer where c_custkey = 5
+    union all select '{B}c_mktsegment', c_mktsegment from customer where c_custkey = 5
+    union all select '{B}c_nationkey', {iri('Nation', 'c_nationkey')} from customer where c_custkey = 5""")
+def native_all_of_subject(spark, directory):
+    graph = triple_source(spark, directory, ["Customer", "Nation"])
+    df = match(graph, (B + "Customer/5", "?p", "?o"))
+    shown = df.select(F.col("p.value").alias("p"), F.col("o.value").alias("o"))
+    return shown.where(F.col("p").isin([prop(name) for name in ("c_name", "c_mktsegment", "c_nationkey")]))
+
+
+@register("native_star_join", f"""select {iri('Order', 'o_orderkey')} as o, c_name as name, n_name as nation from orders
+    join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where o_orderstatus = 'P' and c_mktsegment = 'BUILDING'""")
+def native_star_join(spark, directory):
+    graph = triple_source(spark, directory, ["Order", "Customer", "Nation"])
+    df = match(graph, ("?o", prop("o_orderstatus"), Literal("P")), ("?o", prop("o_custkey"), "?c"),
+               ("?c", "a", B + "Customer"), ("?c", prop("c_mktsegment"), Literal("BUILDING")), ("?c", prop("c_name"), "?name"),
+               ("?c", prop("c_nationkey"), "?n"), ("?n", prop("n_name"), "?nation"))
+    return df.select(F.col("o.value").alias("o"), F.col("name.value").alias("name"), F.col("nation.value").alias("nation"))
+
+
 @register("native_join_path", """select n_name as nation, r_name as region from nation
                                  join region on n_regionkey = r_regionkey""")
 def native_join_path(spark, directory):
