@@ -275,8 +275,11 @@ def append_triples(triples, path, least_hot=HOT_VALUES):
         F.col("n.o")[part] == F.col("o.o")[part] for part in ("kind", "value", "datatype", "lang"))]
     new = _columns(triples).distinct().alias("n").join(old.alias("o"), reduce(lambda a, b: a & b, same), "left_anti")
     _write(new, path, "append")
-    types, added = _typed(old), _typed(new)
-    counts = schema_counts(added, new.unionByName(old.select("s", "p", "o"))).unionByName(schema_counts(types, new, instances=False))
+    # Counted from the files that were not there before, so that the triples given aren't made and joined again for each count.
+    before = F.broadcast(old.select(F.col("_metadata.file_path").alias("file")).distinct())
+    stored = spark.read.parquet(f"{path}/triples")
+    added = stored.select("s", "p", "o", F.col("_metadata.file_path").alias("file")).join(before, "file", "left_anti").drop("file")
+    counts = schema_counts(_typed(added), stored).unionByName(schema_counts(_typed(old), added, instances=False))
     counts.write.mode("append").parquet(f"{path}/schema")
     hot_subjects(spark.read.parquet(f"{path}/triples"), least_hot).write.mode("overwrite").parquet(f"{path}/hot")
     return TripleSource.open(spark, path)

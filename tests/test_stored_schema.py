@@ -3,14 +3,15 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from graphs import NS
-from linkframe import TripleSource
+from linkframe import ClassMapping, MappedSource, Property, TripleSource
 from linkframe import vocab as V
 from linkframe.catalog import discovery
 from linkframe.errors import InvalidQuery
 from linkframe.functions import terms
-from linkframe.sources.triples import append_triples, write_triples
+from linkframe.sources.triples import VirtualTriples, append_triples, write_triples
 
 
 def some_triples(spark, seed):
@@ -67,3 +68,26 @@ def test_tables_with_graphs_keep_no_counts(spark, tmp_path):
     assert source.schema is None
     with pytest.raises(InvalidQuery):
         append_triples(some_triples(spark, 7), path)
+
+
+def test_triples_too_many_to_send_to_all_tasks_are_appended_and_counted(spark, tmp_path):
+    """Joined by shuffles, as large tables are."""
+    customers = spark.range(40).selectExpr("id as key", "concat('name ', id % 7) as name", "id % 3 as nation")
+    source = MappedSource(NS, {"Customer": ClassMapping(customers, "key", {"name": Property("name"), "nation": Property("nation", references="Nation")}),
+                               "Nation": ClassMapping(spark.range(3).toDF("nation"), "nation", {"number": Property("nation")})})
+    triples, path = VirtualTriples(source).triples(), str(tmp_path / "graph")
+    sizes = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        write_triples(triples.where(F.col("p") != NS + "nation"), path)
+        appended = append_triples(triples, path)
+        found = sorted(tuple(r) for r in discovery.classes(appended).collect())
+        properties = {(r["class"], r["property"]): (r["count"], r["is_iri"]) for r in discovery.properties(appended, [NS + "Customer", NS + "Nation"]).collect()}
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    assert found == [(NS + "Customer", 40), (NS + "Nation", 3)]
+    assert properties == {
+        (NS + "Customer", V.RDF_TYPE): (40, 1), (NS + "Customer", NS + "name"): (40, 0), (NS + "Customer", NS + "nation"): (40, 1),
+        (NS + "Nation", V.RDF_TYPE): (3, 1), (NS + "Nation", NS + "number"): (3, 0)}
