@@ -26,7 +26,7 @@ def classes(source, limit=None):
 def properties(source, class_iris, limit=None, sample=None):
     """The properties used by the instances of each class (or of ``sample`` of them), with their use.
 
-    All the given classes are answered by one pass over the triples. ``is_iri`` is 1 when
+    Classes whose tables tell alone are answered by one pass over each, all others by one pass over the triples. ``is_iri`` is 1 when
     every value seen is an IRI. ``limit`` keeps the most used of each class.
     """
     if isinstance(class_iris, str):
@@ -35,14 +35,37 @@ def properties(source, class_iris, limit=None, sample=None):
         wanted = source.schema.where(F.col("class").isin(list(class_iris)) & F.col("property").isNotNull())
         return _most_used(wanted.groupBy("class", "property").agg(
             F.sum("count").alias("count"), F.min(F.when(F.col("kind") == V.IRI, 1).otherwise(0)).alias("is_iri")), limit)
-    members = [source.members(iri).select("s", F.lit(iri).alias("class")) for iri in class_iris]
-    instances = union_all(members if sample is None else [m.limit(sample) for m in members])
-    seen = source.triples_of(class_iris).join(instances, "s")
-    counts = seen.groupBy("class", F.col("p").alias("property")).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.min(F.when(F.col("o.kind") == V.IRI, 1).otherwise(0)).alias("is_iri"),
-    )
-    return _most_used(counts, limit)
+    found, rest = [], []
+    for iri in class_iris:
+        members = source.members(iri).select("s")
+        members = members if sample is None else members.limit(sample)
+        uses = _uses(source, iri)
+        if uses is None:
+            rest.append(members.withColumn("class", F.lit(iri)))
+        else:
+            found.append(_used(iri, members, *uses))
+    if rest:
+        seen = source.triples_of(class_iris).join(union_all(rest), "s")
+        found.append(seen.groupBy("class", F.col("p").alias("property")).agg(
+            F.count(F.lit(1)).alias("count"),
+            F.min(F.when(F.col("o.kind") == V.IRI, 1).otherwise(0)).alias("is_iri"),
+        ))
+    return _most_used(union_all(found), limit)
+
+
+def _uses(source, class_iri):
+    """How many values of each property a row of the class has, where a source can tell without unfolding it, or None."""
+    return source.uses(class_iri) if hasattr(source, "uses") else None
+
+
+def _used(class_iri, members, rows, columns):
+    """Counts over the members, of which one row each is moved and not one per triple. IRIs are long, so that a small table
+    can have very many in memory: they are joined by shuffles, whatever the size of its files."""
+    sums = rows.join(members.hint("merge"), "s").agg(*(F.sum(c).alias(c) for c in columns))
+    cells = [F.struct(F.lit(prop).alias("property"), F.col(c).alias("count"), F.lit(is_iri).alias("is_iri"))
+             for c, (prop, is_iri) in columns.items()]
+    counts = sums.select(F.lit(class_iri).alias("class"), F.inline(F.array(*cells)))
+    return counts.where("count > 0")
 
 
 def _stored(source):

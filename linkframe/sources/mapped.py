@@ -8,6 +8,7 @@ and a foreign key stays a native key so that joins and IRI filters run on it.
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +18,7 @@ from linkframe.naming import Naming, local_name
 from linkframe import vocab as V
 from linkframe.functions import terms
 from linkframe.plans.bindings import KeyBinding, ValueBinding, key_iri
-from linkframe.plans.frame import SUBJECT, rename_into
+from linkframe.plans.frame import SUBJECT, Names, rename_into
 from linkframe.sources.triples import union_all
 
 
@@ -308,6 +309,35 @@ class MappedSource:
             df = df.withColumn(name, F.explode_outer(name))
         return df
 
+    def uses(self, class_iri):
+        """Rows of a class, ``s`` and a number of values per property, with the number's column -> (property, 1 if its values
+        are IRIs, else 0); None where resources of other classes may have triples of its own."""
+        if not self.stands_alone(class_iri):
+            return None
+        mapping, cells, columns = self._mapping(class_iri), [F.lit(1)], {"n0": (V.RDF_TYPE, 1)}
+        for prop, mapped in self._properties[class_iri].items():
+            columns[f"n{len(cells)}"] = (prop, int(bool(mapped.references)))
+            if isinstance(mapping.column_type(mapped.columns[0]), T.ArrayType):
+                values = F.filter(F.array_distinct(mapped.columns[0]), lambda v: v.isNotNull())
+                cells.append(F.when(F.col(mapped.columns[0]).isNotNull(), F.size(values)).otherwise(0))
+            else:
+                cells.append(F.when(self._has_value(mapped), 1).otherwise(0))
+        numbers = [cell.cast("int").alias(name) for cell, name in zip(cells, columns)]
+        return mapping.df.select(self._key_binding(class_iri).shown().alias("s"), *numbers), columns
+
+    def described(self, class_iri):
+        """``s, p, o`` rows: what joining the members of a class that stands alone with all triples gives.
+
+        A row is moved once, to those with its key, and unfolded then: as often as its key is there.
+        """
+        mapping, key = self._mapping(class_iri), self._key_binding(class_iri).shown()
+        names = Names()
+        for column in mapping.df.columns:
+            names.new(column)
+        times, nth = names.new("times"), names.new("nth")
+        rows = mapping.df.where(key.isNotNull()).withColumn(times, F.count(F.lit(1)).over(Window.partitionBy(key)))
+        return self._unfolded(class_iri, rows.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))))
+
     def _has_one(self, class_iri, key, texts):
         """A test on native columns that all resources with one of the texts meet, or None."""
         if key == SUBJECT:
@@ -341,6 +371,9 @@ class MappedSource:
 
     def _class_rows(self, class_iri, subject=None):
         """A table's rows, each unfolded into its triples."""
+        return self._unfolded(class_iri, self._rows(class_iri, subject))
+
+    def _unfolded(self, class_iri, rows):
         mapping = self.classes[class_iri]
         cells = [self._cell(F.lit(V.RDF_TYPE), terms.iri_term(class_iri, bound=True))]
         lists = []
@@ -352,7 +385,7 @@ class MappedSource:
         found = F.array(*cells)
         for more in lists:
             found = F.concat(found, F.coalesce(more, F.array().cast(f"array<struct<p:string,o:{terms.TERM_TYPE}>>")))
-        rows = self._rows(class_iri, subject).select(self._key_binding(class_iri).shown().alias("s"), F.explode(found).alias("t"))
+        rows = rows.select(self._key_binding(class_iri).shown().alias("s"), F.explode(found).alias("t"))
         return rows.where(F.col("t").isNotNull()).select("s", "t.p", "t.o")
 
     def _term(self, class_iri, mapped):

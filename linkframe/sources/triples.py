@@ -111,6 +111,10 @@ class TripleSource:
         """A class whose table alone answers the property (rdf:type: of ``target``) and is read by ``wide``; None here."""
         return None
 
+    def described(self, class_iri):
+        """The triples of a class's instances, where a source can give them without joining; None here."""
+        return None
+
     def multi_valued(self, class_iri, prop):
         return True
 
@@ -185,6 +189,12 @@ class VirtualTriples(TripleSource):
             return target if target is not None and self._mapped.stands_alone(target) else None
         return self._mapped.holder(prop)
 
+    def uses(self, class_iri):
+        return self._mapped.uses(class_iri)
+
+    def described(self, class_iri):
+        return self._mapped.described(class_iri) if self._mapped.stands_alone(class_iri) else None
+
     def multi_valued(self, class_iri, prop):
         return not self._mapped.stands_alone(class_iri) or self._mapped.multi_valued(class_iri, prop)
 
