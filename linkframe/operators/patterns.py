@@ -54,7 +54,13 @@ def match(source, *patterns):
         if not linked:
             raise UnsupportedClause("the patterns fall apart: no shared variable links them")
         star = waiting.pop(linked[0])
-        rows = _pattern(source, star[0]) if len(star) == 1 else _star(source, star)
+        whole = _whole(source, star, waiting)
+        if whole is not None:
+            triples, pattern, other = whole
+            waiting.remove(other)
+            rows = _pattern(source, pattern, triples)
+        else:
+            rows = _pattern(source, star[0]) if len(star) == 1 else _star(source, star)
         result = rows if result is None else natural_join(result, rows)
     return result
 
@@ -77,6 +83,21 @@ def _stars(source, patterns):
     return list(stars.values())
 
 
+def _whole(source, star, waiting):
+    """(triples, a pattern for all triples of a variable, the other star) if ``star`` and another say no more of a variable
+    than its class and that it has triples, and the class's table gives both at once; else None."""
+    for other in waiting:
+        for typed, free in ((star, other), (other, star)):
+            (s, p, target), pattern = typed[0], free[0]
+            if len(typed) > 1 or len(free) > 1 or _variable(s) is None or pattern[0] != s or _variable(pattern[1]) is None:
+                continue
+            if _predicate(p) == V.RDF_TYPE and isinstance(target, str) and _variable(target) is None:
+                triples = source.described(target)
+                if triples is not None:
+                    return triples, pattern, other
+    return None
+
+
 def _star(source, star):
     """Rows of patterns about one variable, from one scan of the table that has their properties."""
     constants = {_predicate(p): o for _, p, o in star if _variable(o) is None}
@@ -171,13 +192,15 @@ def _value(x):
     return F.lit(None).cast(terms.TERM_TYPE) if x is None else terms.rebuilt(_constant(x))
 
 
-def _pattern(source, pattern):
-    """Rows of one triple pattern, a term column per variable."""
+def _pattern(source, pattern, triples=None):
+    """Rows of one triple pattern, a term column per variable; ``triples``: all that can meet it, if they are known."""
     s, p, o = pattern
     p = _predicate(p)
     subject = None if _variable(s) else s
     target = o if isinstance(o, str) and _variable(o) is None else None
-    if _variable(p) is None:
+    if triples is not None:
+        pass
+    elif _variable(p) is None:
         triples = source.slice(p, subject, target).withColumn("p", F.lit(p))
     else:
         triples = source.triples(subject)
