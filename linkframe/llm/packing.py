@@ -59,15 +59,20 @@ class WordEncoder:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
         unseen = set(itertools.chain.from_iterable(words)).difference(known)
-        again = unseen.intersection(self.older)
+        again = self.older.keys() & unseen
         known.update(zip(again, map(self.older.__getitem__, again)))
-        new = {w: _parted(w) for w in unseen - again}
-        self._learn(set(itertools.chain.from_iterable(new.values())).difference(known))
-        for w, parts in new.items():
-            if len(parts) > 1 or parts[0] != w:
-                known[w] = b"".join(map(known.__getitem__, parts))
-        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
-        for w in {x for w, parts in new.items() for x in (w, *parts) if len(x) > CACHE_CHARS}:
+        parted, parts = {}, set()
+        for w in unseen.difference(again):
+            found = _parted(w)
+            parts.update(found)
+            if len(found) > 1 or found[0] != w:
+                parted[w] = found
+        self._learn(parts.difference(known))
+        get = known.__getitem__
+        for w, found in parted.items():
+            known[w] = get(found[0]) if len(found) == 1 else b"".join(map(get, found))
+        out = [b"".join(map(get, ws)) for ws in words]
+        for w in {x for x in itertools.chain(parted, parts) if len(x) > CACHE_CHARS}:
             del known[w]
         if len(known) > CACHE_WORDS:
             # Words met again come back from the older half, the rest is forgotten.
@@ -75,14 +80,18 @@ class WordEncoder:
         return out
 
     def _learn(self, parts: set[str]) -> None:
-        other = []
+        other, known, tokenize = [], self.known, self.tokenizer.model.tokenize
         for p in parts:
-            if p.isalpha() and p == p.lower() and _latin(p):
-                self.known[p] = _bytes([t.id for t in self.tokenizer.model.tokenize(p if p.isascii() else _byte_letters(p))])
+            if p.isascii():
+                plain = p.isalpha() and p.islower()
+            else:
+                plain = p.isalpha() and p == p.lower() and _latin(p)
+            if plain:
+                known[p] = _bytes([t.id for t in tokenize(p if p.isascii() else _byte_letters(p))])
             else:
                 other.append(p)
         for p, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            self.known[p] = _bytes(e.ids)
+            known[p] = _bytes(e.ids)
 
 
 def _latin(word: str) -> bool:
@@ -120,6 +129,8 @@ _PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 def _parted(word: str) -> list[str]:
     """What the tokenizer encodes apart, in lower case where that is plain."""
     if word.isascii():
+        if word.isalpha():
+            return [word.lower()]
         return [word] if "'" in word or "<|" in word else _PARTS.findall(word.lower()) or [word]
     core = word.rstrip(".,")
     if core.isalpha() and _latin(core):

@@ -36,6 +36,20 @@ def least_sequences(lengths, capacity):
     return best
 
 
+def test_words_met_before_are_found_without_a_walk_through_all():
+    class Kept(dict):
+        def __iter__(self):
+            raise AssertionError("walked through all words of the older half")
+
+    encoder = packing.WordEncoder(PATH)
+    texts = ["Some words, some Ünïcödé, it's 42 <|x|> \u0130stanbul " + "long" * 40, "", "some words again 42"]
+    first = encoder.encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in first] == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder.known, encoder.older = {}, Kept(encoder.known)
+    assert encoder.encode(texts) == first
+    assert not any(len(w) > packing.CACHE_CHARS for w in encoder.known)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=9))
 def test_the_reduction_keeps_the_optimum(lengths):
