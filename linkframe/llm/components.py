@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import materialize
@@ -14,15 +14,13 @@ def components(edges: DataFrame) -> DataFrame:
     Every round is a written table. Nothing but two sums comes to the driver, to see when a round changes nothing.
     """
     stars = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = _mark(stars)
+    mark, center = _mark(stars), Window.partitionBy("u")
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large, "edges")
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = materialize(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        large = both.withColumn("m", F.least("u", F.min("v").over(center))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # Edges to the smallest from the node itself and from its other neighbours; the smallest has none to itself.
+        small = large.withColumn("m", F.min("v").over(center)).select("m", F.explode(F.array("u", "v")).alias("u"))
+        stars = materialize(small.where("u <> m").select("u", F.col("m").alias("v")).distinct(), "edges")
         before, mark = mark, _mark(stars)
         if mark == before:
             break

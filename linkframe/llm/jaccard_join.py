@@ -5,14 +5,16 @@ Each run starts with a bucket of all classes and splits buckets: hashing a token
 set takes each of its n tokens with chance 1 / (threshold * n), about 1.25 tokens, and goes to the sub-bucket of each
 taken token. What two sets share they take alike, so a pair at the threshold shares one sub-bucket on average and survives
 ``depth`` splits with a known chance; ``runs`` independent runs are made, enough for ``recall``. A bucket of at most
-``limit`` classes is compared by brute force. A larger one is split on, unless its members are similar on average or it
-has been split ``most_splits`` times; it is then compared in pairs of blocks of bounded size. So no bucket is cut short,
-whatever its size. Classes that are still in a bucket to be split after ``depth`` splits go through further runs among
+``limit`` classes is compared by brute force. A larger one is split on, unless its members are similar on average, it has
+been split ``most_splits`` times, or all ordered pairs in such buckets are at most ``4 * limit`` per class: comparing them
+is then less work than splitting on. It is compared whole, in pairs of blocks if it is larger than one. So no bucket is
+cut short, whatever its size. Classes that are still in a bucket to be split after ``depth`` splits go through further runs among
 themselves, until there are enough for the depth that was reached. (A missed pair either has not lasted ``depth`` splits in
 any of the first runs, or both its classes are in all runs; the two chances add up to 1 - ``recall`` at most.)
 
-A set is split where it was read: only names of buckets are shuffled, first all, then those with company; the token sets
-of classes that have company are fetched once. A pair that meets in several buckets counts in the one with the smallest
+Only names of buckets are shuffled to split them, each once, with the sizes and sketches of their sets. The token sets of
+classes that have company are dealt out once, into a table bucketed by class: all later splits and the comparison read
+them where they lie. They move again only to the cells in which they are compared. A pair that meets in several buckets counts in the one with the smallest
 name. What comes out of a bucket is a row per member (number of links, smallest member it hangs together with), never a
 row per pair. Links are exact: all tokens are compared (as 32-bit hashes; a chance match among n tokens changes a
 similarity by less than n / 2^32).
@@ -24,6 +26,7 @@ rows. Only ``key`` and ``text`` are read, so no other column's name matters.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -32,14 +35,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import materialize, ship
+from .storage import bucketed, materialize, ship
 from .text import U, mix, shingles
 
-ROWS = "id string, mark long, class string, row long, size int, sketch long, nodes array<long>, tokens binary"
+ROWS = "id string, mark long, class string, row long, size int, sketch long, second long, nodes array<long>, tokens binary"
 FOUND = "rep long, links long, root long"
 #: Row numbers hold the partition above and the place in it below.
 PLACE_BITS = 40
@@ -56,12 +59,13 @@ def take(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> np.ndarray:
     return mix(draws[node, token] + nodes[node])
 
 
-def sketch(tokens: np.ndarray) -> int:
-    """64 one-bit minwise hashes: two sets agree in each bit with chance (1 + similarity) / 2."""
+def sketch(tokens: np.ndarray) -> tuple[int, int]:
+    """Two bits of each of 64 minwise hashes: two sets agree in the first with chance (1 + similarity) / 2, in both (1 + 3 * similarity) / 4."""
     if not len(tokens):
-        return 0
+        return 0, 0
     least = mix((tokens[None, :] * FACTORS[:, None]).min(1))
-    return int(np.packbits((least >> U(63)).astype(np.uint8)).view(np.int64)[0])
+    first, second = (int(np.packbits((least >> U(k) & U(1)).astype(np.uint8)).view(np.int64)[0]) for k in (63, 62))
+    return first, second
 
 
 def survival(depth: int) -> float:
@@ -111,6 +115,12 @@ class ChosenPath:
         p = (1 - self.threshold) / 2
         return math.ceil(64 * p + 6 * math.sqrt(64 * p * (1 - p)))
 
+    @property
+    def most_hashes(self) -> int:
+        """The same for hashes that differ in at least one of their two bits."""
+        p = 3 * (1 - self.threshold) / 4
+        return math.ceil(64 * p + 6 * math.sqrt(64 * p * (1 - p)))
+
     @property
     def runs(self) -> int:
         """Enough for ``depth`` splits; a tenth of the misses allowed, at least, is left for pairs that need more."""
@@ -140,88 +150,83 @@ class ChosenPath:
                     tokens = shingles(text_, words)
                     name = hashlib.blake2b(tokens.tobytes(), digest_size=16).hexdigest()
                     nodes = take(tokens, roots, threshold).view(np.int64)
-                    found.append((id_, mark, name, row, len(tokens), sketch(tokens), nodes, (tokens & U(0xFFFFFFFF)).astype(np.uint32).tobytes()))
+                    found.append((id_, mark, name, row, len(tokens), *sketch(tokens), nodes, (tokens & U(0xFFFFFFFF)).astype(np.uint32).tobytes()))
                     row += 1
                 yield pd.DataFrame(found, columns=[c.split()[0] for c in ROWS.split(", ")])
 
         rows = docs.select(F.col(key).cast("string").alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
         return materialize(rows.mapInPandas(made, ROWS), "join-rows")
 
-    def _with_company(self, parts: DataFrame) -> DataFrame:
-        """(node, rep, size, sketch) of nodes with at least two classes, with their number ``n`` and all their tokens ``total``.
-
-        ``parts``, a written table, has a row per class with its ``nodes``; it is read twice, to count and to keep.
-        """
-        members = parts.select("rep", "size", "sketch", "nodes").select("rep", "size", "sketch", F.explode("nodes").alias("node"))
-        sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1")
-        return materialize(members.join(sizes, "node"), "join-level")
-
-    def _small(self):
-        return (F.col("n") <= self.limit) & (F.col("total") <= self.block_tokens)
-
-    def _split(self, sets: DataFrame) -> DataFrame:
-        """(rep, size, sketch, nodes, tokens): of each class, the sub-buckets of all its buckets ``nodes``."""
+    def _level(self, members: DataFrame) -> DataFrame:
+        """(node, rep, size, sketch, second) of nodes with at least two classes, with their number ``n``, all their tokens
+        ``total``, and in how many bits of their sketches two of them ``differ``, on average over a chain through all."""
+        here = Window.partitionBy("node")
+        counted = members.withColumns({"n": F.count(F.lit(1)).over(here), "total": F.sum("size").over(here)}).where("n > 1")
+        before = F.lag("sketch").over(here.orderBy(F.xxhash64("rep", "node"), "rep"))
+        chained = counted.withColumn("differ", F.bit_count(F.col("sketch").bitwiseXOR(before)))
+        return materialize(chained.withColumn("differ", F.avg("differ").over(here)), "join-level")
+
+    def _fits(self) -> Column:
+        """Is the bucket small enough to be compared in one piece?"""
+        return (F.col("n") <= max(self.limit, self.block)) & (F.col("total") <= self.block_tokens)
+
+    def _to_split(self) -> Column:
+        """Is the bucket large, and are its members not similar on average? Splitting would hardly part those."""
+        small = (F.col("n") <= self.limit) & (F.col("total") <= self.block_tokens)
+        return ~small & (1 - F.col("differ") / 32 < self.dense)
+
+    def _split(self, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+        """(node, rep, size, sketch, second): the sub-buckets of all buckets ``nodes`` of each class ``rep``."""
         threshold = self.threshold
 
         def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 below = [take(np.frombuffer(tokens, np.uint32).astype(U), np.array(nodes, np.int64).view(U), threshold).view(np.int64)
                          for nodes, tokens in zip(b["nodes"], b["tokens"])]
-                yield b.assign(nodes=below)
-
-        schema = "rep long, size int, sketch long, nodes array<long>, tokens binary"
-        return materialize(sets.select("rep", "size", "sketch", "nodes", "tokens").mapInPandas(split, schema), "join-parts")
-
-    def _split_down(self, level: DataFrame, buckets: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None, int]:
-        """From the first split on: all small ``buckets``, the rows of large ones not split on, (rep) of the classes in
-        buckets that were split more than ``depth`` times, None if there are none, and the number of splits reached."""
-        big, parts, large, deep, splits = level.where(~self._small()), sets, None, None, 1
-        while splits < self.most_splits:
-            dense, big = self._dense(big)
-            large = dense if large is None else large.unionByName(dense)
-            if big.isEmpty():
-                break
+                yield b.drop(columns="tokens").assign(nodes=below)
+
+        held = sets.join(nodes.hint("shuffle_hash"), "rep").select("rep", "size", "sketch", "second", "nodes", "tokens")
+        parts = held.mapInPandas(split, "rep long, size int, sketch long, second long, nodes array<long>")
+        return parts.select(F.explode("nodes").alias("node"), "rep", "size", "sketch", "second")
+
+    def _split_down(self, level: DataFrame, sets: DataFrame, work: int) -> tuple[list[DataFrame], DataFrame | None, int]:
+        """From the first split on: the rows of all buckets not split on, (rep) of the classes in buckets that were split
+        more than ``depth`` times, None if there are none, and the number of splits reached."""
+        leaves, deep, splits = [], None, 1
+        while True:
+            big = level.where(self._to_split())
+            pairs = big.agg(F.sum("n")).first()[0] or 0  # a row each for n members: the sum of n * n
+            if pairs <= work or splits >= self.most_splits:
+                return [*leaves, level], deep, splits
+            leaves.append(level.where(~self._to_split()))
             if splits >= self.depth and deep is None:
-                deep = big.select("rep").distinct()
+                deep = materialize(big.select("rep").distinct(), "join-deep")
             # A class is in some runs * 1.25 ** splits buckets.
-            nodes = big.groupBy("rep").agg(F.collect_list("node").alias("nodes"))
-            parts = self._split(nodes.join(parts.select("rep", "size", "sketch", "tokens"), "rep"))
+            level = self._level(self._split(big.groupBy("rep").agg(F.collect_list("node").alias("nodes")), sets))
             splits += 1
-            level = self._with_company(parts)
-            buckets, big = buckets.unionByName(self._buckets(level)), level.where(~self._small())
-        return buckets, big if large is None else large.unionByName(big), deep, splits
 
     def _buckets(self, level: DataFrame) -> DataFrame:
-        """(reps): the members of each small bucket that have another in it that they may be similar to; two at least.
+        """(reps): the members of each bucket that have another in it that they may be similar to; two at least.
 
         Sets whose sizes differ by more than the threshold can't be as similar as that, nor, but for a chance of
-        1.2e-7, sets whose sketches differ in more than ``most_bits`` bits.
+        1.2e-7, sets whose sketches differ in more than ``most_bits`` bits, nor, but for one of 3.5e-8, in more than
+        ``most_hashes`` hashes.
         """
         t = self.threshold
-        near = lambda a, b: F.bit_count(a["sketch"].bitwiseXOR(b["sketch"])) <= self.most_bits
+
+        def near(a: Column, b: Column) -> Column:
+            first, second = a["sketch"].bitwiseXOR(b["sketch"]), a["second"].bitwiseXOR(b["second"])
+            return (F.bit_count(first) <= self.most_bits) & (F.bit_count(first.bitwiseOR(second)) <= self.most_hashes)
+
         fits = lambda a, b: (a["rep"] != b["rep"]) & (a["size"] >= t * b["size"]) & (b["size"] >= t * a["size"]) & near(a, b)
-        met = level.where(self._small()).groupBy("node").agg(F.collect_list(F.struct("rep", "size", "sketch")).alias("met"))
+        met = level.groupBy("node").agg(F.collect_list(F.struct("rep", "size", "sketch", "second")).alias("met"))
         kept = F.filter("met", lambda a: F.exists("met", lambda b: fits(a, b)))
         reps = met.select(F.sort_array(F.transform(kept, lambda a: a["rep"])).alias("reps"))
-        return materialize(reps.where(F.size("reps") > 1).distinct(), "join-buckets")
-
-    def _dense(self, big: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The rows of ``big`` in buckets whose members are similar on average, which splitting would hardly part, and the rest.
-
-        Of n sketches with k ones in a bit, k^2 + (n - k)^2 - n ordered pairs agree in it.
-        """
-        ones = [F.sum(F.shiftrightunsigned("sketch", i).bitwiseAND(F.lit(1))).cast("double").alias(f"k{i}") for i in range(64)]
-        nodes = big.groupBy("node", "n").agg(*ones)
-        agree = sum((F.col(f"k{i}") * F.col(f"k{i}") + (F.col("n") - F.col(f"k{i}")) * (F.col("n") - F.col(f"k{i}")) - F.col("n") for i in range(1, 64)),
-                    F.col("k0") * F.col("k0") + (F.col("n") - F.col("k0")) * (F.col("n") - F.col("k0")) - F.col("n"))
-        mean = 2 * agree / (64.0 * F.col("n") * (F.col("n") - 1)) - 1
-        judged = big.join(nodes.select("node", (mean >= self.dense).alias("is_dense")), "node")
-        judged = materialize(judged, "join-big")
-        return judged.where("is_dense").drop("is_dense"), judged.where("not is_dense").drop("is_dense")
+        return reps.where(F.size("reps") > 1)
 
     def _cells(self, buckets: DataFrame, leaves: DataFrame) -> DataFrame:
-        """(bucket, low, high, side, rep): what is compared with what. Equal buckets of several runs are one."""
-        small = buckets.distinct().select(F.xxhash64("reps").alias("bucket"), F.explode("reps").alias("rep"))
+        """(bucket, low, high, side, rep): what is compared with what. Equal buckets of several runs have one name."""
+        small = buckets.select(F.xxhash64("reps").alias("bucket"), F.explode("reps").alias("rep"))
         zero = F.lit(0)
         small = small.select("bucket", zero.alias("low"), zero.alias("high"), zero.alias("side"), "rep")
         blocks = F.ceil(F.greatest(F.col("n") / self.block, F.col("total") / self.block_tokens)).cast("int")
@@ -234,11 +239,12 @@ class ChosenPath:
     def _compare(self, cells: DataFrame, sets: DataFrame) -> DataFrame:
         """Per member of a cell with links: how many documents it is newly linked to, and the smallest class it hangs together with."""
         threshold = self.threshold
-        # A class's buckets, by which the cells agree where a pair counts.
-        buckets = cells.select("rep", "bucket").distinct().groupBy("rep").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-        rows = cells.join(buckets.join(sets.select("rep", "weight", "tokens"), "rep"), "rep")
+        # A class's buckets, by which the cells agree where a pair counts. Equal cells become one here.
+        places = cells.groupBy("rep").agg(F.collect_set(F.struct("bucket", "low", "high", "side")).alias("cells"))
+        places = places.withColumn("buckets", F.array_sort(F.array_distinct(F.transform("cells", lambda c: c["bucket"]))))
+        rows = sets.select("rep", "weight", "tokens").join(places.hint("shuffle_hash"), "rep").withColumn("cell", F.explode("cells"))
         cell = ["bucket", "low", "high"]
-        rows = rows.select(*cell, "side", "rep", "weight", "buckets", "tokens").repartition(*cell).sortWithinPartitions(*cell, "rep")
+        rows = rows.select("cell.*", "rep", "weight", "buckets", "tokens").repartition(*cell).sortWithinPartitions(*cell, "rep")
 
         def compared(group: list[tuple]) -> pd.DataFrame:
             bucket, low, high = group[0][:3]
@@ -287,24 +293,25 @@ class ChosenPath:
         rows = self._sets(docs, key, text)
         classes = materialize(rows.groupBy("class").agg(
             F.min("row").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min(F.col("id").cast(kind)).alias("least")), "join-classes")
-        firsts = rows.select(F.col("row").alias("rep"), "size", "sketch", "nodes").join(classes.select("rep"), "rep", "left_semi")
-        level = self._with_company(materialize(firsts, "join-firsts"))
-        buckets, big = self._buckets(level), level.where(~self._small())
+        work = 4 * self.limit * classes.count()
+        firsts = rows.select(F.col("row").alias("rep"), "size", "sketch", "second", "nodes").join(classes.select("rep"), "rep", "left_semi")
+        level = self._level(firsts.select(F.explode("nodes").alias("node"), "rep", "size", "sketch", "second"))
+        done = self._fits() & ~self._to_split()
+        buckets, level = materialize(self._buckets(level.where(done)), "join-buckets"), level.where(~done)
         # The only time that all token sets are dealt out; what has no company is left behind.
-        active = buckets.select(F.explode("reps").alias("rep")).unionByName(big.select("rep")).distinct()
-        sets = rows.select(F.col("row").alias("rep"), "size", "sketch", "tokens").join(active, "rep", "left_semi")
-        sets = materialize(sets.join(classes.select("rep", "weight"), "rep"), "join-sets")
-        buckets, large, deep, splits = self._split_down(level, buckets, sets)
-        runs = self.runs
-        if deep is not None:
-            deep = materialize(sets.join(deep, "rep", "left_semi"), "join-deep")
-        while deep is not None and runs < self.runs_for(splits):
-            first, runs = runs, self.runs_for(splits)
-            roots = F.array(*(F.lit(r) for r in self._roots(first, runs).view(np.int64).tolist()))
-            level = self._with_company(self._split(deep.withColumn("nodes", roots)))
-            more, leaves, _, reached = self._split_down(level, self._buckets(level), deep)
-            buckets, large, splits = buckets.unionByName(more), large.unionByName(leaves), max(splits, reached)
-        found = self._compare(materialize(self._cells(buckets, large), "join-cells"), sets)
+        active = buckets.select(F.explode("reps").alias("rep")).unionByName(level.select("rep")).distinct()
+        active = active.join(classes.select("rep", "weight"), "rep")
+        with bucketed(rows.select(F.col("row").alias("rep"), "size", "sketch", "second", "tokens").join(active, "rep"), "rep", "join-sets") as sets:
+            leaves, deep, splits = self._split_down(level, sets, work)
+            runs = self.runs
+            while deep is not None and runs < self.runs_for(splits):
+                first, runs = runs, self.runs_for(splits)
+                roots = F.array(*(F.lit(r) for r in self._roots(first, runs).view(np.int64).tolist()))
+                more, _, reached = self._split_down(self._level(self._split(deep.withColumn("nodes", roots), sets)), sets, work)
+                leaves, splits = leaves + more, max(splits, reached)
+            rest = functools.reduce(DataFrame.unionByName, leaves)
+            buckets = buckets.unionByName(self._buckets(rest.where(self._fits())))
+            found = self._compare(self._cells(buckets, rest.where(~self._fits())), sets)
         roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))
         named = classes.join(links, "rep", "left").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import pathlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def bucketed(df: DataFrame, key: str, name: str) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder, bucketed by ``key``: joins on it leave its rows where they lie.
+
+    Its name leaves the catalog at the end, so whatever reads the table is to be written by then; the files stay.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(parts, key).write.bucketBy(parts, key).option("path", path).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

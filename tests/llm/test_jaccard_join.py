@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from linkframe.llm import jaccard_join as J
 from linkframe.llm.components import components
+from linkframe.llm.storage import bucketed
 from linkframe.llm.text import shingles
 
 
@@ -138,3 +139,51 @@ def test_stage_keeps_one_of_each(spark, docs):
     assert {r["doc_id"] for r in rows if r["doc_id"] is not None} == heads
     assert len(rows) == len({id(r) for r in rows}) and {r["mark"] for r in rows} == {1}
     assert math.isclose(len([r for r in rows if r["doc_id"] is None]), sum(1 for i, n, c in answers if c is None and n == 0))
+
+
+def common_line(documents, n=400):
+    """Documents that share a line and little else; each tenth has a near copy."""
+    line = " ".join(f"licence{k}" for k in range(12))
+    texts = [f"{line} " + " ".join(f"o{i}y{k}" for k in range(30)) for i in range(n)]
+    return documents([(i, t, "en", "a") for i, t in enumerate(texts + [f"{t} end" for t in texts[::10]])])
+
+
+def test_token_sets_are_written_twice_however_often_buckets_are_split(documents, monkeypatch):
+    written, kept = [], J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, name: written.append((name, df.columns)) or kept(df, name))
+    out = J.ChosenPath(limit=2, block=64, recall=0.99).join(common_line(documents)).where("n_links > 0").collect()
+    assert {r["doc_id"]: r["n_links"] for r in out} == {i: 1 for i in [*range(0, 400, 10), *range(400, 440)]}
+    assert [name for name, columns in written if "tokens" in columns] == ["join-rows"]  # and join-sets, bucketed by class
+    assert len([name for name, _ in written if name == "join-level"]) > 1
+
+
+def test_splitting_ends_where_comparing_is_less_work(spark):
+    columns = "node long, rep long, size int, sketch long, second long, n long, total long, differ double"
+    level = spark.createDataFrame([(1, rep, 10, 0, 0, 100, 1000, 32.0) for rep in range(100)], columns)
+    leaves, deep, splits = J.ChosenPath()._split_down(level, None, 100 * 100)  # it would need the token sets to split on
+    assert [leaf.count() for leaf in leaves] == [100] and deep is None and splits == 1
+
+
+def test_bucketed_rows_stay_where_they_lie_in_a_join(spark):
+    rows = spark.range(1000).select(F.col("id").alias("rep"), F.lit("tokens").alias("tokens"))
+    few = spark.range(0, 1000, 7).groupBy(F.col("id").alias("rep")).count()
+    with bucketed(rows, "rep", "test-sets") as sets:
+        joined = sets.join(few.hint("shuffle_hash"), "rep")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        assert joined.count() == few.count()
+        name = [t.name for t in spark.catalog.listTables() if "test_sets" in t.name]
+    assert len(name) == 1 and not spark.catalog.tableExists(name[0])
+
+
+def test_both_bits_of_sketches_let_a_pair_go_with_the_stated_chance():
+    most = J.ChosenPath().most_hashes
+    tail = lambda p, ks: sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in ks)
+    assert 3.4e-8 < tail(0.15, range(most + 1, 65)) < 3.6e-8
+    assert tail(0.75, range(most + 1)) < 3e-8  # sets without a common token; by the first bits alone 0.004
+    rng = np.random.RandomState(3)
+    unlike = [0, 0]
+    for _ in range(200):
+        (a, b), (c, d) = (J.sketch(rng.randint(1, 1 << 63, 100, dtype=np.uint64)) for _ in range(2))
+        unlike = [unlike[0] + ((a ^ c) & (2**64 - 1)).bit_count(), unlike[1] + (((a ^ c) | (b ^ d)) & (2**64 - 1)).bit_count()]
+    assert abs(unlike[0] / 200 - 32) < 2 and abs(unlike[1] / 200 - 48) < 2
